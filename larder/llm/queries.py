@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import license_scan
+from larder.llm import license_scan, simhash
 from larder.llm.common import load
 
 
@@ -14,8 +14,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_query(load(spark, sf_dir, "documents"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_query(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan,)}
+    return {f.__name__: f for f in (op1_license_scan, op4_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
