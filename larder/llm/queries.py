@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import license_scan, simhash
+from larder.llm import language_id, license_scan, simhash
 from larder.llm.common import load
 
 
@@ -18,8 +18,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_query(load(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id_query(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op4_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op4_simhash_near_dedup, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
