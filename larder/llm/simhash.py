@@ -71,9 +71,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def block_masks(n: int, radius: int = RADIUS) -> list[int]:
-    """Bit masks of the bucket tables for n fingerprints: all choices of b - radius of b blocks."""
+    """Bit masks of the bucket tables for n fingerprints: all choices of b - radius of b blocks.
+
+    At least two blocks have to agree, so up to 2**26 fingerprints have the same tables.
+    """
     wanted = max(0, n.bit_length() - 5)
-    b = next(b for b in range(radius + 1, 64) if (64 // b) * (b - radius) >= wanted or b == radius + 8)
+    b = next(b for b in range(radius + 2, 64) if (64 // b) * (b - radius) >= wanted or b == radius + 8)
     edges = [64 * i // b for i in range(b + 1)]
     blocks = [((1 << (hi - lo)) - 1) << lo for lo, hi in zip(edges, edges[1:], strict=False)]
     return [sum(chosen) for chosen in combinations(blocks, b - radius)]
