@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
@@ -58,7 +59,7 @@ def slices(batch: pa.RecordBatch, size_column: str, limit: int):
     n = batch.num_rows
     if n == 0:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(size_column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(size_column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i in range(n):
         if held and held + int(sizes[i]) > limit:

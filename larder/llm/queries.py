@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language_id, license_scan, simhash
+from larder.llm import language_id, license_scan, simhash, suffix_dedup
 from larder.llm.common import load
 
 
@@ -14,6 +14,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_query(load(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup_query(load(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_query(load(spark, sf_dir, "documents"))
 
@@ -23,7 +27,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op4_simhash_near_dedup, op10_language_id)}
+    return {f.__name__: f for f in (op1_license_scan, op3_suffix_array_dedup, op4_simhash_near_dedup, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
