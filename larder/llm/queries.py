@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language_id, license_scan, simhash, suffix_dedup
+from larder.llm import language_id, license_scan, packing, simhash, suffix_dedup, token_files
 from larder.llm.common import load
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_query(load(spark, sf_dir, "documents"))
@@ -22,12 +25,27 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_query(load(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files_query(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id_query(load(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_suffix_array_dedup, op4_simhash_near_dedup, op10_language_id)}
+    return {f.__name__: f for f in (
+        op1_license_scan,
+        op3_suffix_array_dedup,
+        op4_simhash_near_dedup,
+        op7_token_files,
+        op8_packing,
+        op10_language_id,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
