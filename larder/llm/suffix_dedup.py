@@ -43,8 +43,8 @@ GRAM = 32
 #: Places of one anchor that are sorted together; beyond it, windows are dealt out one by one.
 GROUP = 64
 #: Text of one round of numpy work.
-_ROUND = 32 << 20
-_SEGMENT = 1 << 20
+_ROUND = 4 << 20
+_SEGMENT = 1 << 18
 _MIN_ID = -(1 << 63)
 
 _U = np.uint64
@@ -77,19 +77,43 @@ def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Prefix:
-    """Prefix polynomial hashes of a byte buffer; any substring's hash in constant time."""
+    """Prefix polynomial hashes of a byte buffer; any substring's hash in constant time.
+
+    Sums start anew in every block, so that the powers needed are those of one block.
+    """
 
     def __init__(self, data: np.ndarray, which: int = 0):
-        power, self.inverse = _powers(len(data) + 1, which)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[data] * power[: len(data)], out=self.sums[1:])
+        n = len(data)
+        self.block = min(_SEGMENT, max(1, n))
+        power, self.inverse = _powers(_SEGMENT + WINDOW + GRAM, which)
+        self.power = power
+        self.sums = np.zeros((n // self.block + 1) * (self.block + 1), np.uint64)
+        for k, at in enumerate(range(0, n, self.block)):
+            piece = data[at : at + self.block]
+            row = self.sums[k * (self.block + 1) + 1 :][: self.block]
+            np.cumsum(_BYTE_VALUES[piece] * power[: len(piece)], out=row[: len(piece)])
 
     def hashes(self, start: np.ndarray, length) -> np.ndarray:
-        return (self.sums[start + length] - self.sums[start]) * self.inverse[start]
-
-    def all_of(self, length: int) -> np.ndarray:
-        n = len(self.sums) - length
-        return (self.sums[length:] - self.sums[:n]) * self.inverse[:n]
+        """Hashes of substrings shorter than a block."""
+        k = start // self.block
+        low = start - k * self.block
+        room = self.block - low
+        first = np.minimum(length, room)
+        at = start + k  # the row of block k begins k entries later
+        out = (self.sums[at + first] - self.sums[at]) * self.inverse[low]
+        rest = length - first
+        if np.any(rest > 0):
+            out = out + self.sums[np.where(rest > 0, (k + 1) * (self.block + 1) + rest, 0)] * self.power[np.minimum(first, len(self.power) - 1)]
+        return out
+
+
+def _grams_of(piece: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all substrings of one length in a piece of at most a block and a window."""
+    power, inverse = _powers(_SEGMENT + WINDOW + GRAM, 0)
+    sums = np.zeros(len(piece) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[piece] * power[: len(piece)], out=sums[1:])
+    n = len(sums) - length
+    return (sums[length:] - sums[:n]) * inverse[:n]
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -113,7 +137,7 @@ def anchors(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     place, first, last, gram = [], [], [], []
     for at in range(0, max(0, len(data) - WINDOW + 1), _SEGMENT):
         piece = data[at : at + _SEGMENT + WINDOW - 1]
-        hashed = _mixed(Prefix(piece).all_of(GRAM))
+        hashed = _mixed(_grams_of(piece, GRAM))
         tagged = (hashed & _U(0xFFFFFFFF00000000)) | np.arange(len(hashed), dtype=np.uint64)
         chosen = _least(tagged, width) & none
         chosen[~valid[at : at + len(chosen)]] = none
@@ -153,9 +177,28 @@ def _unpack(blob: bytes, *types) -> list:
     return out
 
 
+def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, as they are about to be dealt out."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = pa.array([press.compress(t) for t in batch.column(2).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), packed], ["ord", "th", "size", "text"])
+
+
+def _packed_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Row ranges of a batch with a ``size`` column whose texts, unpacked, have about _ROUND bytes."""
+    held = np.cumsum(batch.column("size").to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = held[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(held, before + _ROUND, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string or binary column as one buffer, and the length of each row."""
-    rows = [b"" if v is None else v.encode("utf-8", "surrogatepass") if isinstance(v, str) else v for v in column.to_pylist()]
+    rows = column.to_pylist()
     return np.frombuffer(b"".join(rows), np.uint8), np.fromiter(map(len, rows), np.int64, len(rows))
 
 
@@ -242,17 +285,20 @@ def _stretches(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", _ROUND):
+            for batch in _packed_slices(whole):
                 yield from one(batch)
 
     def one(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         ths = batch.column(1).to_numpy(zero_copy_only=False)
-        data, lengths = _texts(batch.column(2))
+        open_ = zstandard.ZstdDecompressor()
+        rows = [open_.decompress(x) for x in batch.column("text").to_pylist()]
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        data = np.frombuffer(b"".join(rows), np.uint8)
         starts = np.cumsum(lengths) - lengths
         p, a, b, h = anchors(data, lengths)
         doc = np.searchsorted(starts, p, side="right") - 1
-        asked = batch.column(3)
+        asked = batch.column("places")
         of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
         asked = asked.flatten().to_numpy(zero_copy_only=False)
         known = np.unique((starts[of] + (asked >> 1)) * 2 + (asked & 1))
@@ -507,7 +553,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 5: remaining bytes of documents that lose some."""
     for batch in batches:
         out: list[tuple] = []
-        for ident, th, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for ident, th, packed, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            text = zstandard.ZstdDecompressor().decompress(packed)
             merged: list[list[int]] = []
             for s, e in sorted((x["start"], x["end"]) for x in spans):
                 if merged and s <= merged[-1][1]:
@@ -544,7 +591,12 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gr
     counted = rows.select("ord", "text").mapInArrow(_count_rows(parts, group), "part int, blob binary")
     places = counted.repartitionById(parts, "part").mapInArrow(_repeated_anchors(group), "ord long, place long")
     asked = places.groupBy("ord").agg(F.collect_set("place").alias("places"))
-    joined = written(rows.join(asked.hint("shuffle_hash"), "ord").select("ord", "th", "text", "places"), "repeat-candidates")
+    pressed = rows.select("ord", "th", "text", F.octet_length("text").cast("long").alias("size")).mapInArrow(
+        _pressed, "ord long, th long, size long, text binary"
+    )
+    joined = written(
+        pressed.join(asked.hint("shuffle_hash"), "ord").select("ord", "th", "size", "text", "places"), "repeat-candidates"
+    )
     dealt = joined.mapInArrow(_stretches(parts), "part int, kind int, blob binary").repartitionById(parts, "part")
     spans = dealt.mapInArrow(_covered, "ord long, th long, start long, end long")
     spans = spans.groupBy("ord", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
