@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language_id, license_scan, packing, simhash, suffix_dedup, token_files
+from larder.llm import language_id, license_scan, media, packing, sharding, simhash, suffix_dedup, token_files
 from larder.llm.common import load
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +25,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_query(load(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding_query(load(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files_query(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -33,6 +37,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
 
 
+def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_query(load(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id_query(load(spark, sf_dir, "documents"))
 
@@ -42,8 +50,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_license_scan,
         op3_suffix_array_dedup,
         op4_simhash_near_dedup,
+        op5_sharding,
         op7_token_files,
         op8_packing,
+        op9_media_columns,
         op10_language_id,
     )}
 
