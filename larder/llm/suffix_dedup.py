@@ -12,8 +12,10 @@ doc_id, or same document and earlier start); strings never cross documents.
    mergesort whose comparisons find the common extension by binary search over prefix
    polynomial hashes; neighbours' extensions give those of any two, and extensions to the
    left say which windows two places share.  Claimed windows are compared byte by byte.
-4. An anchor with over ``GROUP`` places would make a large group: its windows are dealt out
-   one by one, under a hash of 128 bits, and the first place of each stays.
+4. Groups beyond ``GROUP`` places would need too many pairs: there, the hashes of all windows
+   are sorted, and the first place of each window stays.  An anchor with over ``FREQUENT``
+   places would make a task too large: its windows are dealt out one by one, under a hash of
+   128 bits.
 5. Intervals meet their documents again, which are cut and hashed.
 
 Equal stretches inside one task are reduced to the first before they are dealt out, so a
@@ -27,6 +29,7 @@ each other; a null doc_id counts as the smallest; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +43,12 @@ from larder.llm.common import slices, written
 
 WINDOW = 100
 GRAM = 32
-#: Places of one anchor that are sorted together; beyond it, windows are dealt out one by one.
+#: Places of one anchor whose suffixes are compared pair by pair; beyond it, window hashes are sorted.
 GROUP = 64
+#: Places of one anchor that meet in one task; beyond it, windows are dealt out one by one.
+FREQUENT = 16_384
 #: Text of one round of numpy work.
-_ROUND = 4 << 20
+_ROUND = 8 << 20
 _SEGMENT = 1 << 18
 _MIN_ID = -(1 << 63)
 
@@ -179,7 +184,7 @@ def _unpack(blob: bytes, *types) -> list:
 
 def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed, as they are about to be dealt out."""
-    press = zstandard.ZstdCompressor(level=3)
+    press = zstandard.ZstdCompressor(level=6)
     for batch in batches:
         packed = pa.array([press.compress(t) for t in batch.column(2).to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), packed], ["ord", "th", "size", "text"])
@@ -209,7 +214,7 @@ def _by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(part[order[s]]), order[s:e]
 
 
-def _count_rows(parts: int, group: int):
+def _count_rows(parts: int, frequent: int):
     """Step 1: anchors of a batch, equal hashes counted, packed by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,22 +231,22 @@ def _count_rows(parts: int, group: int):
                 own = np.diff(np.r_[new, len(h)])
                 n = np.ones(len(h), np.uint32)
                 # many places in this batch alone: one row speaks for the hash, the others are known to be frequent
-                many = np.repeat(own > group, own)
+                many = np.repeat(own > frequent, own)
                 n[many] = 0
-                speak = new[own > group]
+                speak = new[own > frequent]
                 key = np.where(many, _mixed(ids.astype(np.uint64) ^ _U(0x5851F42D4C957F2D)), h)
                 h2 = np.r_[h, h[speak]]
                 key = np.r_[key, h[speak]]
                 ids = np.r_[ids, np.full(len(speak), _MIN_ID)]
                 at = np.r_[at, np.full(len(speak), -1)]
-                n = np.r_[n, own[own > group].astype(np.uint32)]
+                n = np.r_[n, own[own > frequent].astype(np.uint32)]
                 out = [(part, _pack(h2[i], ids[i].astype(np.int64), at[i].astype(np.int32), n[i])) for part, i in _by_part((key % _U(parts)).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([y for _, y in out], pa.binary())], ["part", "blob"])
 
     return run
 
 
-def _repeated_anchors(group: int):
+def _repeated_anchors(frequent: int):
     """Step 2: places whose anchor hash occurs more than once; bit 0 of ``place`` marks frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +264,7 @@ def _repeated_anchors(group: int):
         total = np.repeat(total, np.diff(np.r_[new, len(h)]))
         keep = (total > 1) & (at[order] >= 0)
         out_ids.append(ids[order][keep])
-        out_at.append(at[order][keep].astype(np.int64) * 2 + (total[keep] > group))
+        out_at.append(at[order][keep].astype(np.int64) * 2 + (total[keep] > frequent))
         a, b = np.concatenate(out_ids), np.concatenate(out_at)
         for s in range(0, len(a), 1 << 18):
             yield pa.RecordBatch.from_arrays([pa.array(a[s : s + (1 << 18)]), pa.array(b[s : s + (1 << 18)])], ["ord", "place"])
@@ -445,12 +450,13 @@ def shared_windows(h, ids, at, rel, length, text: bytes) -> tuple[np.ndarray, np
     by = np.argsort(h, kind="stable")
     first = np.flatnonzero(np.r_[True, h[by][1:] != h[by][:-1]]) if len(h) else np.zeros(0, np.int64)
     size = np.diff(np.r_[first, len(h)])
-    keep = np.repeat(size > 1, size)
-    by, size = by[keep], size[size > 1]
+    prefix = Prefix(data)
+    large = _shared_by_hash(prefix, data, by[np.repeat(size > GROUP, size)], h, ids, at, rel, length, offset)
+    few = (size > 1) & (size <= GROUP)
+    by, size = by[np.repeat(few, size)], size[few]
     first = np.cumsum(size) - size
     place = (offset + rel)[by]
     end = (offset + length)[by]
-    prefix = Prefix(data)
     order = suffix_sort(prefix, data, place, end, first, size)
     row, place, end = by[order], place[order], end[order]
     n = len(row)
@@ -503,7 +509,54 @@ def shared_windows(h, ids, at, rel, length, text: bytes) -> tuple[np.ndarray, np
                         if u + WINDOW <= end[g] and v + WINDOW <= end[y] and (data[u : u + WINDOW] == data[v : v + WINDOW]).all():
                             low[g], high[g] = min(low[g], off), max(high[g], off)
         got = got[high[got] >= 0]
-    return row[got], low[got], high[got]
+    return tuple(np.concatenate(x) for x in zip((row[got], low[got], high[got]), large, strict=True))
+
+
+def _shared_by_hash(prefix: Prefix, data: np.ndarray, some: np.ndarray, h, ids, at, rel, length, offset) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`shared_windows`, for rows of large groups: all their windows in order of hash and place."""
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    done = 0
+    while done < len(some):  # whole groups, about 20,000 rows a round
+        stop = min(len(some), done + 20_000)
+        while stop < len(some) and h[some[stop]] == h[some[stop - 1]]:
+            stop += 1
+        rows = some[done:stop]
+        done = stop
+        many = length[rows] - WINDOW + 1
+        row = np.repeat(rows, many)
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        start = offset[row] + step
+        key = _mixed(prefix.hashes(start, WINDOW) ^ _mixed(h[row] + (rel[row] - step).astype(np.uint64)))
+        order = np.lexsort((at[row] + step, ids[row], key))
+        row, step, start, key = row[order], step[order], start[order], key[order]
+        new = np.r_[True, key[1:] != key[:-1]]
+        head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+        late = np.flatnonzero(~new & ((ids[row[head]] < ids[row]) | (at[row[head]] + step[head] < at[row] + step)))
+        if not len(late):
+            continue
+        same = np.ones(len(late), bool)
+        span = np.arange(WINDOW)
+        for s in range(0, len(late), 1 << 15):
+            i = late[s : s + (1 << 15)]
+            same[s : s + (1 << 15)] = (data[start[i][:, None] + span] == data[start[head[i]][:, None] + span]).all(axis=1)
+        for i in late[~same].tolist():  # a hash collision: the window is looked for among all of its key
+            rivals = range(int(head[i]), i)
+            same[np.searchsorted(late, i)] = any(
+                (ids[row[j]], at[row[j]] + step[j]) < (ids[row[i]], at[row[i]] + step[i])
+                and (data[start[j] : start[j] + WINDOW] == data[start[i] : start[i] + WINDOW]).all()
+                for j in rivals
+            )
+        late = late[same]
+        r, off = row[late], rel[row[late]] - step[late]
+        low, high = np.full(len(h), 1 << 30), np.full(len(h), -1)
+        np.minimum.at(low, r, off)
+        np.maximum.at(high, r, off)
+        hit = np.unique(r)
+        out.append((hit, low[hit], high[hit]))
+    if not out:
+        z = np.zeros(0, np.int64)
+        return z, z, z
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -549,64 +602,78 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["ord", "th", "start", "end"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(with_text: bool):
     """Step 5: remaining bytes of documents that lose some."""
-    for batch in batches:
-        out: list[tuple] = []
-        for ident, th, packed, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            text = zstandard.ZstdDecompressor().decompress(packed)
-            merged: list[list[int]] = []
-            for s, e in sorted((x["start"], x["end"]) for x in spans):
-                if merged and s <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], e)
-                else:
-                    merged.append([s, e])
-            kept, at = [], 0
-            for s, e in merged:
-                kept.append(text[at:s])
-                at = e
-            kept.append(text[at:])
-            rest = b"".join(kept)
-            out.append((ident, th, len(text) - len(rest), len(merged), hashlib.sha256(rest).hexdigest(), rest))
-        cols = list(zip(*out, strict=True)) or [()] * 6
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["ord", "th", "n_removed", "n_spans", "sha", "kept"]
-        )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for ident, th, packed, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = zstandard.ZstdDecompressor().decompress(packed)
+                merged: list[list[int]] = []
+                for s, e in sorted((x["start"], x["end"]) for x in spans if x["th"] == th):
+                    if merged and s <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], e)
+                    else:
+                        merged.append([s, e])
+                kept, at = [], 0
+                for s, e in merged:
+                    kept.append(text[at:s])
+                    at = e
+                kept.append(text[at:])
+                if not merged:
+                    continue
+                rest = b"".join(kept)
+                out.append((ident, th, len(text) - len(rest), len(merged), hashlib.sha256(rest).hexdigest(), rest if with_text else None))
+            cols = list(zip(*out, strict=True)) or [()] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["ord", "th", "n_removed", "n_spans", "sha", "kept"]
+            )
+
+    return run
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int | None = None) -> DataFrame:
+
+def removals(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int | None = None, with_text: bool = True
+) -> DataFrame:
     """(ord, th, n_removed, n_spans, sha, kept) for every different document that loses bytes.
 
-    ord is the id (null as the smallest long), th the xxhash64 of the text; kept the remaining bytes.
+    ord is the id (null as the smallest long), th the xxhash64 of the text; kept the remaining bytes
+    (null unless ``with_text``).
     """
     spark = docs.sparkSession
-    group = group or GROUP
+    frequent = frequent or FREQUENT
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_MIN_ID)).alias("ord"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
     ).where(F.octet_length("text") >= WINDOW)
-    counted = rows.select("ord", "text").mapInArrow(_count_rows(parts, group), "part int, blob binary")
-    places = counted.repartitionById(parts, "part").mapInArrow(_repeated_anchors(group), "ord long, place long")
+    counted = rows.select("ord", "text").mapInArrow(_count_rows(parts, frequent), "part int, blob binary")
+    places = counted.repartitionById(parts, "part").mapInArrow(_repeated_anchors(frequent), "ord long, place long")
     asked = places.groupBy("ord").agg(F.collect_set("place").alias("places"))
     pressed = rows.select("ord", "th", "text", F.octet_length("text").cast("long").alias("size")).mapInArrow(
         _pressed, "ord long, th long, size long, text binary"
     )
-    joined = written(
-        pressed.join(asked.hint("shuffle_hash"), "ord").select("ord", "th", "size", "text", "places"), "repeat-candidates"
-    )
-    dealt = joined.mapInArrow(_stretches(parts), "part int, kind int, blob binary").repartitionById(parts, "part")
+    joined = pressed.join(asked.hint("shuffle_hash"), "ord").select("ord", "th", "size", "text", "places")
+    # bucketed by id: the intervals join these documents without another shuffle of texts
+    name = f"larder_repeats_{uuid.uuid4().hex}"
+    joined.write.format("parquet").bucketBy(parts, "ord").saveAsTable(name)
+    found = spark.table(name)
+    dealt = found.mapInArrow(_stretches(parts), "part int, kind int, blob binary").repartitionById(parts, "part")
     spans = dealt.mapInArrow(_covered, "ord long, th long, start long, end long")
-    spans = spans.groupBy("ord", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    whole = joined.select("ord", "th", "text").join(spans.hint("shuffle_hash"), ["ord", "th"])
-    return whole.mapInArrow(_cut, "ord long, th long, n_removed long, n_spans long, sha string, kept binary")
+    spans = spans.groupBy("ord").agg(F.collect_list(F.struct("th", "start", "end")).alias("spans"))
+    whole = found.select("ord", "th", "text").join(spans.hint("shuffle_hash"), "ord")
+    out = whole.mapInArrow(_cut(with_text), "ord long, th long, n_removed long, n_spans long, sha string, kept binary")
+    out = written(out, "removals")
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 def suffix_dedup_query(docs: DataFrame) -> DataFrame:
     """The contract's columns: bytes, removed bytes and runs, and the digest of what remains."""
-    cut = written(removals(docs).select("ord", "th", "n_removed", "n_spans", "sha").distinct(), "removals")
+    cut = removals(docs, with_text=False).select("ord", "th", "n_removed", "n_spans", "sha").distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(
         "doc_id",

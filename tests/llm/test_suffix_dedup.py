@@ -48,9 +48,9 @@ def make_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("group,seed", [(64, 1), (2, 2), (64, 3), (5, 4)])
-def test_against_brute_force(spark, monkeypatch, group, seed):
-    monkeypatch.setattr(sd, "GROUP", group)
+@pytest.mark.parametrize("frequent,seed", [(16384, 1), (2, 2), (16384, 3), (5, 4)])
+def test_against_brute_force(spark, monkeypatch, frequent, seed):
+    monkeypatch.setattr(sd, "FREQUENT", frequent)
     monkeypatch.setattr(sd, "_ROUND", 4000)
     monkeypatch.setattr(sd, "_SEGMENT", 700 + seed)
     rows = make_rows(seed)
@@ -80,3 +80,41 @@ def test_suffix_sort_is_lexicographic():
     for f, n in zip(first, size, strict=True):
         got = [bytes(data[start[i] : end[i]]) for i in order[f : f + n]]
         assert got == sorted(bytes(data[start[i] : end[i]]) for i in range(f, f + n))
+
+
+@pytest.mark.parametrize("group", [0, 3, 1000])
+def test_large_groups_by_window_hash(monkeypatch, group):
+    import numpy as np
+
+    monkeypatch.setattr(sd, "GROUP", group)
+    r = random.Random(group)
+    core = bytes(r.choice(b"abc") for _ in range(32))
+    left, right = [bytes(r.choice(b"xy") for _ in range(80)) for _ in range(3)], [bytes(r.choice(b"xy") for _ in range(110)) for _ in range(3)]
+    h, ids, at, rel, length, text = [], [], [], [], [], b""
+    for i in range(60):
+        a, b = r.randrange(0, 60), r.randrange(30, 69)
+        piece = r.choice(left)[-a:] * bool(a) + core + r.choice(right)[:b]
+        h.append(i % 2)
+        ids.append(r.randrange(20))
+        at.append(i * 500)
+        rel.append(a)
+        length.append(len(piece))
+        text += piece
+    arrays = [np.array(h, np.uint64)] + [np.array(v, np.int64) for v in (ids, at, rel, length)]
+    row, low, high = sd.shared_windows(*arrays, text)
+    got = {int(x): (int(y), int(z)) for x, y, z in zip(row, low, high, strict=True)}
+    start = np.cumsum(length) - length
+    want = {}
+    for i in range(60):
+        shared = []
+        for off in range(rel[i] + 1):
+            s = start[i] + rel[i] - off
+            if s + 100 > start[i] + length[i]:
+                continue
+            for j in range(60):
+                u = start[j] + rel[j] - off
+                if h[i] == h[j] and off <= rel[j] and u + 100 <= start[j] + length[j] and (ids[j], at[j] + rel[j]) < (ids[i], at[i] + rel[i]) and text[u : u + 100] == text[s : s + 100]:
+                    shared.append(off)
+        if shared:
+            want[i] = (min(shared), max(shared))
+    assert got == want and want
