@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language_id, license_scan, media, packing, sharding, simhash, suffix_dedup, token_files
+from larder.llm import decontamination, language_id, license_scan, media, packing, sharding, simhash, suffix_dedup, token_files
 from larder.llm.common import load
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,6 +29,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_query(load(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontamination_query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files_query(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_suffix_array_dedup,
         op4_simhash_near_dedup,
         op5_sharding,
+        op6_benchmark_decontamination,
         op7_token_files,
         op8_packing,
         op9_media_columns,
