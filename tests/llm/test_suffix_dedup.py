@@ -92,7 +92,8 @@ def test_large_groups_by_window_hash(monkeypatch, group):
     left, right = [bytes(r.choice(b"xy") for _ in range(80)) for _ in range(3)], [bytes(r.choice(b"xy") for _ in range(110)) for _ in range(3)]
     h, ids, at, rel, length, text = [], [], [], [], [], b""
     for i in range(60):
-        a, b = r.randrange(0, 60), r.randrange(30, 69)
+        b = r.randrange(30, 69)
+        a = r.randrange(68 - b, 69)
         piece = r.choice(left)[-a:] * bool(a) + core + r.choice(right)[:b]
         h.append(i % 2)
         ids.append(r.randrange(20))
