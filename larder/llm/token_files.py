@@ -26,7 +26,7 @@ from larder.llm.common import drop_written, new_path, slices, written
 from larder.llm.shared_files import get, put
 from larder.llm.tokens import Encoder
 
-_ROUND = 8 << 20
+_ROUND = 4 << 20
 _MIN_ID = -(1 << 63)
 
 

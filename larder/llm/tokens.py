@@ -2,7 +2,9 @@
 
 The byte-level pre-tokenizer never lets a token reach across a space that follows a
 non-space, so a text may be cut there.  The pieces repeat a lot; each new piece goes through
-the tokenizer once and is remembered in a table of bounded size.  Texts where a space
+the tokenizer once and is remembered in a table of bounded size.  New pieces that are words
+with marks, or two of them with one line break between, are put together from their words, as
+a token never joins letters with the marks or the break behind them.  Texts where a space
 follows white space are encoded whole.
 """
 
@@ -15,12 +17,20 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Pieces remembered at once by a worker.
-REMEMBERED = 500_000
+#: Pieces remembered in each of two generations by a worker.
+REMEMBERED = 400_000
 _RUN = re.compile(r"\s ")
+_WORDS = re.compile(r"([^\W\d_]+)([^\w\s]*)(?:\n([^\W\d_]+)([^\w\s]*))?")
 _WORKERS: dict[str, Encoder] = {}
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -41,6 +51,10 @@ class Encoder:
         for added in spec.get("added_tokens", []):
             self.width[added["id"]] = len(added["content"].encode())
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+        self.letters = _byte_letters()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -53,6 +67,30 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a run of letters, after a space if it starts with one."""
+        ids = self.words.get(word)
+        if ids is None:
+            shown = "".join([self.letters[b] for b in word.encode()])
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.dtype).tobytes()
+            self.words[word] = ids
+        return ids
+
+    def _marks(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
+        if ids is None:
+            ids = self.marks[marks] = self.whole([marks])[0]
+        return ids
+
+    def _composed(self, piece: str) -> bytes | None:
+        """Ids of ' ' + piece from its words and marks, if it is made of them."""
+        m = _WORDS.fullmatch(piece)
+        if m is None:
+            return None
+        one, marks, two, more = m.groups()
+        ids = self._word(" " + one) + self._marks(marks)
+        return ids if two is None else ids + self._marks("\n") + self._word(two) + self._marks(more)
+
     def _learn(self, words: list[str]) -> None:
         """Ids of ' ' + word for words that end in no white space, many in one call."""
         item = self.dtype.itemsize
@@ -77,30 +115,48 @@ class Encoder:
         if not self.cuts:
             return self.whole(texts)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        if len(self.marks) > REMEMBERED:
+            self.marks = {"": b""}
         out: list[bytes] = [b""] * len(texts)
-        plain, split = [], []
-        missing: dict[str, None] = {}
-        odd: dict[str, None] = {}
+        plain, split, heads = [], [], []
+        later: list[tuple[list, int, str]] = []  # pieces that the library has to see, and where they belong
+        get = self.known.get
         for i, text in enumerate(texts):
             if " " not in text or _RUN.search(text):
                 plain.append(i)
                 continue
             words = text.split(" ")
-            parts = list(map(self.known.get, words))
-            if None in parts[1:]:
-                for w, p in zip(words[1:], parts[1:], strict=True):
-                    if p is None:
-                        (odd if not w or w[-1].isspace() else missing)[w] = None
-            split.append((i, words))
-        if missing:
-            self._learn(list(missing))
-        if odd:
-            for w, ids in zip(odd, self.whole([" " + w for w in odd]), strict=True):
-                self.known[w] = ids
+            parts = list(map(get, words))
+            heads.append(words[0])
+            parts[0] = b""
+            j = 0
+            try:
+                while True:
+                    j = parts.index(None, j)
+                    w = words[j]
+                    ids = self.known.get(w) or self.older.get(w) or self._composed(w)
+                    if ids is None:
+                        ids = b""
+                        later.append((parts, j, w))
+                    else:
+                        self.known[w] = ids
+                    parts[j] = ids
+            except ValueError:
+                pass
+            split.append((i, parts))
+        if later:
+            new = dict.fromkeys(w for _, _, w in later)
+            odd = [w for w in new if not w or w[-1].isspace()]
+            self._learn([w for w in new if w and not w[-1].isspace()])
+            if odd:
+                self.known.update(zip(odd, self.whole([" " + w for w in odd]), strict=True))
+            for parts, j, w in later:
+                parts[j] = self.known[w]
         for i, ids in zip(plain, self.whole([texts[i] for i in plain]) if plain else [], strict=True):
             out[i] = ids
-        heads = self.whole([words[0] for _, words in split]) if split else []
-        for (i, words), head in zip(split, heads, strict=True):
-            out[i] = head + b"".join(map(self.known.__getitem__, words[1:]))
+        for (i, parts), head in zip(split, self.whole(heads) if heads else [], strict=True):
+            out[i] = head + b"".join(parts)
         return out
