@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontamination, language_id, license_scan, media, packing, sharding, simhash, suffix_dedup, token_files
+from larder.llm import decontamination, html_extract, language_id, license_scan, media, packing, sharding, simhash, suffix_dedup, token_files
 from larder.llm.common import load
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_query(load(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.html_query(load(spark, sf_dir, "pages"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup_query(load(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan,
+        op2_html_extraction,
         op3_suffix_array_dedup,
         op4_simhash_near_dedup,
         op5_sharding,
