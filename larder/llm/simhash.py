@@ -59,15 +59,16 @@ def fingerprint_of(text: str | None, words: int = WORDS, seed: int = SEED) -> in
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) for every row; fp holds the 64 bits as a signed long."""
+    """(doc_id, th, fp) for every row: xxhash64 of the text, and the 64 bits as a signed long."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint_of(t) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], ["doc_id", "th", "fp"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {id_type}, fp long")
+    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return docs.select(F.col(id_col), F.col(text_col), th).mapInArrow(run, f"doc_id {id_type}, th long, fp long")
 
 
 def block_masks(n: int, radius: int = RADIUS) -> list[int]:
@@ -219,16 +220,38 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     return deal(keyed, "bucket").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
-) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the least id that links lead to."""
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """(doc_id, th, fp, root, component_id) for every row.
+
+    th is the xxhash64 of the text, root the least fingerprint of the component, component_id the
+    least id that links lead to.
+    """
     fps = written(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp-nodes")
     roots = components(links(nodes, nodes.count(), radius))
     tied = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = tied.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(tied.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return fps.join(tied.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
+) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the least id that links lead to."""
+    return classes(docs, id_col, text_col, radius).select("doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """One row of every component, with all columns of ``docs``: that of the least id (null last), then least text hash."""
+    found = classes(docs, id_col, text_col, radius)
+    chosen = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_n"), "doc_id", "th")).alias("k"))
+    kept = written(chosen.select(F.col("k.doc_id").alias("_id"), F.col("k.th").alias("_th")), "representatives")
+    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    out = docs.withColumn("_text_hash", th).join(kept, docs[id_col].eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_th")), "left_semi")
+    repeated = found.groupBy("doc_id", "th").count().where(F.col("count") > 1)
+    if not repeated.isEmpty():  # rows equal in id and text: one of them stays
+        out = out.dropDuplicates([id_col, "_text_hash"])
+    return out.drop("_text_hash")
 
 
 def simhash_query(docs: DataFrame) -> DataFrame:
@@ -236,3 +259,4 @@ def simhash_query(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+

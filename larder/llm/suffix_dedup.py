@@ -186,8 +186,8 @@ def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed, as they are about to be dealt out."""
     press = zstandard.ZstdCompressor(level=6)
     for batch in batches:
-        packed = pa.array([press.compress(t) for t in batch.column(2).to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), packed], ["ord", "th", "size", "text"])
+        packed = pa.array([press.compress(t) for t in batch.column("text").to_pylist()], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", packed)
 
 
 def _packed_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -603,15 +603,16 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(with_text: bool):
-    """Step 5: remaining bytes of documents that lose some."""
+    """Step 5: remaining bytes of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[tuple] = []
-            for ident, th, packed, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = zstandard.ZstdDecompressor().decompress(packed)
+            for th, packed, spans in zip(*(batch.column(c).to_pylist() for c in ("th", "text", "spans")), strict=True):
+                text = open_.decompress(packed)
                 merged: list[list[int]] = []
-                for s, e in sorted((x["start"], x["end"]) for x in spans if x["th"] == th):
+                for s, e in sorted((x["start"], x["end"]) for x in spans or () if x["th"] == th):
                     if merged and s <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], e)
                     else:
@@ -621,71 +622,70 @@ def _cut(with_text: bool):
                     kept.append(text[at:s])
                     at = e
                 kept.append(text[at:])
-                if not merged:
-                    continue
                 rest = b"".join(kept)
-                out.append((ident, th, len(text) - len(rest), len(merged), hashlib.sha256(rest).hexdigest(), rest if with_text else None))
-            cols = list(zip(*out, strict=True)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                out.append((len(text), len(text) - len(rest), len(merged), hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore") if with_text else None))
+            cols = list(zip(*out, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            arrays = [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["ord", "th", "n_removed", "n_spans", "sha", "kept"]
+                [batch.column("row"), *arrays], ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
             )
 
     return run
 
 
-def removals(
+def cut(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int | None = None, with_text: bool = True
-) -> DataFrame:
-    """(ord, th, n_removed, n_spans, sha, kept) for every different document that loses bytes.
+) -> tuple[DataFrame, str]:
+    """Every row of ``docs`` without its repeats, and the name of the table that the result reads.
 
-    ord is the id (null as the smallest long), th the xxhash64 of the text; kept the remaining bytes
-    (null unless ``with_text``).
+    Columns: row (struct of all columns but the text), n_bytes, n_removed, n_spans, kept_sha256, and
+    kept, the remaining text without what is left of split characters (null unless ``with_text``).
     """
     spark = docs.sparkSession
-    frequent = frequent or FREQUENT
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frequent = frequent or FREQUENT
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_MIN_ID)).alias("ord"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"),
-        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
-    ).where(F.octet_length("text") >= WINDOW)
-    counted = rows.select("ord", "text").mapInArrow(_count_rows(parts, frequent), "part int, blob binary")
+        F.xxhash64(text).alias("th"),
+        F.octet_length(text).cast("long").alias("size"),
+        text.cast("binary").alias("text"),
+    )
+    counted = rows.where(F.col("size") >= WINDOW).select("ord", "text").mapInArrow(_count_rows(parts, frequent), "part int, blob binary")
     places = counted.repartitionById(parts, "part").mapInArrow(_repeated_anchors(frequent), "ord long, place long")
     asked = places.groupBy("ord").agg(F.collect_set("place").alias("places"))
-    pressed = rows.select("ord", "th", "text", F.octet_length("text").cast("long").alias("size")).mapInArrow(
-        _pressed, "ord long, th long, size long, text binary"
-    )
-    joined = pressed.join(asked.hint("shuffle_hash"), "ord").select("ord", "th", "size", "text", "places")
-    # bucketed by id: the intervals join these documents without another shuffle of texts
+    # bucketed by id: the intervals join the documents without another shuffle of texts
     name = f"larder_repeats_{uuid.uuid4().hex}"
+    pressed = rows.mapInArrow(_pressed, rows.schema)
+    joined = pressed.join(asked.hint("shuffle_hash"), "ord", "left")
     joined.write.format("parquet").bucketBy(parts, "ord").saveAsTable(name)
     found = spark.table(name)
-    dealt = found.mapInArrow(_stretches(parts), "part int, kind int, blob binary").repartitionById(parts, "part")
+    suspects = found.where(F.col("places").isNotNull()).select("ord", "th", "size", "text", "places")
+    dealt = suspects.mapInArrow(_stretches(parts), "part int, kind int, blob binary").repartitionById(parts, "part")
     spans = dealt.mapInArrow(_covered, "ord long, th long, start long, end long")
     spans = spans.groupBy("ord").agg(F.collect_list(F.struct("th", "start", "end")).alias("spans"))
-    whole = found.select("ord", "th", "text").join(spans.hint("shuffle_hash"), "ord")
-    out = whole.mapInArrow(_cut(with_text), "ord long, th long, n_removed long, n_spans long, sha string, kept binary")
-    out = written(out, "removals")
-    spark.sql(f"DROP TABLE {name}")
-    return out
+    whole = found.select("ord", "row", "th", "text").join(spans.hint("shuffle_hash"), "ord", "left").drop("ord")
+    row_type = rows.schema["row"].dataType.simpleString()
+    schema = f"row {row_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+    return whole.mapInArrow(_cut(with_text), schema), name
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeats cut out of the texts (a null text stays null).
+
+    The result reads a table of the warehouse whose name starts with ``larder_repeats_``.
+    """
+    marked = docs.withColumn("_null_text", F.col(text_col).isNull())
+    out, _ = cut(marked, id_col, text_col)
+    text = F.when(~F.col("row._null_text"), F.col("kept")).alias(text_col)
+    return out.select(*[text if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def suffix_dedup_query(docs: DataFrame) -> DataFrame:
     """The contract's columns: bytes, removed bytes and runs, and the digest of what remains."""
-    cut = removals(docs, with_text=False).select("ord", "th", "n_removed", "n_spans", "sha").distinct()
-    text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(
-        "doc_id",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_MIN_ID)).alias("ord"),
-        F.xxhash64(text).alias("th"),
-        F.octet_length(text).cast("long").alias("n_bytes"),
-        F.sha2(text.cast("binary"), 256).alias("whole"),
-    )
-    return base.join(cut, ["ord", "th"], "left").select(
-        "doc_id",
-        "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("sha", "whole").alias("kept_sha256"),
-    )
+    out, name = cut(docs.select("doc_id", "text"), with_text=False)
+    out = written(out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), "removals")
+    docs.sparkSession.sql(f"DROP TABLE {name}")
+    return out
