@@ -11,6 +11,7 @@ import numpy as np
 LIMIT = 18
 #: Ids of one block; a checkpoint holds the bit at which the block starts.
 BLOCK = 512
+_STRIDE = 512 * BLOCK
 MAGIC = b"LHUF0001"
 
 
@@ -63,21 +64,25 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 
 def encode_bits(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bit stream as big-endian 32-bit words, and the bit at which each block starts."""
-    size = lengths[ids].astype(np.int64)
-    end = np.cumsum(size)
-    total = int(end[-1]) if len(end) else 0
-    start = end - size
+    total = int(sum(int(lengths[ids[at : at + _STRIDE]].sum(dtype=np.int64)) for at in range(0, len(ids), _STRIDE)))
     words = np.zeros(total // 64 + 2, np.uint64)
-    if len(ids):
+    marks, base = [], 0
+    for at in range(0, len(ids), _STRIDE):
+        some = ids[at : at + _STRIDE]
+        size = lengths[some].astype(np.int64)
+        end = np.cumsum(size) + base
+        start = end - size
+        base = int(end[-1])
+        marks.append(start[::BLOCK].copy())
         word, room = start >> 6, 64 - (start & 63) - size
-        code = codes[ids]
+        code = codes[some]
         fits = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
         new = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         words[word[new]] |= np.bitwise_or.reduceat(fits, new)
         over = np.flatnonzero(room < 0)  # at most one code a word runs into the next
         words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
     stream = words.astype(">u8").view(">u4")[: (total + 31) // 32]
-    return stream, start[::BLOCK]
+    return stream, np.concatenate(marks) if marks else np.zeros(0, np.int64)
 
 
 def decode_table(lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, int]:

@@ -102,7 +102,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
         if part is None:
             return
         data = huffman.pack_file(
-            np.array(names, np.int64), np.array(sizes, np.int64), np.frombuffer(b"".join(ids), dtype).astype(np.int64), lengths
+            np.array(names, np.int64), np.array(sizes, np.int64), np.frombuffer(b"".join(ids), dtype), lengths
         )
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.tok"
         put(path, data)

@@ -13,12 +13,13 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces remembered in each of two generations by a worker.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _RUN = re.compile(r"\s ")
 _WORDS = re.compile(r"([^\W\d_]+)([^\w\s]*)(?:\n([^\W\d_]+)([^\w\s]*))?")
 _WORKERS: dict[str, Encoder] = {}
@@ -55,6 +56,7 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
         self.letters = _byte_letters()
+        self.tokenize = self.tokenizer.model.tokenize
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -71,8 +73,9 @@ class Encoder:
         """Ids of a run of letters, after a space if it starts with one."""
         ids = self.words.get(word)
         if ids is None:
-            shown = "".join([self.letters[b] for b in word.encode()])
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.dtype).tobytes()
+            # letters stand for themselves, the space for its stand-in
+            shown = word.replace(" ", self.letters[32]) if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+            ids = array(self.dtype.char, [t.id for t in self.tokenize(shown)]).tobytes()
             self.words[word] = ids
         return ids
 
