@@ -20,6 +20,8 @@ from larder.llm.common import written
 
 SHARDS = 40
 SEED = 20240229
+#: Up to this many sources their sizes are broadcast; beyond it, rows meet them in a shuffled join.
+FEW_SOURCES = 20_000
 #: Row positions inside a partition take these low bits of monotonically_increasing_id.
 _LOW = 33
 
@@ -51,6 +53,9 @@ def interleave(rows: DataFrame, source_col: str, id_col: str, shards: int = SHAR
     )
     first = written(ranked(base, ["_null", "_source", "_h", "_tie"], "_rank", "shard-strata"), "shard-ranks")
     sources = first.groupBy("_null", "_source").agg(F.min("_rank").alias("_from"), F.count(F.lit(1)).alias("_size"))
+    sources = written(sources, "shard-sources")
+    if sources.count() <= FEW_SOURCES:
+        sources = F.broadcast(sources)
     share = (F.col("_rank") - F.col("_from") + F.lit(0.5)) / F.col("_size")
     mixed = first.join(sources, ["_null", "_source"]).select("_row", "_h", "_tie", share.alias("_share"))
     placed = ranked(mixed, ["_share", "_h", "_tie"], "_g", "shard-order")
