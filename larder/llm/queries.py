@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontamination, html_extract, language_id, license_scan, media, packing, sharding, simhash, suffix_dedup, token_files
+from larder.llm import decontamination, html_extract, language_id, license_scan, media, oracles, packing, sharding, simhash, suffix_dedup, token_files
 from larder.llm.common import load
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,4 +69,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_license_scan": oracles.license_scan_sql(),
+        "op3_suffix_array_dedup": oracles.suffix_dedup_sql(),
+        "op5_sharding": oracles.sharding_sql(),
+    }

@@ -48,7 +48,7 @@ def interleave(rows: DataFrame, source_col: str, id_col: str, shards: int = SHAR
         F.struct(*[F.col(c) for c in names]).alias("_row"),
         F.col(source_col).isNull().alias("_null"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"),
-        F.xxhash64(F.col(id_col), F.lit(seed)).alias("_h"),
+        F.sha2(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"::{seed}")), 256).alias("_h"),
         F.xxhash64(*[F.col(c) for c in names]).alias("_tie"),
     )
     first = written(ranked(base, ["_null", "_source", "_h", "_tie"], "_rank", "shard-strata"), "shard-ranks")
