@@ -50,6 +50,7 @@ FREQUENT = 16_384
 #: Text of one round of numpy work.
 _ROUND = 8 << 20
 _SEGMENT = 1 << 18
+_ROWS = 30_000
 _MIN_ID = -(1 << 63)
 
 _U = np.uint64
@@ -325,11 +326,11 @@ def _stretches(parts: int):
         later = np.flatnonzero(~new)
         if len(later):
             same = np.zeros(len(later), bool)
-            for i in range(0, len(later), 1 << 16):
-                x, y, n = s[later[i : i + (1 << 16)]], head[later[i : i + (1 << 16)]], length[later[i : i + (1 << 16)]]
+            for i in range(0, len(later), 1 << 13):
+                x, y, n = s[later[i : i + (1 << 13)]], head[later[i : i + (1 << 13)]], length[later[i : i + (1 << 13)]]
                 step = np.minimum(np.arange(2 * WINDOW - GRAM)[None, :], (n - 1)[:, None])
                 fits = (b[x] - a[x] == b[y] - a[y]) & (p[x] - a[x] == p[y] - a[y])
-                same[i : i + (1 << 16)] = fits & (data[np.minimum(a[x][:, None] + step, len(data) - 1)] == data[np.minimum(a[y][:, None] + step, len(data) - 1)]).all(axis=1)
+                same[i : i + (1 << 13)] = fits & (data[np.minimum(a[x][:, None] + step, len(data) - 1)] == data[np.minimum(a[y][:, None] + step, len(data) - 1)]).all(axis=1)
             x, y = s[later[same]], head[later[same]]
             earlier = (ids[doc[y]] < ids[doc[x]]) | ((ids[doc[y]] == ids[doc[x]]) & (a[y] - starts[doc[y]] < a[x] - starts[doc[x]]))
             x = x[earlier]
@@ -493,11 +494,11 @@ def shared_windows(h, ids, at, rel, length, text: bytes) -> tuple[np.ndarray, np
     got = np.flatnonzero(high >= 0)
     step = np.arange(WINDOW)
     bad = np.zeros(len(got), bool)
-    for s in range(0, len(got), 1 << 15):
-        g = got[s : s + (1 << 15)]
+    for s in range(0, len(got), 1 << 13):
+        g = got[s : s + (1 << 13)]
         for off, other in ((low[g], low_with[g]), (high[g], high_with[g])):
             u, v = place[g] - off, place[other] - off
-            bad[s : s + (1 << 15)] |= (data[u[:, None] + step] != data[v[:, None] + step]).any(axis=1)
+            bad[s : s + (1 << 13)] |= (data[u[:, None] + step] != data[v[:, None] + step]).any(axis=1)
     if bad.any():  # a hash collision: these rows are compared byte by byte with their whole group
         for g in got[bad]:
             f = int(np.searchsorted(first, g, side="right") - 1)
@@ -536,9 +537,9 @@ def _shared_by_hash(prefix: Prefix, data: np.ndarray, some: np.ndarray, h, ids,
             continue
         same = np.ones(len(late), bool)
         span = np.arange(WINDOW)
-        for s in range(0, len(late), 1 << 15):
-            i = late[s : s + (1 << 15)]
-            same[s : s + (1 << 15)] = (data[start[i][:, None] + span] == data[start[head[i]][:, None] + span]).all(axis=1)
+        for s in range(0, len(late), 1 << 13):
+            i = late[s : s + (1 << 13)]
+            same[s : s + (1 << 13)] = (data[start[i][:, None] + span] == data[start[head[i]][:, None] + span]).all(axis=1)
         for i in late[~same].tolist():  # a hash collision: the window is looked for among all of its key
             rivals = range(int(head[i]), i)
             same[np.searchsorted(late, i)] = any(
@@ -577,9 +578,20 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = b"".join(cols[6])
         del cols, held[1]
         rel, length = rel.astype(np.int64), length.astype(np.int64)
-        row, lo, hi = shared_windows(h, ids, at, rel, length, text)
-        p = at[row] + rel[row]
-        out.append((ids[row], ths[row], p - hi, p - lo + WINDOW))
+        offset = np.cumsum(length) - length
+        order = np.argsort(h, kind="stable")
+        done = 0
+        while done < len(order):  # whole groups, a bounded number of rows a round unless one group is larger
+            stop = min(len(order), done + _ROWS)
+            while stop < len(order) and h[order[stop]] == h[order[stop - 1]]:
+                stop += 1
+            r = order[done:stop]
+            done = stop
+            part = b"".join([text[o : o + n] for o, n in zip(offset[r].tolist(), length[r].tolist(), strict=True)])
+            row, lo, hi = shared_windows(h[r], ids[r], at[r], rel[r], length[r], part)
+            row = r[row]
+            p = at[row] + rel[row]
+            out.append((ids[row], ths[row], p - hi, p - lo + WINDOW))
     if held[2]:
         one, two, ids, ths, at = (np.concatenate(c) for c in zip(*held[2], strict=True))
         order = np.lexsort((at, ids, two, one))

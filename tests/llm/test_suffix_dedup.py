@@ -52,6 +52,7 @@ def make_rows(seed):
 def test_against_brute_force(spark, monkeypatch, frequent, seed):
     monkeypatch.setattr(sd, "FREQUENT", frequent)
     monkeypatch.setattr(sd, "_ROUND", 4000)
+    monkeypatch.setattr(sd, "_ROWS", 50)
     monkeypatch.setattr(sd, "_SEGMENT", 700 + seed)
     rows = make_rows(seed)
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, ord int").repartition(5)
