@@ -31,7 +31,7 @@ select k,
   concat_ws(',', case when k % 3 = 0 then ' en:alcoholic-beverages' end, case when k % 4 = 0 then 'en:non-alcoholic-beverages ' end,
     case when k % 6 = 0 then 'en:plant-milks' end, case when k % 9 = 0 then 'en:dairies' end) as categories_tags,
   concat_ws(',', case when k % 3 = 0 then 'en:no-fat' end, case when k % 5 = 0 then ' en:saturated-fat-free ' end,
-    case when k % 4 = 0 then 'en:no-sugar' end, case when k % 7 = 0 then 'en:no-added-sugar' end, case when k % 2 = 0 then 'en:source-of-fibre' end,
+    case when k % 5 = 1 then 'en:no-sugar' end, case when k % 7 = 0 then 'en:no-added-sugar' end, case when k % 2 = 0 then 'en:source-of-fibre' end,
     case when k % 8 = 1 then 'en:source-of-omega-3-polyunsaturates' end, case when k % 6 = 1 then 'en:source-of-omega-3' end,
     case when k % 10 = 3 then 'en:trans-fat-free' end, case when k % 5 = 2 then 'en:vegan' end) as labels_tags,
   concat_ws(',', 'en:water', case when k % 3 = 1 then 'en:added-sugar' end, case when k % 14 = 0 then ' ' end) as ingredients_tags,
@@ -100,7 +100,7 @@ from (select k, 0 as s from ({BASE}) b0 where k % 4 > 0
 #: One row an ingredient: node 0.. at depth 1, children of node 0 below.
 INGREDIENTS = f"""
 select k, depth, node,
-  concat('en:i', cast((k + depth * 7 + node) % 50 as string)) as id,
+  case when (k + depth + node) % 10 = 3 then 'en:added-sugar' else concat('en:i', cast((k + depth * 7 + node) % 50 as string)) end as id,
   case when (k + depth + node) % 6 < 4 then 'yes' when (k + depth + node) % 12 = 4 then ' Unknown ' when (k + depth + node) % 12 = 10 then 'maybe'
        when (k + depth + node) % 12 = 5 then null else '' end as vegan
 from (select k, 1 as depth, 0 as node from ({BASE}) b0 where k % 4 > 0

@@ -172,7 +172,7 @@ CONDITIONS: dict[str, tuple[str, str]] = {
     "en:no-fat-label-claim-but-fat-above-0.5": ("warning", f"{HAS('c.labels_tags', 'en:no-fat')} and as_fat > 0.5"),
     "en:saturated-fat-free-label-claim-but-fat-above-0.1": ("warning", f"{HAS('c.labels_tags', 'en:saturated-fat-free')} and as_saturated > 0.1"),
     "en:sugar-free-label-claim-but-sugar-above-limitation": ("warning", f"c.european and {HAS('c.labels_tags', 'en:no-sugar')} and as_sugars > 0.5"),
-    "en:no-added-sugar-label-claim-but-contains-added-sugar": ("warning", f"c.european and {HAS('c.labels_tags', 'en:no-added-sugar')} and false"),
+    "en:no-added-sugar-label-claim-but-contains-added-sugar": ("warning", f"c.european and {HAS('c.labels_tags', 'en:no-added-sugar')} and c.k in (select k from ({INGREDIENTS}) i where i.depth = 1 and i.id = 'en:added-sugar')"),
     "en:ingredients-percent-analysis-not-ok": ("warning", "c.percent_analysis < 0"),
     "en:ingredients-percent-analysis-ok": ("info", "c.percent_analysis > 0"),
     "en:all-ingredients-with-specified-percent": ("info", "c.specified_n > 0 and c.unspecified_n = 0"),
@@ -327,10 +327,10 @@ def set_id(spark, sf_dir):
     return rows.select("k", "s", name.alias("set_id"), F.when(F.col("s") == 9, "warning").otherwise("error").alias("sev"))
 
 
-@query("nutrient_units", f"select k, v.n as nutrient, v.u as unit from ({SOURCE}) s join (values ('energy-kcal','kcal'),('energy','kJ'),('energy-kj','kJ'),('fat','g')) v(n, u) on true where k % 50 = 0")
+@query("nutrient_units", f"select k, v.n as nutrient, v.u as unit from ({SOURCE}) s join (values ('energy-kcal','kcal'),('energy','kJ'),('energy-kj','kJ'),('fat','g')) v(n, u) on true")
 def nutrient_units(spark, sf_dir):
     names = F.explode(F.array(*[F.lit(n) for n in ("energy-kcal", "energy", "energy-kj", "fat")]))
-    return source_flat(spark, sf_dir).where("k % 50 = 0").select("k", names.alias("nutrient")).withColumn("unit", sc.nutrient_unit(F.col("nutrient")))
+    return source_flat(spark, sf_dir).select("k", names.alias("nutrient")).withColumn("unit", sc.nutrient_unit(F.col("nutrient")))
 
 
 @query("nutrient_values", "select k, s, cast(kcal as double) as value, cast(kcal_computed as double) as computed, coalesce(starch10 / 10.0::double, 0) as starch from (" + NUTRITION + ") n")
