@@ -19,13 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-
 #: Longest context in bytes.
 ORDER = 4
 #: Bounds of the training sample: rows and bytes of one language, and languages.
