@@ -221,13 +221,13 @@ def _count_rows(parts: int, frequent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", _ROUND):
-                data, lengths = _texts(batch.column(1))
+                data, lengths = _texts(batch.column(2))
                 starts = np.cumsum(lengths) - lengths
                 p, _, _, h = anchors(data, lengths)
                 doc = np.searchsorted(starts, p, side="right") - 1
-                ids = batch.column(0).to_numpy(zero_copy_only=False)[doc]
                 order = np.argsort(h, kind="stable")
-                h, ids, at = h[order], ids[order], (p - starts[doc])[order]
+                h, doc, at = h[order], doc[order], (p - starts[doc])[order]
+                ids, ths = (batch.column(c).to_numpy(zero_copy_only=False)[doc] for c in (0, 1))
                 new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
                 own = np.diff(np.r_[new, len(h)])
                 n = np.ones(len(h), np.uint32)
@@ -235,13 +235,14 @@ def _count_rows(parts: int, frequent: int):
                 many = np.repeat(own > frequent, own)
                 n[many] = 0
                 speak = new[own > frequent]
-                key = np.where(many, _mixed(ids.astype(np.uint64) ^ _U(0x5851F42D4C957F2D)), h)
+                key = np.where(many, _mixed(ids.astype(np.uint64) ^ ths.astype(np.uint64) ^ _U(0x5851F42D4C957F2D)), h)
                 h2 = np.r_[h, h[speak]]
                 key = np.r_[key, h[speak]]
                 ids = np.r_[ids, np.full(len(speak), _MIN_ID)]
+                ths = np.r_[ths, np.zeros(len(speak), np.int64)]
                 at = np.r_[at, np.full(len(speak), -1)]
                 n = np.r_[n, own[own > frequent].astype(np.uint32)]
-                out = [(part, _pack(h2[i], ids[i].astype(np.int64), at[i].astype(np.int32), n[i])) for part, i in _by_part((key % _U(parts)).astype(np.int64))]
+                out = [(part, _pack(h2[i], ids[i].astype(np.int64), ths[i].astype(np.int64), at[i].astype(np.int32), n[i])) for part, i in _by_part((key % _U(parts)).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([y for _, y in out], pa.binary())], ["part", "blob"])
 
     return run
@@ -251,24 +252,25 @@ def _repeated_anchors(frequent: int):
     """Step 2: places whose anchor hash occurs more than once; bit 0 of ``place`` marks frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [_unpack(blob, np.uint64, np.int64, np.int32, np.uint32) for b in batches for blob in b.column(1).to_pylist()]
+        held = [_unpack(blob, np.uint64, np.int64, np.int64, np.int32, np.uint32) for b in batches for blob in b.column(1).to_pylist()]
         if not held:
             return
-        h, ids, at, n = (np.concatenate(v) for v in zip(*held, strict=True))
+        h, ids, ths, at, n = (np.concatenate(v) for v in zip(*held, strict=True))
         del held
         told = n == 0
-        out_ids, out_at = [ids[told]], [at[told].astype(np.int64) * 2 + 1]
-        h, ids, at, n = h[~told], ids[~told], at[~told], n[~told]
+        out_ids, out_ths, out_at = [ids[told]], [ths[told]], [at[told].astype(np.int64) * 2 + 1]
+        h, ids, ths, at, n = h[~told], ids[~told], ths[~told], at[~told], n[~told]
         order = np.argsort(h, kind="stable")
         new = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]]) if len(h) else np.zeros(0, np.int64)
         total = np.add.reduceat(n[order].astype(np.int64), new) if len(h) else np.zeros(0, np.int64)
         total = np.repeat(total, np.diff(np.r_[new, len(h)]))
         keep = (total > 1) & (at[order] >= 0)
         out_ids.append(ids[order][keep])
+        out_ths.append(ths[order][keep])
         out_at.append(at[order][keep].astype(np.int64) * 2 + (total[keep] > frequent))
-        a, b = np.concatenate(out_ids), np.concatenate(out_at)
-        for s in range(0, len(a), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(a[s : s + (1 << 18)]), pa.array(b[s : s + (1 << 18)])], ["ord", "place"])
+        cols = [np.concatenate(c) for c in (out_ids, out_ths, out_at)]
+        for s in range(0, len(cols[0]), 1 << 18):
+            yield pa.RecordBatch.from_arrays([pa.array(c[s : s + (1 << 18)]) for c in cols], ["ord", "th", "place"])
 
     return run
 
@@ -621,10 +623,10 @@ def _cut(with_text: bool):
         open_ = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[tuple] = []
-            for th, packed, spans in zip(*(batch.column(c).to_pylist() for c in ("th", "text", "spans")), strict=True):
+            for packed, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "spans")), strict=True):
                 text = open_.decompress(packed)
                 merged: list[list[int]] = []
-                for s, e in sorted((x["start"], x["end"]) for x in spans or () if x["th"] == th):
+                for s, e in sorted((x["start"], x["end"]) for x in spans or ()):
                     if merged and s <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], e)
                     else:
@@ -665,20 +667,21 @@ def cut(
         F.octet_length(text).cast("long").alias("size"),
         text.cast("binary").alias("text"),
     )
-    counted = rows.where(F.col("size") >= WINDOW).select("ord", "text").mapInArrow(_count_rows(parts, frequent), "part int, blob binary")
-    places = counted.repartitionById(parts, "part").mapInArrow(_repeated_anchors(frequent), "ord long, place long")
-    asked = places.groupBy("ord").agg(F.collect_set("place").alias("places"))
-    # bucketed by id: the intervals join the documents without another shuffle of texts
+    counted = rows.where(F.col("size") >= WINDOW).select("ord", "th", "text").mapInArrow(_count_rows(parts, frequent), "part int, blob binary")
+    places = counted.repartitionById(parts, "part").mapInArrow(_repeated_anchors(frequent), "ord long, th long, place long")
+    # rows of one id may differ in text: places are those of an id and a text
+    asked = places.groupBy("ord", "th").agg(F.collect_set("place").alias("places"))
+    # bucketed by id and text: the intervals join the documents without another shuffle of texts
     name = f"larder_repeats_{uuid.uuid4().hex}"
     pressed = rows.mapInArrow(_pressed, rows.schema)
-    joined = pressed.join(asked.hint("shuffle_hash"), "ord", "left")
-    joined.write.format("parquet").bucketBy(parts, "ord").saveAsTable(name)
+    joined = pressed.join(asked.hint("shuffle_hash"), ["ord", "th"], "left")
+    joined.write.format("parquet").bucketBy(parts, "ord", "th").saveAsTable(name)
     found = spark.table(name)
     suspects = found.where(F.col("places").isNotNull()).select("ord", "th", "size", "text", "places")
     dealt = suspects.mapInArrow(_stretches(parts), "part int, kind int, blob binary").repartitionById(parts, "part")
     spans = dealt.mapInArrow(_covered, "ord long, th long, start long, end long")
-    spans = spans.groupBy("ord").agg(F.collect_list(F.struct("th", "start", "end")).alias("spans"))
-    whole = found.select("ord", "row", "th", "text").join(spans.hint("shuffle_hash"), "ord", "left").drop("ord")
+    spans = spans.groupBy("ord", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    whole = found.select("ord", "row", "th", "text").join(spans.hint("shuffle_hash"), ["ord", "th"], "left").drop("ord", "th")
     row_type = rows.schema["row"].dataType.simpleString()
     schema = f"row {row_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
     return whole.mapInArrow(_cut(with_text), schema), name

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.llm import suffix_dedup as sd
 
@@ -64,6 +65,25 @@ def test_against_brute_force(spark, monkeypatch, frequent, seed):
     assert mine == theirs
 
 
+@pytest.mark.parametrize("frequent", [16384, 2])
+def test_rows_of_one_id_with_texts_of_different_length(spark, monkeypatch, frequent):
+    monkeypatch.setattr(sd, "FREQUENT", frequent)
+    r = random.Random(11)
+    prose = lambda n: "".join(r.choice("abcde ") for _ in range(n))
+    passage, other = prose(300), prose(150)
+    rows = [(None, ""), (None, prose(5000) + passage + prose(60)), (None, "short " * 30), (None, passage[:120])]
+    rows += [(7, prose(4000) + passage), (7, passage), (7, prose(90) + other), (7, "x"), (9, other + passage), (9, prose(20)), (10, other)]
+    rows += [(7, rows[4][1])]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = slow(rows)
+    # the order of rows inside a task decides whose bytes a place of another text points at
+    for own in (df.coalesce(1), df.coalesce(1).orderBy(F.length("text")), df.coalesce(1).orderBy(F.length("text").desc()), df.repartition(4)):
+        got = sd.suffix_dedup_query(own).collect()
+        mine = sorted((str(g.doc_id), g.n_bytes, g.n_removed, g.n_spans, g.kept_sha256) for g in got)
+        assert mine == sorted((str(i), *want[-(1 << 63) if i is None else i, t]) for i, t in rows)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert sd.suffix_dedup_query(df).count() == 0
