@@ -4,8 +4,8 @@ Training counts, per language, every context of up to ``ORDER`` bytes and the by
 follows, over a bounded sample of labelled rows.  The counts are then frozen: a byte costs
 the escapes from each longer context that has not seen it, plus its code length in the
 longest one that has (method C escapes, no exclusion; below order 0 all 256 bytes are equal).
-A text's language is the one whose model gives the shortest code.  All languages share one
-table an order, so that a lookup gives the costs of all of them at once.
+A text's language is the one whose model gives the shortest code.  Up to TABLE_LANGUAGES
+languages share one table an order, so that a lookup gives the costs of all of them at once.
 
 Defined results: null text or text without a letter gives ``und`` and score 0; empty text
 the same; rows with null language are never trained on; without any training row all rows
@@ -20,17 +20,18 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Longest context in bytes.
 ORDER = 4
-#: Bounds of the training sample: rows and bytes of one language, and languages.
+#: Bounds of the training sample: rows and bytes of one language.  Every label is learned.
 SAMPLE_ROWS = 600
 SAMPLE_BYTES = 1_500_000
-SAMPLE_LANGUAGES = 64
-#: Texts above this many bytes are not trained on (they are scored like any other).
+#: Of longer texts, these first bytes are trained on (all of them are scored).
 SAMPLE_TEXT_BYTES = 60_000
+#: Languages of one table; a table's size grows with their square.
+TABLE_LANGUAGES = 8
 _PIECE = 8 << 20
 _LETTER = regex.compile(r"\p{L}")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -73,7 +74,9 @@ class Table:
 
 
 @dataclass
-class Model:
+class Part:
+    """Tables of some of the languages."""
+
     languages: list[str]
     #: By order n: costs of (n context bytes, byte) that some language has seen in that context.
     symbols: list[Table]
@@ -81,6 +84,13 @@ class Model:
     escapes: list[Table]
 
 
+@dataclass
+class Model:
+    languages: list[str]
+    #: Tables of the languages, in their order.
+    parts: list[Part]
+
+
 def _grams(data: np.ndarray, n: int) -> np.ndarray:
     """Packed n-byte grams at every start."""
     out = np.zeros(max(0, len(data) - n + 1), np.uint64)
@@ -92,6 +102,11 @@ def _grams(data: np.ndarray, n: int) -> np.ndarray:
 def train(samples: dict[str, list[bytes]], order: int = ORDER) -> Model:
     """Frozen cost tables from the texts of each language."""
     languages = sorted(samples)
+    groups = [languages[i : i + TABLE_LANGUAGES] for i in range(0, len(languages), TABLE_LANGUAGES)]
+    return Model(languages, [_train_part(group, samples, order) for group in groups])
+
+
+def _train_part(languages: list[str], samples: dict[str, list[bytes]], order: int) -> Part:
     counts: list[list[tuple[np.ndarray, np.ndarray]]] = []  # [language][order] -> grams of order + 1 bytes, counts
     for language in languages:
         # order zero bytes before each text stand for its start; contexts never cross texts
@@ -128,10 +143,10 @@ def train(samples: dict[str, list[bytes]], order: int = ORDER) -> Model:
             cost[mine, j] = -np.log2(seen / (total[which] + kinds[which]))
         symbols.append(Table.build(keys, cost))
         escapes.append(Table.build(contexts, escape))
-    return Model(languages, symbols, escapes)
+    return Part(languages, symbols, escapes)
 
 
-def byte_costs(model: Model, data: bytes) -> np.ndarray:
+def byte_costs(model: Part, data: bytes) -> np.ndarray:
     """Bits for each byte under each language; the text's start stands for missing context."""
     order = len(model.symbols) - 1
     padded = np.frombuffer(b"\0" * order + data, np.uint8)
@@ -158,6 +173,10 @@ def byte_costs(model: Model, data: bytes) -> np.ndarray:
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     """Bits of each text under each language, exact sums over the whole text."""
+    return np.concatenate([np.zeros((len(texts), 0))] + [_part_lengths(part, texts) for part in model.parts], axis=1)
+
+
+def _part_lengths(model: Part, texts: list[bytes]) -> np.ndarray:
     order = len(model.symbols) - 1
     out = np.zeros((len(texts), len(model.languages)), np.float64)
     group: list[int] = []
@@ -192,35 +211,33 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
 
 
 def training_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """The bounded sample: by language, the rows that come first by a hash of the id."""
-    kept = labelled.where(
-        F.col(lang_col).isNotNull()
-        & F.col(text_col).isNotNull()
-        & F.octet_length(text_col).between(1, SAMPLE_TEXT_BYTES)
-    ).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit(7)).alias("h"))
-    # a cut of the hash that leaves a few times the sample, so that only those rows are ranked
-    counts = kept.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES).collect()
-    if not counts:
-        return kept.select("lang", "text", "h").limit(0)
-    share = lambda n: int(min(1.0, 3.0 * (SAMPLE_ROWS + 20) / n) * (1 << 20))
-    chosen = F.lit(False)
-    for row in counts:
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (F.pmod(F.col("h"), F.lit(1 << 20)) < share(row["count"])))
-    return kept.where(chosen)
+    """The bounded sample: by language, the rows that come first by a hash of id and text.
+
+    ``data`` is the text's first SAMPLE_TEXT_BYTES bytes; the last row of a language may go beyond SAMPLE_BYTES.
+    """
+    kept = labelled.where(F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0)).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)).alias("h")
+    )
+    # a cut of the hash that leaves a few times the sample, so that only those rows are ranked; copies share a hash
+    counts = kept.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    near = kept.join(F.broadcast(counts), "lang").where(F.pmod("h", F.lit(1 << 20)) * F.col("n") < 3.0 * (SAMPLE_ROWS + 20) * (1 << 20))
+    data = F.substring(F.col("text").cast("binary"), 1, SAMPLE_TEXT_BYTES)
+    by = Window.partitionBy("lang").orderBy("h", "data")
+    first = near.select("lang", "h", data.alias("data")).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= SAMPLE_ROWS)
+    before = F.sum(F.octet_length("data").cast("long")).over(Window.partitionBy("lang").orderBy("rank")) - F.octet_length("data")
+    return first.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES).select("lang", "rank", "data")
 
 
 def fit(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER
 ) -> Model:
-    """Train on at most SAMPLE_ROWS rows and SAMPLE_BYTES bytes a language, SAMPLE_LANGUAGES languages."""
-    rows = training_rows(labelled, id_col, text_col, lang_col).collect()
+    """Train on at most SAMPLE_ROWS rows and SAMPLE_BYTES bytes a language."""
     samples: dict[str, list[bytes]] = {}
     held: dict[str, int] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["h"], r["text"])):
-        texts, data = samples.setdefault(row["lang"], []), row["text"].encode("utf-8", "surrogatepass")
-        if len(texts) < SAMPLE_ROWS and held.get(row["lang"], 0) + len(data) <= SAMPLE_BYTES:
-            texts.append(data)
-            held[row["lang"]] = held.get(row["lang"], 0) + len(data)
+    for row in sorted(training_rows(labelled, id_col, text_col, lang_col).collect(), key=lambda r: (r["lang"], r["rank"])):
+        data = bytes(row["data"])[: SAMPLE_BYTES - held.get(row["lang"], 0)]
+        samples.setdefault(row["lang"], []).append(data)
+        held[row["lang"]] = held.get(row["lang"], 0) + len(data)
     return train(samples, order)
 
 

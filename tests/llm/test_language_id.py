@@ -67,3 +67,30 @@ def test_no_training_rows(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in li.language_id_query(df).collect()] == ["und"]
     assert li.language_id_query(df.limit(0)).count() == 0
+
+
+def test_every_label_is_learned(spark):
+    r = random.Random(6)
+    names = [f"l{k:02d}" for k in range(70)]
+    words = {k: ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(6)] for k in names}
+    prose = lambda k, n: " ".join(r.choice(words[k]) for _ in range(n))
+    rows = [(i, prose(k, 20), k) for i, k in enumerate(names * 4)]
+    rows += [(1000, prose("l00", 30), None), (1001, prose("l69", 30), None)]
+    words["long"] = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(6)]
+    rows += [(2000 + i, prose("long", 11_000), "long") for i in range(3)] + [(3000, prose("long", 30), None)]
+    model = li.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == [*names, "long"]
+    got = li.verdicts(model, [t for _, t, _ in rows])[0]
+    want = [k for _, _, k in rows if k]
+    assert sum(a == b for a, b in zip(got, [k for _, _, k in rows], strict=True) if b) == len(want)
+    assert [a for a, (_, _, k) in zip(got, rows, strict=True) if k is None] == ["l00", "l69", "long"]
+
+
+def test_sample_is_bounded_for_null_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(li, "SAMPLE_ROWS", 20)
+    monkeypatch.setattr(li, "SAMPLE_BYTES", 150)
+    rows = [(None, f"text {i:05d}", "en") for i in range(900)] + [(5, "same text", "de")] * 900 + [(None, f"{i:03d}" * 20, "fr") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    sample = li.training_rows(df, "doc_id", "text", "lang").collect()
+    count = {k: sum(r.lang == k for r in sample) for k in ("en", "de", "fr")}
+    assert count == {"en": 15, "de": 17, "fr": 3}
