@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN_DIR: dict[str, str] = {}
 
@@ -51,7 +54,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def slices(batch: pa.RecordBatch, size_column: str, limit: int):
+def slices(batch: pa.RecordBatch, texts: str | pa.Array, limit: int):
     """Cut an Arrow batch into row ranges of at most ``limit`` bytes of one string column.
 
     A single larger row forms a range of its own, so no row is ever split or dropped.
@@ -59,7 +62,8 @@ def slices(batch: pa.RecordBatch, size_column: str, limit: int):
     n = batch.num_rows
     if n == 0:
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column(size_column)), 0).to_numpy(zero_copy_only=False)
+    column = batch.column(texts) if isinstance(texts, str) else texts
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i in range(n):
         if held and held + int(sizes[i]) > limit:
@@ -73,3 +77,28 @@ def deal(df: DataFrame, *columns, at_least: int = 0) -> DataFrame:
     """Shuffle by key into the session's number of shuffle partitions."""
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), at_least)
     return df.repartition(n, *columns)
+
+
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` whose tasks leave no freed memory behind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
+
+
+def whole_rows(df: DataFrame):
+    """All columns of a table as one struct: no column of a stage can clash with a name in it."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])

@@ -25,7 +25,7 @@ def make(seed):
     r = random.Random(seed)
     word = lambda: "".join(r.choice("abcdeéÉO") for _ in range(r.randrange(1, 7)))
     prose = lambda n: " ".join(word() + r.choice(["", "", ",", ".\n"]) for _ in range(n))
-    items = [(i, prose(r.randrange(3, 60))) for i in range(25)] + [(100, None), (101, ""), (102, "abc"), (103, "!! ?")]
+    items = [(i, prose(r.choice([2, 3, 5, 8, 30, 60]))) for i in range(25)] + [(100, None), (101, ""), (102, "abc"), (103, "!! ?")]
     rows = [(0, None), (1, ""), (2, " .. "), (3, "abc")]
     for i in range(4, 90):
         text = prose(r.randrange(0, 80))
@@ -50,11 +50,15 @@ def test_against_full_alignment(spark):
             text = slow_fold(t)
             for j, u in items:
                 item = slow_fold(u)
-                if len(item) >= 8:
+                if 0 < len(item) < 8:  # no edit to spend, whole words only
+                    if f" {item} " in f" {text} ":
+                        want[i, j] = 0
+                elif item:
                     d = slow_edits(item, text)
-                    if d <= min(int(len(item) * 0.1), (len(item) - 8) // 8):
+                    if d <= int(len(item) * 0.1):
                         want[i, j] = d
         assert got == want and len(want) > 20
+        assert any(len(slow_fold(u)) < 40 and want[i, j] == int(len(slow_fold(u)) * 0.1) > 0 for i, j in want for k, u in items if k == j)
 
 
 def test_places_and_clean(spark):
@@ -84,3 +88,40 @@ def test_fold_marks_rows():
     assert "".join(map(chr, chars)).replace("\1", "|") == "|a b||ç x|"
     assert row.tolist() == [0, 1, 1, 1, 1, 2, 3, 3, 3, 3] and place[1:4].tolist() == [0, 1, 2]
     assert isinstance(chars, np.ndarray)
+
+
+def test_all_edits_of_short_items(spark):
+    item = "abcdefghij klmnopqrst uvwxyz12"  # 30 characters, so 3 edits
+    rows = [(1, "zz abcd0fghij klmnopqrst uvwx0z1 yy"), (2, "zz ab0d0fghij kl0nopqrst uvw0yz12"), (3, "x ab0defghij kl0nopqrst uvw0yz12 y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, "cat"), (9, "ab0d0f")], "item_id int, text string")
+    got = dc.decontamination_query(docs, bench)
+    assert dict(got.dtypes)["item_id"] == "int"
+    assert {(g.doc_id, g.item_id): g.edits for g in got.collect()} == {(1, 7): 3, (3, 7): 3}
+    docs = spark.createDataFrame([(1, "A cat!"), (2, "concatenate"), (3, "dogs, cat")], "doc_id long, text string")
+    assert sorted(g.doc_id for g in dc.decontamination_query(docs, bench).collect()) == [1, 3]
+
+
+def test_long_texts_in_pieces():
+    rows, items = make(4)
+    texts = [t or "" for _, t in rows]
+    index = dc.Items([i for i, _ in items], [t for _, t in items])
+    whole = "  \n".join(texts) + " cat"
+    want = {i: d for _, i, d, _, _ in dc.leaks_in(index, [whole], size=1 << 30)}
+    for size in (700, 1111, 4000):
+        found = dc.leaks_in(index, [whole], size=size)
+        assert {i: d for _, i, d, _, _ in found} == want
+        for _, i, d, s, e in found:
+            assert slow_edits("".join(map(chr, index.chars[i])), slow_fold("q" + whole[s:e] + "q")) <= d
+    gaps = "one two" + " " * 3000 + "three four five"
+    one = dc.Items([1, 2], ["one two three four", "fiv"])
+    assert [(i, d) for _, i, d, _, _ in dc.leaks_in(one, [gaps], size=100)] == [(0, 0)]
+
+
+def test_columns_of_any_name(spark):
+    rows = [(1, "see: the tallest mountain of all", 1, 2, 3), (2, "none", 4, 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `_folded` int, `a.b` int, row int")
+    bench = spark.createDataFrame([("q", "the tallest mountain of all")], "item_id string, text string")
+    out = dc.clean(docs, bench)
+    assert out.schema == docs.schema and [tuple(r) for r in out.collect()] == rows[1:]
+    assert [(r.doc_id, r.item_id) for r in dc.leaks(docs, bench).collect()] == [(1, "q")]
