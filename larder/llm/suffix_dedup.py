@@ -10,12 +10,12 @@ doc_id, or same document and earlier start); strings never cross documents.
 3. Around the other anchors, the stretch of text that holds all windows of the anchor is dealt
    out by anchor hash.  There, the suffixes that start at equal anchors are put in order by a
    mergesort whose comparisons find the common extension by binary search over prefix
-   polynomial hashes; neighbours' extensions give those of any two, and extensions to the
-   left say which windows two places share.  Claimed windows are compared byte by byte.
-4. Groups beyond ``GROUP`` places would need too many pairs: there, the hashes of all windows
-   are sorted, and the first place of each window stays.  An anchor with over ``FREQUENT``
-   places would make a task too large: its windows are dealt out one by one, under a hash of
-   128 bits.
+   polynomial hashes.  Neighbours' extensions part the order into runs that share what is
+   right of a window's anchor; inside a run, the hash of what is left of it tells equal windows,
+   of which the first stays.  Claimed windows are compared byte by byte, in groups of any size.
+4. An anchor with over ``FREQUENT`` places would make a task too large.  Its stretches are cut
+   where a second anchor of the windows (least under another hash) changes, and dealt out by
+   both anchors; equal ones are reduced to the first in salted groups before they meet.
 5. Intervals meet their documents again, which are cut and hashed.
 
 Equal stretches inside one task are reduced to the first before they are dealt out, so a
@@ -36,22 +36,30 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from larder.llm.common import slices, written
+from larder.llm.common import mapped, slices, written
 
 WINDOW = 100
 GRAM = 32
-#: Places of one anchor whose suffixes are compared pair by pair; beyond it, window hashes are sorted.
-GROUP = 64
-#: Places of one anchor that meet in one task; beyond it, windows are dealt out one by one.
+#: Places of one anchor that meet in one task; beyond it, stretches are dealt out by a second anchor too.
 FREQUENT = 16_384
+#: Groups that the equal stretches of a frequent anchor are reduced in before they meet.
+SALTS = 32
+#: Text of one task where stretches meet, at least as many tasks as the session's shuffle partitions.
+TASK_BYTES = 64 << 20
 #: Text of one round of numpy work.
 _ROUND = 8 << 20
 _SEGMENT = 1 << 18
-_ROWS = 30_000
+_ROWS = 10_000
 _MIN_ID = -(1 << 63)
+#: Buckets of the table of documents; Spark allows no more by default.
+MOST_BUCKETS = 100_000
+#: Sets the hash of second anchors apart.
+_SECOND = 0x632BE59BD9B4E019
 
 _U = np.uint64
 _BASES = (_U(0x9E3779B97F4A7C15 | 1), _U(0xC2B2AE3D27D4EB4F | 1))
@@ -131,7 +139,16 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - have)], values[width - have :]) if width > have else values
 
 
-def anchors(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def span_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hashes of many short substrings (up to two windows), with prefix sums of a segment at a time."""
+    out = np.zeros(len(start), np.uint64)
+    for k, i in _by_part(start // _SEGMENT):
+        at = k * _SEGMENT
+        out[i] = Prefix(data[at : at + _SEGMENT + 2 * WINDOW]).hashes(start[i] - at, length[i])
+    return out
+
+
+def anchors(data: np.ndarray, lengths: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchor place, first and last window start of it, and gram hash, for concatenated documents."""
     width = WINDOW - GRAM + 1
     flags = np.tile(np.array([True, False]), len(lengths))
@@ -143,7 +160,7 @@ def anchors(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     place, first, last, gram = [], [], [], []
     for at in range(0, max(0, len(data) - WINDOW + 1), _SEGMENT):
         piece = data[at : at + _SEGMENT + WINDOW - 1]
-        hashed = _mixed(_grams_of(piece, GRAM))
+        hashed = _mixed(_grams_of(piece, GRAM) ^ _U(salt))
         tagged = (hashed & _U(0xFFFFFFFF00000000)) | np.arange(len(hashed), dtype=np.uint64)
         chosen = _least(tagged, width) & none
         chosen[~valid[at : at + len(chosen)]] = none
@@ -288,89 +305,129 @@ def _merged(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return key[new], start[new], stop
 
 
-def _stretches(parts: int):
-    """Step 3: stretches and windows around repeated anchors; those known to repeat in this batch are covered at once."""
+def equal_to_earlier(data, a, b, p, h, ids, at) -> np.ndarray:
+    """Which stretches (window starts a to b around the anchor p) equal one of smaller (id, at), byte by byte."""
+    gone = np.zeros(len(a), bool)
+    if len(a) < 2:
+        return gone
+    length = b + WINDOW - a
+    key = _mixed(span_hashes(data, a, length) ^ (length.astype(np.uint64) << _U(40)) ^ (p - a).astype(np.uint64)) ^ h
+    order = np.lexsort((at, ids, key))
+    key = key[order]
+    new = np.r_[True, key[1:] != key[:-1]]
+    later = np.flatnonzero(~new)
+    x, y = order[later], order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))[later]]
+    # what isn't earlier is a repeated row: it counts like a first place
+    fits = (length[x] == length[y]) & (p[x] - a[x] == p[y] - a[y]) & ((ids[y] < ids[x]) | ((ids[y] == ids[x]) & (at[y] < at[x])))
+    x, y = x[fits], y[fits]
+    for i in range(0, len(x), 1 << 12):
+        u, v = x[i : i + (1 << 12)], y[i : i + (1 << 12)]
+        step = np.minimum(np.arange(2 * WINDOW - GRAM)[None, :], (length[u] - 1)[:, None])
+        gone[u] = (data[a[u][:, None] + step] == data[a[v][:, None] + step]).all(axis=1)
+    return gone
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["part", "kind", "blob"])
+
+
+def _covers(parts: int, ids, ths, u, v) -> list[tuple]:
+    """Rows of kind 0: intervals known to go, dealt out by document."""
+    return [(part, 0, _pack(ids[i].astype(np.int64), ths[i].astype(np.int64), u[i], v[i])) for part, i in _by_part((_mixed(ids.astype(np.uint64)) % _U(parts)).astype(np.int64))]
+
+
+def _dealt(parts: int, kind: int, salt: int, data, a, b, p, h, ids, ths, at) -> list[tuple]:
+    """Rows of stretches, dealt out by key (and salt)."""
+    rows = []
+    for part, x in _by_part((_mixed(h + _U(salt)) % _U(parts)).astype(np.int64)):
+        text = b"".join([data[u:v].tobytes() for u, v in zip(a[x].tolist(), (b[x] + WINDOW).tolist(), strict=True)])
+        rows.append((part, kind, _pack(h[x], ids[x].astype(np.int64), ths[x].astype(np.int64), at[x].astype(np.int64), (p[x] - a[x]).astype(np.uint8), (b[x] + WINDOW - a[x]).astype(np.uint8), text)))
+    return rows
+
+
+_TYPES = {0: (np.int64,) * 4, 1: (np.uint64, np.int64, np.int64, np.int64, np.uint8, np.uint8, bytes)}
+
+
+def _stretches(parts: int, hot: bool):
+    """Step 3 (hot: 4): stretches around repeated anchors; those known to repeat in this batch are covered at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt = 7 * TaskContext.get().partitionId()
         for whole in batches:
             for batch in _packed_slices(whole):
-                yield from one(batch)
+                salt += 1
+                yield one(batch, salt % SALTS + 1 if hot else 0)
 
-    def one(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        ths = batch.column(1).to_numpy(zero_copy_only=False)
+    def one(batch: pa.RecordBatch, salt: int) -> pa.RecordBatch:
         open_ = zstandard.ZstdDecompressor()
-        rows = [open_.decompress(x) for x in batch.column("text").to_pylist()]
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        data = np.frombuffer(b"".join(rows), np.uint8)
+        texts = [open_.decompress(x) for x in batch.column("text").to_pylist()]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        del texts
         starts = np.cumsum(lengths) - lengths
         p, a, b, h = anchors(data, lengths)
-        doc = np.searchsorted(starts, p, side="right") - 1
         asked = batch.column("places")
         of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
         asked = asked.flatten().to_numpy(zero_copy_only=False)
         known = np.unique((starts[of] + (asked >> 1)) * 2 + (asked & 1))
         mark = np.zeros(len(data) + 1, np.uint8)
         mark[known >> 1] = 1 + (known & 1)
-        kind = mark[p]
-        del mark
-        prefix = Prefix(data)
-        cover = []  # document index, start, end inside the batch's buffer
-        rows = []  # part, kind, blob
-
-        s = np.flatnonzero(kind == 1)
-        length = b[s] + WINDOW - a[s]
-        key = _mixed(prefix.hashes(a[s], length) ^ (length.astype(np.uint64) << _U(40)) ^ (p[s] - a[s]).astype(np.uint64)) ^ h[s]
-        order = np.lexsort((a[s] - starts[doc[s]], ids[doc[s]], key))
-        s, length, key = s[order], length[order], key[order]
-        new = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
-        head = s[np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))] if len(s) else s
-        later = np.flatnonzero(~new)
-        if len(later):
-            same = np.zeros(len(later), bool)
-            for i in range(0, len(later), 1 << 13):
-                x, y, n = s[later[i : i + (1 << 13)]], head[later[i : i + (1 << 13)]], length[later[i : i + (1 << 13)]]
-                step = np.minimum(np.arange(2 * WINDOW - GRAM)[None, :], (n - 1)[:, None])
-                fits = (b[x] - a[x] == b[y] - a[y]) & (p[x] - a[x] == p[y] - a[y])
-                same[i : i + (1 << 13)] = fits & (data[np.minimum(a[x][:, None] + step, len(data) - 1)] == data[np.minimum(a[y][:, None] + step, len(data) - 1)]).all(axis=1)
-            x, y = s[later[same]], head[later[same]]
-            earlier = (ids[doc[y]] < ids[doc[x]]) | ((ids[doc[y]] == ids[doc[x]]) & (a[y] - starts[doc[y]] < a[x] - starts[doc[x]]))
-            x = x[earlier]
-            cover.append((doc[x], a[x], b[x] + WINDOW))
-            # what isn't earlier is a repeated row: it is dealt out like a first place
-            keep = new.copy()
-            keep[later] = True
-            keep[later[same][earlier]] = False
-            s = s[keep]
-        for part, i in _by_part((h[s] % _U(parts)).astype(np.int64)):
-            x = s[i]
-            text = b"".join([data[u:v].tobytes() for u, v in zip(a[x].tolist(), (b[x] + WINDOW).tolist(), strict=True)])
-            rows.append((part, 1, _pack(h[x], ids[doc[x]].astype(np.int64), ths[doc[x]].astype(np.int64), (a[x] - starts[doc[x]]).astype(np.int64), (p[x] - a[x]).astype(np.uint8), (b[x] + WINDOW - a[x]).astype(np.uint8), text)))
-
-        f = np.flatnonzero(kind == 2)
-        if len(f):
-            many = b[f] - a[f] + 1
-            d = np.repeat(doc[f], many)
-            at = np.repeat(a[f], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            one_, two = prefix.hashes(at, WINDOW), Prefix(data, 1).hashes(at, WINDOW)
-            order = np.lexsort((at - starts[d], ids[d], two, one_))
-            d, at, one_, two = d[order], at[order], one_[order], two[order]
-            new = np.r_[True, (one_[1:] != one_[:-1]) | (two[1:] != two[:-1])]
-            head = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-            earlier = (ids[d[head]] < ids[d]) | (at[head] - starts[d[head]] < at - starts[d])
-            late = ~new & earlier
-            cover.append((d[late], at[late], at[late] + WINDOW))
-            d, at, one_, two = d[~late], at[~late], one_[~late], two[~late]
-            for part, i in _by_part((_mixed(one_) % _U(parts)).astype(np.int64)):
-                rows.append((part, 2, _pack(one_[i], two[i], ids[d[i]].astype(np.int64), ths[d[i]].astype(np.int64), (at[i] - starts[d[i]]).astype(np.int64))))
-        if cover:
-            d, u, v = _merged(*(np.concatenate(x) for x in zip(*cover, strict=True)))
-            for part, i in _by_part((_mixed(ids[d].astype(np.uint64)) % _U(parts)).astype(np.int64)):
-                rows.append((part, 0, _pack(ids[d[i]].astype(np.int64), ths[d[i]].astype(np.int64), u[i] - starts[d[i]], v[i] - starts[d[i]])))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
-            ["part", "kind", "blob"],
-        )
+        s = np.flatnonzero(mark[p] == (2 if hot else 1))
+        p, a, b, h = p[s], a[s], b[s], h[s]
+        if hot and len(p):
+            p2, a2, b2, h2 = anchors(data, lengths, _SECOND)
+            low, high = np.searchsorted(b2, a), np.searchsorted(a2, b, side="right")
+            many = high - low
+            i = np.repeat(np.arange(len(p)), many)
+            j = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - low, many)
+            a, b, h = np.maximum(a[i], a2[j]), np.minimum(b[i], b2[j]), _mixed(h[i] ^ _mixed(h2[j] + (p2[j] - p[i]).astype(np.uint64)))
+            p = p[i]
+        doc = np.searchsorted(starts, p, side="right") - 1
+        ids = batch.column(0).to_numpy(zero_copy_only=False)[doc]
+        ths = batch.column(1).to_numpy(zero_copy_only=False)[doc]
+        at = a - starts[doc]
+        gone = equal_to_earlier(data, a, b, p, h, ids, at)
+        d, u, v = _merged(doc[gone], a[gone], b[gone] + WINDOW)
+        ids_, ths_ = (batch.column(c).to_numpy(zero_copy_only=False)[d] for c in (0, 1))
+        rows = _covers(parts, ids_, ths_, u - starts[d], v - starts[d])
+        k = ~gone
+        return _batch(rows + _dealt(parts, 1, salt, data, a[k], b[k], p[k], h[k], ids[k], ths[k], at[k]))
+
+    return run
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> tuple[list, tuple | None]:
+    """The intervals of a partition, and its stretches: h, ids, ths, at, rel, length, offset in text, text."""
+    held: dict[int, list] = {0: [], 1: []}
+    for batch in batches:
+        for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            held[kind].append(_unpack(blob, *_TYPES[kind]))
+    if not held[1]:
+        return held[0], None
+    cols = list(zip(*held.pop(1), strict=True))
+    text = b"".join(cols.pop())
+    h, ids, ths, at, rel, length = (np.concatenate(c) for c in cols)
+    length = length.astype(np.int64)
+    return held[0], (h, ids, ths, at, rel.astype(np.int64), length, np.cumsum(length) - length, text)
+
+
+def _thinned(parts: int):
+    """Step 4, in a salted group: of equal stretches only the first goes on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, found = _held(batches)
+        rows = [row for x in known for row in _covers(parts, *x)]
+        if found is not None:
+            h, ids, ths, at, rel, length, offset, text = found
+            data = np.frombuffer(text, np.uint8)
+            a, b, p = offset, offset + length - WINDOW, offset + rel
+            gone = equal_to_earlier(data, a, b, p, h, ids, at)
+            rows += _covers(parts, ids[gone], ths[gone], at[gone], (at + length)[gone])
+            k = ~gone
+            rows += _dealt(parts, 1, 0, data, a[k], b[k], p[k], h[k], ids[k], ths[k], at[k])
+        if rows:
+            yield _batch(rows)
 
     return run
 
@@ -453,134 +510,69 @@ def shared_windows(h, ids, at, rel, length, text: bytes) -> tuple[np.ndarray, np
     by = np.argsort(h, kind="stable")
     first = np.flatnonzero(np.r_[True, h[by][1:] != h[by][:-1]]) if len(h) else np.zeros(0, np.int64)
     size = np.diff(np.r_[first, len(h)])
-    prefix = Prefix(data)
-    large = _shared_by_hash(prefix, data, by[np.repeat(size > GROUP, size)], h, ids, at, rel, length, offset)
-    few = (size > 1) & (size <= GROUP)
-    by, size = by[np.repeat(few, size)], size[few]
+    by, size = by[np.repeat(size > 1, size)], size[size > 1]
     first = np.cumsum(size) - size
-    place = (offset + rel)[by]
-    end = (offset + length)[by]
-    order = suffix_sort(prefix, data, place, end, first, size)
-    row, place, end = by[order], place[order], end[order]
-    n = len(row)
-    left_room, right_room = rel[row], end - place
+    n = len(by)
+    if not n:
+        return by, by, by
+    prefix = Prefix(data)
+    order = suffix_sort(prefix, data, (offset + rel)[by], (offset + length)[by], first, size)
+    row = by[order]
+    place, end, left_room, ids, when = (offset + rel)[row], (offset + length)[row], rel[row], ids[row], (at + rel)[row]
     stop = np.repeat(first + size, size)
-    low = np.full(n, 1 << 30)  # least and greatest shared offset, and with whom
-    high = np.full(n, -1)
-    low_with, high_with = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    # common extension with the next of the group, and the longest with anyone
+    lcp = np.zeros(n, np.int64)
     i = np.flatnonzero(np.arange(n) + 1 < stop)
-    neighbour = np.zeros(n, np.int64)
-    neighbour[i] = common_extension(prefix, place[i], place[i + 1], np.minimum(right_room[i], right_room[i + 1]))
-    reach = neighbour.copy()
-    for d in range(1, int(size.max()) if len(size) else 1):
-        i = np.flatnonzero(np.arange(n) + d < stop)
-        j = i + d
-        if d > 1:
-            reach[i] = np.minimum(reach[i], neighbour[j - 1])
-        near = reach[i] >= WINDOW - np.minimum(left_room[i], left_room[j])
-        i, j = i[near], j[near]
-        back = common_extension(prefix, place[i], place[j], np.minimum(left_room[i], left_room[j]), left=True)
-        lo, hi = np.maximum(WINDOW - reach[i], 0), back
-        ok = lo <= hi
-        i, j, lo, hi = i[ok], j[ok], lo[ok], hi[ok]
-        pi, pj = at[row[i]] + rel[row[i]], at[row[j]] + rel[row[j]]
-        i_first = (ids[row[i]] < ids[row[j]]) | ((ids[row[i]] == ids[row[j]]) & (pi < pj))
-        tie = (ids[row[i]] == ids[row[j]]) & (pi == pj)
-        # a row can be the later one of two pairs at this distance, once on each side
-        for x, y, mine in ((j, i, i_first & ~tie), (i, j, ~i_first & ~tie)):
-            x, y, lo_, hi_ = x[mine], y[mine], lo[mine], hi[mine]
-            better = lo_ < low[x]
-            low[x[better]], low_with[x[better]] = lo_[better], y[better]
-            better = hi_ > high[x]
-            high[x[better]], high_with[x[better]] = hi_[better], y[better]
+    lcp[i] = common_extension(prefix, place[i], place[i + 1], np.minimum(end[i] - place[i], end[i + 1] - place[i + 1]))
+    reach = np.maximum(lcp, np.r_[0, lcp[:-1]])
+    # dense rank of the windows in time: equal for repeated rows
+    turn = np.lexsort((when, ids))
+    rank = np.empty(n, np.int64)
+    rank[turn] = np.cumsum(np.r_[0, (ids[turn][1:] != ids[turn][:-1]) | (when[turn][1:] != when[turn][:-1])])
+    low, high = np.full(n, 1 << 30), np.full(n, -1)
+    low_with, high_with = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for off in range(int(left_room.max()) + 1):
+        some = np.flatnonzero((reach >= WINDOW - off) & (left_room >= off))
+        if len(some) < 2:
+            continue
+        run = np.cumsum(np.r_[0, lcp[:-1] < WINDOW - off])[some]
+        key = _mixed(prefix.hashes(place[some] - off, off) ^ _mixed(run.astype(np.uint64)))
+        turn = np.lexsort((rank[some], key))
+        some, key = some[turn], key[turn]
+        head = some[np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(some)), 0))]
+        late = rank[some] > rank[head]
+        x, y = some[late], head[late]
+        new = high[x] < 0
+        low[x[new]], low_with[x[new]] = off, y[new]
+        high[x], high_with[x] = off, y
     got = np.flatnonzero(high >= 0)
     step = np.arange(WINDOW)
     bad = np.zeros(len(got), bool)
-    for s in range(0, len(got), 1 << 13):
-        g = got[s : s + (1 << 13)]
+    for s in range(0, len(got), 1 << 12):
+        g = got[s : s + (1 << 12)]
         for off, other in ((low[g], low_with[g]), (high[g], high_with[g])):
             u, v = place[g] - off, place[other] - off
-            bad[s : s + (1 << 13)] |= (data[u[:, None] + step] != data[v[:, None] + step]).any(axis=1)
+            bad[s : s + (1 << 12)] |= (data[u[:, None] + step] != data[np.minimum(v[:, None] + step, len(data) - 1)]).any(axis=1)
     if bad.any():  # a hash collision: these rows are compared byte by byte with their whole group
         for g in got[bad]:
             f = int(np.searchsorted(first, g, side="right") - 1)
             low[g], high[g] = 1 << 30, -1
             for y in range(first[f], first[f] + size[f]):
-                if (ids[row[y]], at[row[y]] + rel[row[y]]) < (ids[row[g]], at[row[g]] + rel[row[g]]):
+                if rank[y] < rank[g]:
                     for off in range(int(min(left_room[g], left_room[y])) + 1):
                         u, v = place[g] - off, place[y] - off
                         if u + WINDOW <= end[g] and v + WINDOW <= end[y] and (data[u : u + WINDOW] == data[v : v + WINDOW]).all():
                             low[g], high[g] = min(low[g], off), max(high[g], off)
         got = got[high[got] >= 0]
-    return tuple(np.concatenate(x) for x in zip((row[got], low[got], high[got]), large, strict=True))
-
-
-def _shared_by_hash(prefix: Prefix, data: np.ndarray, some: np.ndarray, h, ids, at, rel, length, offset) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As :func:`shared_windows`, for rows of large groups: all their windows in order of hash and place."""
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    done = 0
-    while done < len(some):  # whole groups, about 20,000 rows a round
-        stop = min(len(some), done + 20_000)
-        while stop < len(some) and h[some[stop]] == h[some[stop - 1]]:
-            stop += 1
-        rows = some[done:stop]
-        done = stop
-        many = length[rows] - WINDOW + 1
-        row = np.repeat(rows, many)
-        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        start = offset[row] + step
-        key = _mixed(prefix.hashes(start, WINDOW) ^ _mixed(h[row] + (rel[row] - step).astype(np.uint64)))
-        order = np.lexsort((at[row] + step, ids[row], key))
-        row, step, start, key = row[order], step[order], start[order], key[order]
-        new = np.r_[True, key[1:] != key[:-1]]
-        head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-        late = np.flatnonzero(~new & ((ids[row[head]] < ids[row]) | (at[row[head]] + step[head] < at[row] + step)))
-        if not len(late):
-            continue
-        same = np.ones(len(late), bool)
-        span = np.arange(WINDOW)
-        for s in range(0, len(late), 1 << 13):
-            i = late[s : s + (1 << 13)]
-            same[s : s + (1 << 13)] = (data[start[i][:, None] + span] == data[start[head[i]][:, None] + span]).all(axis=1)
-        for i in late[~same].tolist():  # a hash collision: the window is looked for among all of its key
-            rivals = range(int(head[i]), i)
-            same[np.searchsorted(late, i)] = any(
-                (ids[row[j]], at[row[j]] + step[j]) < (ids[row[i]], at[row[i]] + step[i])
-                and (data[start[j] : start[j] + WINDOW] == data[start[i] : start[i] + WINDOW]).all()
-                for j in rivals
-            )
-        late = late[same]
-        r, off = row[late], rel[row[late]] - step[late]
-        low, high = np.full(len(h), 1 << 30), np.full(len(h), -1)
-        np.minimum.at(low, r, off)
-        np.maximum.at(high, r, off)
-        hit = np.unique(r)
-        out.append((hit, low[hit], high[hit]))
-    if not out:
-        z = np.zeros(0, np.int64)
-        return z, z, z
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    return row[got], low[got], high[got]
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Steps 3 and 4 where equal anchors and windows meet: intervals to remove."""
-    held: dict[int, list] = {0: [], 1: [], 2: []}
-    types = {
-        0: (np.int64, np.int64, np.int64, np.int64),
-        1: (np.uint64, np.int64, np.int64, np.int64, np.uint8, np.uint8, bytes),
-        2: (np.uint64, np.uint64, np.int64, np.int64, np.int64),
-    }
-    for batch in batches:
-        for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            held[kind].append(_unpack(blob, *types[kind]))
-    out = [tuple(x) for x in held[0]]
-    if held[1]:
-        cols = list(zip(*held[1], strict=True))
-        h, ids, ths, at, rel, length = (np.concatenate(c) for c in cols[:6])
-        text = b"".join(cols[6])
-        del cols, held[1]
-        rel, length = rel.astype(np.int64), length.astype(np.int64)
-        offset = np.cumsum(length) - length
+    """Step 3 where equal anchors meet: intervals to remove."""
+    known, found = _held(batches)
+    out = [tuple(x) for x in known]
+    if found is not None:
+        h, ids, ths, at, rel, length, offset, text = found
         order = np.argsort(h, kind="stable")
         done = 0
         while done < len(order):  # whole groups, a bounded number of rows a round unless one group is larger
@@ -594,14 +586,7 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = r[row]
             p = at[row] + rel[row]
             out.append((ids[row], ths[row], p - hi, p - lo + WINDOW))
-    if held[2]:
-        one, two, ids, ths, at = (np.concatenate(c) for c in zip(*held[2], strict=True))
-        order = np.lexsort((at, ids, two, one))
-        one, two, ids, ths, at = one[order], two[order], ids[order], ths[order], at[order]
-        new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
-        head = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        late = ~new & ((ids[head] < ids) | (at[head] < at))
-        out.append((ids[late], ths[late], at[late], at[late] + WINDOW))
+        del found, text
     if not out:
         return
     ids, ths, u, v = (np.concatenate(c) for c in zip(*out, strict=True))
@@ -653,38 +638,42 @@ def cut(
 ) -> tuple[DataFrame, str]:
     """Every row of ``docs`` without its repeats, and the name of the table that the result reads.
 
-    Columns: row (struct of all columns but the text), n_bytes, n_removed, n_spans, kept_sha256, and
+    Columns: row (own: all columns but the text, absent: whether the text is null), n_bytes, n_removed, n_spans, kept_sha256, and
     kept, the remaining text without what is left of split characters (null unless ``with_text``).
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = frequent or FREQUENT
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    size = F.octet_length(text).cast("long")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (docs.agg(F.sum(size)).first()[0] or 0) // TASK_BYTES)
+    own = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(_MIN_ID)).alias("ord"),
+        F.struct(F.struct(*own).alias("own"), F.col(f"`{text_col}`").isNull().alias("absent")).alias("row"),
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_MIN_ID)).alias("ord"),
         F.xxhash64(text).alias("th"),
-        F.octet_length(text).cast("long").alias("size"),
+        size.alias("size"),
         text.cast("binary").alias("text"),
     )
-    counted = rows.where(F.col("size") >= WINDOW).select("ord", "th", "text").mapInArrow(_count_rows(parts, frequent), "part int, blob binary")
-    places = counted.repartitionById(parts, "part").mapInArrow(_repeated_anchors(frequent), "ord long, th long, place long")
+    counted = mapped(rows.where(F.col("size") >= WINDOW).select("ord", "th", "text"), _count_rows(parts, frequent), "part int, blob binary")
+    places = mapped(counted.repartitionById(parts, "part"), _repeated_anchors(frequent), "ord long, th long, place long")
     # rows of one id may differ in text: places are those of an id and a text
     asked = places.groupBy("ord", "th").agg(F.collect_set("place").alias("places"))
     # bucketed by id and text: the intervals join the documents without another shuffle of texts
     name = f"larder_repeats_{uuid.uuid4().hex}"
-    pressed = rows.mapInArrow(_pressed, rows.schema)
-    joined = pressed.join(asked.hint("shuffle_hash"), ["ord", "th"], "left")
-    joined.write.format("parquet").bucketBy(parts, "ord", "th").saveAsTable(name)
+    joined = mapped(rows, _pressed, rows.schema).join(asked.hint("shuffle_hash"), ["ord", "th"], "left")
+    joined.write.format("parquet").bucketBy(min(parts, MOST_BUCKETS), "ord", "th").saveAsTable(name)
     found = spark.table(name)
     suspects = found.where(F.col("places").isNotNull()).select("ord", "th", "size", "text", "places")
-    dealt = suspects.mapInArrow(_stretches(parts), "part int, kind int, blob binary").repartitionById(parts, "part")
-    spans = dealt.mapInArrow(_covered, "ord long, th long, start long, end long")
+    blobs = "part int, kind int, blob binary"
+    hot = suspects.where(F.exists("places", lambda x: x.bitwiseAND(F.lit(1)) == 1))
+    thinned = mapped(mapped(hot, _stretches(parts, hot=True), blobs).repartitionById(parts, "part"), _thinned(parts), blobs)
+    dealt = mapped(suspects, _stretches(parts, hot=False), blobs).unionByName(thinned).repartitionById(parts, "part")
+    spans = mapped(dealt, _covered, "ord long, th long, start long, end long")
     spans = spans.groupBy("ord", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     whole = found.select("ord", "row", "th", "text").join(spans.hint("shuffle_hash"), ["ord", "th"], "left").drop("ord", "th")
-    row_type = rows.schema["row"].dataType.simpleString()
-    schema = f"row {row_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
-    return whole.mapInArrow(_cut(with_text), schema), name
+    counts = [StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
+    texts = [StructField(n, StringType()) for n in ("kept_sha256", "kept")]
+    return mapped(whole, _cut(with_text), StructType([rows.schema["row"], *counts, *texts])), name
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -692,15 +681,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     The result reads a table of the warehouse whose name starts with ``larder_repeats_``.
     """
-    marked = docs.withColumn("_null_text", F.col(text_col).isNull())
-    out, _ = cut(marked, id_col, text_col)
-    text = F.when(~F.col("row._null_text"), F.col("kept")).alias(text_col)
-    return out.select(*[text if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
+    out, _ = cut(docs, id_col, text_col)
+    text = F.when(~F.col("row.absent"), F.col("kept")).alias(text_col)
+    return out.select(*[text if c == text_col else F.col("row.own").getField(c).alias(c) for c in docs.columns])
 
 
 def suffix_dedup_query(docs: DataFrame) -> DataFrame:
     """The contract's columns: bytes, removed bytes and runs, and the digest of what remains."""
     out, name = cut(docs.select("doc_id", "text"), with_text=False)
-    out = written(out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), "removals")
+    out = written(out.select("row.own.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), "removals")
     docs.sparkSession.sql(f"DROP TABLE {name}")
     return out
