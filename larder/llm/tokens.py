@@ -19,7 +19,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces remembered in each of two generations by a worker.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 _RUN = re.compile(r"\s ")
 _WORDS = re.compile(r"([^\W\d_]+)([^\w\s]*)(?:\n([^\W\d_]+)([^\w\s]*))?")
 _WORKERS: dict[str, Encoder] = {}
@@ -47,15 +47,17 @@ class Encoder:
         self.size = max(vocab.values()) + 1
         self.dtype = np.dtype(np.uint16 if self.size <= 1 << 16 else np.uint32)
         self.width = np.zeros(self.size, np.int64)  # bytes of text behind each id
+        self.breaks = np.zeros(self.size, bool)  # ids with a line break in their text
+        self.letters = _byte_letters()
         for token, i in vocab.items():
             self.width[i] = len(token)
+            self.breaks[i] = "\n" in token or self.letters[10] in token
         for added in spec.get("added_tokens", []):
             self.width[added["id"]] = len(added["content"].encode())
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
-        self.letters = _byte_letters()
         self.tokenize = self.tokenizer.model.tokenize
 
     @classmethod

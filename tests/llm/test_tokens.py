@@ -102,6 +102,76 @@ def test_pack_limits(limits):
         assert bears <= limits[2]
 
 
+def slow_pack(tokens_, loss, limits):
+    """The heuristic piece by piece: dot products by hand, then the largest head that a gap can take."""
+    most, segments, most_loss = limits
+    items = [{"i": i, "at": 0, "left": int(n), "quiet": int(n - b)} for i, (n, b) in enumerate(zip(tokens_, loss, strict=True))]
+    bears = lambda x: x["left"] - x["quiet"]
+    out, rooms = [], []
+
+    def take(x, n, seq, offset):
+        out.append((x["i"], x["at"], n, seq, offset))
+        borne = max(0, n - x["quiet"])
+        x["at"], x["left"], x["quiet"] = x["at"] + n, x["left"] - n, max(0, x["quiet"] - n)
+        return borne
+
+    for x in items:
+        while x["left"] > most or bears(x) > most_loss:
+            n = min(most, x["quiet"] + most_loss)
+            rooms.append((most - n, most_loss - take(x, n, len(rooms), 0)))
+    pool = [x for x in items if x["left"]]
+    need = [sum(x["left"] for x in pool) / most, len(pool) / segments, sum(map(bears, pool)) / most_loss]
+    weight = [v / max(max(need), 1e-9) for v in need]
+    pool.sort(key=lambda x: -(x["left"] * (weight[0] / most) + bears(x) * (weight[2] / most_loss)))
+    seq = 0
+    while pool:
+        room, room_loss = rooms[seq] if seq < len(rooms) else (most, most_loss)
+        offset, parts = (most - room, 1) if seq < len(rooms) else (0, 0)
+        while pool and room and parts < segments:
+            fit = [x for x in pool if x["left"] <= room and bears(x) <= room_loss]
+            if fit:
+                x = max(fit, key=lambda x: x["left"] * (weight[0] * room / most**2) + bears(x) * (weight[2] * room_loss / most_loss**2))
+                n = x["left"]
+            else:
+                x = max(pool, key=lambda x: min(x["left"], x["quiet"] + room_loss, room))
+                n = min(x["left"], x["quiet"] + room_loss, room)
+                if room <= packing.SLACK or (n <= packing.SLACK and offset):
+                    break
+            room_loss -= take(x, n, seq, offset)
+            offset, parts, room = offset + n, parts + 1, room - n
+            pool = [x for x in pool if x["left"]]
+        seq += 1
+    return out
+
+
+@pytest.mark.parametrize("limits", [(2048, 1024, 1984), (64, 3, 40), (50, 4, 20), (100, 100, 60)])
+def test_pack_against_the_heuristic_by_hand(limits):
+    r = np.random.default_rng(7)
+    for n in (0, 1, 2, 40, 120):
+        tokens_ = r.integers(1, 2 * limits[0], n)
+        loss = tokens_ - np.minimum(tokens_, r.integers(1, limits[0], n))
+        got = packing.pack(tokens_, loss, limits)
+        assert list(zip(*(c.tolist() for c in got), strict=True)) == slow_pack(tokens_, loss, limits)
+
+
+def test_loss_limit_binds_and_fill_stays_high():
+    r = np.random.default_rng(8)
+    tokens_ = r.integers(20, 5000, 1500)
+    quiet = np.minimum(tokens_, r.integers(1, 400, 1500))
+    _, start, length, seq, _ = got = packing.pack(tokens_, tokens_ - quiet, (2048, 1024, 1984))
+    bears = np.bincount(seq, length - np.clip(quiet[got[0]] - start, 0, length))
+    assert (bears == 1984).mean() > 0.1 and bears.max() == 1984
+    assert tokens_.sum() / 2048 / (seq.max() + 1) > 0.98
+    _, _, length, seq, _ = packing.pack(np.full(20_000, 2), np.ones(20_000), (2048, 1024, 1984))
+    assert length.sum() == 40_000 and seq.max() + 1 == 20
+
+
+def test_prompts():
+    breaks = np.array([False, True, False])
+    ids = np.array([2, 1, 2, 2, 0, 2, 2, 0, 2, 1, 0, 0])
+    assert packing.prompts(ids, np.array([5, 3, 3, 1]), breaks).tolist() == [2, 1, 1, 1]
+
+
 def test_packed_query(spark):
     rows = rows_of(6)
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, offset int").repartition(3)
@@ -121,4 +191,5 @@ def test_packed_query(spark):
     for g in got:
         assert any(len(x) == g.doc_tokens and zlib.crc32(np.array(x[g.start : g.start + g.length], "<u4").tobytes()) == g.ids_crc32 for x in crcs[g.doc_id])
     assert sum(g.length for g in got) == sum(len(x) for v in crcs.values() for x in v)
+    assert all(sum(g.loss_tokens for g in pieces) <= packing.LOSS for pieces in by.values()) and all(0 <= g.loss_tokens <= g.length for g in got)
     assert packing.packed(df.limit(0), PATH, 1).count() == 0
