@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.llm.common import release, whole_rows
+
 #: Longest context in bytes.
 ORDER = 4
 #: Bounds of the training sample: rows and bytes of one language.  Every label is learned.
@@ -258,17 +260,20 @@ def verdicts(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarr
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, and ``_lang_id`` struct<lang, score, bits_per_byte>."""
+    """(row, verdict): all columns of ``docs`` as one struct, and struct<lang, score, bits_per_byte>."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double, bits_per_byte double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            lang, score, bpb = verdicts(shared.value, [t if isinstance(t, str) else None for t in texts])
-            yield pd.DataFrame({"lang": lang, "score": score, "bits_per_byte": bpb})
+        try:
+            for texts in batches:
+                lang, score, bpb = verdicts(shared.value, [t if isinstance(t, str) else None for t in texts])
+                yield pd.DataFrame({"lang": lang, "score": score, "bits_per_byte": bpb})
+        finally:
+            release()
 
-    return docs.withColumn("_lang_id", judge(F.col(text_col)))
+    return docs.select(whole_rows(docs).alias("row"), judge(F.col(f"`{text_col}`")).alias("verdict"))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -280,9 +285,9 @@ def language_id_query(docs: DataFrame) -> DataFrame:
     """The contract's columns: trained on the rows that are not held out, predicted for all."""
     model = fit(docs.where(~held_out()))
     return identify(docs.select("doc_id", "text"), model).select(
-        "doc_id",
-        held_out().alias("held_out"),
-        F.col("_lang_id.lang").alias("lang_pred"),
-        F.col("_lang_id.score").alias("score"),
-        F.col("_lang_id.bits_per_byte").alias("bits_per_byte"),
+        "row.doc_id",
+        held_out("row.doc_id").alias("held_out"),
+        F.col("verdict.lang").alias("lang_pred"),
+        F.col("verdict.score").alias("score"),
+        F.col("verdict.bits_per_byte").alias("bits_per_byte"),
     )

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import new_path, slices, written
+from larder.llm.common import mapped, new_path, slices, written
 from larder.llm.shared_files import opened, put
 
 WIDTH = 64
@@ -129,14 +129,13 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         if rows:
             yield close()
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, n_bytes long, digest string, shard string, offset long, length long"
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = mapped(rows, run, f"doc_id {id_type}, n_bytes long, digest string, shard string, offset long, length long")
     return written(rows, "media-index")
 
 
-def _ranges(index: DataFrame) -> DataFrame:
-    """Rows of one shard together, in order of place."""
+def by_place(index: DataFrame) -> DataFrame:
+    """Rows of one shard together, in order of place: what the readers of ranges take."""
     n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return index.repartition(n, "shard").sortWithinPartitions("shard", "offset")
 
@@ -163,10 +162,10 @@ def _reader(sizes_of, work, out_names):
     return run
 
 
-def with_metadata(index: DataFrame) -> DataFrame:
-    """Adds width, height and depth, reading HEADER_BYTES a row."""
-    schema = ", ".join(f"{n} {t}" for n, t in index.dtypes) + ", width long, height long, depth long"
-    return _ranges(index).mapInArrow(_reader(lambda n: min(n, HEADER_BYTES), png_header, ["width", "height", "depth"]), schema)
+def with_metadata(ranges: DataFrame) -> DataFrame:
+    """Adds width, height and depth, reading HEADER_BYTES a row; rows stay where they are."""
+    schema = ", ".join(f"{n} {t}" for n, t in ranges.dtypes) + ", width long, height long, depth long"
+    return mapped(ranges, _reader(lambda n: min(n, HEADER_BYTES), png_header, ["width", "height", "depth"]), schema)
 
 
 def _measured(data: bytes) -> tuple:
@@ -186,15 +185,15 @@ def _measured(data: bytes) -> tuple:
     )
 
 
-def with_features(index: DataFrame) -> DataFrame:
-    """Adds what is measured on the stored bytes, read back range by range."""
+def with_features(ranges: DataFrame) -> DataFrame:
+    """Adds what is measured on the stored bytes, read back range by range; rows stay where they are."""
     names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    schema = ", ".join(f"{n} {t}" for n, t in index.dtypes)
+    schema = ", ".join(f"{n} {t}" for n, t in ranges.dtypes)
     schema += ", payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return _ranges(index).mapInArrow(_reader(lambda n: n, _measured, names), schema)
+    return mapped(ranges, _reader(lambda n: n, _measured, names), schema)
 
 
 def media_query(docs: DataFrame) -> DataFrame:
-    return with_features(with_metadata(store(docs))).select(
+    return with_features(with_metadata(by_place(store(docs)))).select(
         "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "depth"
     )

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import deal, written
+from larder.llm.common import deal, drop_written, mapped, whole_rows, written
 from larder.llm.components import components
 
 WORDS = 4
@@ -33,6 +33,8 @@ RADIUS = 4
 SEED = 42
 #: Lanes of a bucket that one task compares with each other.
 TILE = 2048
+#: Rows of the bucket tables (16 bytes each) that one task is dealt.
+TASK_ROWS = 4_000_000
 _CHUNK = 1 << 16
 
 
@@ -68,7 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], ["doc_id", "th", "fp"])
 
     th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.select(F.col(id_col), F.col(text_col), th).mapInArrow(run, f"doc_id {id_type}, th long, fp long")
+    return mapped(docs.select(F.col(id_col), F.col(text_col), th), run, f"doc_id {id_type}, th long, fp long")
 
 
 def block_masks(n: int, radius: int = RADIUS) -> list[int]:
@@ -217,7 +219,7 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
                 cols = [pa.array(v[at : at + _CHUNK].view(np.int64)) for v in (a, b)]
                 yield pa.RecordBatch.from_arrays(cols, ["a", "b"])
 
-    return deal(keyed, "bucket").mapInArrow(run, "a long, b long")
+    return mapped(deal(keyed, "bucket", at_least=n * len(signed) // TASK_ROWS), run, "a long, b long")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -244,14 +246,17 @@ def near_duplicates(
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """One row of every component, with all columns of ``docs``: that of the least id (null last), then least text hash."""
     found = classes(docs, id_col, text_col, radius)
-    chosen = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_n"), "doc_id", "th")).alias("k"))
-    kept = written(chosen.select(F.col("k.doc_id").alias("_id"), F.col("k.th").alias("_th")), "representatives")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th"))
+    chosen = written(found.groupBy("root").agg(best.alias("k")).select("k.doc_id", "k.th"), "representatives")
     th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    out = docs.withColumn("_text_hash", th).join(kept, docs[id_col].eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_th")), "left_semi")
+    rows = docs.select(whole_rows(docs).alias("row"), F.col(id_col).alias("doc_id"), th.alias("th"))
+    # the narrow side is hashed, so that texts are dealt out but not sorted
+    kept = chosen.hint("shuffle_hash")
+    out = rows.join(kept, rows.doc_id.eqNullSafe(kept.doc_id) & (rows.th == kept.th), "left_semi")
     repeated = found.groupBy("doc_id", "th").count().where(F.col("count") > 1)
     if not repeated.isEmpty():  # rows equal in id and text: one of them stays
-        out = out.dropDuplicates([id_col, "_text_hash"])
-    return out.drop("_text_hash")
+        out = out.dropDuplicates(["doc_id", "th"])
+    return out.select("row.*")
 
 
 def simhash_query(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm import huffman
-from larder.llm.common import drop_written, new_path, slices, written
+from larder.llm.common import drop_written, mapped, new_path, slices, written
 from larder.llm.shared_files import get, put
 from larder.llm.tokens import Encoder
 
@@ -51,7 +51,7 @@ def encoded(
                 )
 
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_MIN_ID)).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "part int, doc_id long, n long, ids binary")
+    return mapped(rows, run, "part int, doc_id long, n long, ids binary")
 
 
 def counts(rows: DataFrame, size: int, dtype: np.dtype) -> np.ndarray:
@@ -67,7 +67,7 @@ def counts(rows: DataFrame, size: int, dtype: np.dtype) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
     out = np.zeros(size, np.int64)
-    for r in rows.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in mapped(rows.select("ids"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
         out[r["id"]] = r["n"]
     return out
 
@@ -112,7 +112,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
 
     dealt = rows.repartitionById(parts, "part")
     sorted_ = dealt.sortWithinPartitions("part", "doc_id", "ids")
-    index = written(sorted_.mapInArrow(run, "part long, path string, n_docs long, n_tokens long, n_bytes long"), "token-index")
+    index = written(mapped(sorted_, run, "part long, path string, n_docs long, n_tokens long, n_bytes long"), "token-index")
     drop_written(rows)
     return index
 
@@ -140,7 +140,7 @@ def read_files(index: DataFrame) -> DataFrame:
         index.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long").alias("start")), "token-starts"
     )
     spread = placed.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return mapped(spread, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files_query(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -85,3 +85,29 @@ def test_texts_without_repeats(spark):
     removed = {(g.doc_id, g.n_bytes): g.n_removed for g in sd.suffix_dedup_query(df).collect()}
     for (i, t), n in [((r.doc_id, r.text), removed) for r in out if r.text is not None]:
         assert any(k[0] == i and k[1] - v - 3 * 8 <= len(t.encode()) <= k[1] - v for k, v in n.items())
+
+
+@pytest.mark.parametrize("name,stage", cp.STAGES[:-1])
+def test_columns_of_any_name(spark, tmp_path, name, stage):
+    names = "_lang_id _null_text _text_hash _id _th th fp root row verdict _folded a.b places own".split()
+    schema = "doc_id long, text string, lang string, " + ", ".join(f"`{n}` string" for n in names)
+    r = random.Random(1)
+    words = "the and of thing with that which".split()
+    rows = [(i, " ".join(r.choice(words) + r.choice(["", "x", "y"]) for _ in range(40)), "en", *[f"{n}{i}" for n in names]) for i in range(12)]
+    spark.createDataFrame([(1, "no such words in here at all")], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, schema)
+    out = stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
+    kept = out.collect()
+    assert len(kept) > 8
+    for k in kept:
+        assert tuple(k)[2:] == rows[k.doc_id][2:]
+
+
+def test_strange_texts_are_rejected(spark, tmp_path):
+    r = random.Random(2)
+    words = {"en": "the and of thing with that which".split(), "de": "der und nicht schön über ein".split()}
+    rows = [(i, " ".join(r.choice(words[k]) for _ in range(30)), k) for i in range(60) for k in ["en", "de"][i % 2 : i % 2 + 1]]
+    rows += [(100, "the thing", None), (101, "ничего из этого никогда не учили здесь", None), (102, "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(80)), None)]
+    out = cp.identify_language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), str(tmp_path))
+    assert {g.doc_id for g in out.collect()} == {*range(60), 100}
