@@ -15,31 +15,28 @@ from larder.llm.common import drop_written, load, new_path
 
 #: A document whose best language has less than this share is rejected, as is one without letters.
 LEAST_SCORE = 0.5
-
-
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+#: So is one that its best model codes worse than plain bytes: it is in no learned language.
+MOST_BITS = 8.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language the PPM models settle; ``und`` and undecided ones go."""
+    """Keep documents whose language the PPM models settle; ``und``, undecided and strange ones go."""
     model = language_id.fit(docs.where(~language_id.held_out()))
     if not model.languages:
         return docs.where(F.lit(False))
-    judged = language_id.identify(docs, model)
-    settled = (F.col("_lang_id.lang") != "und") & (F.col("_lang_id.score") >= LEAST_SCORE)
-    return judged.where(settled).select(*_columns(docs))
+    v = F.col("verdict")
+    settled = (v["lang"] != "und") & (v["score"] >= LEAST_SCORE) & (v["bits_per_byte"] <= MOST_BITS)
+    return language_id.identify(docs, model).where(settled).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each SimHash component: the one of the least doc_id (of repeated ids, one)."""
-    kept = simhash.representatives(docs)
-    return kept.select(*_columns(docs))
+    return simhash.representatives(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take repeated byte strings out of the texts; what a cut leaves of a split character goes too."""
-    return suffix_dedup.without_repeats(docs).select(*_columns(docs))
+    return suffix_dedup.without_repeats(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
