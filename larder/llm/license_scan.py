@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from larder.llm.license_rules import BASE, CONFIDENCE, rules
 
+#: Marks around a match; both are separators, so no text has them.
+OPEN, CLOSE = "\x01", "\x02"
+HITS = "array<struct<start:int,back:int,tier:int,rule:int,label:string>>"
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -46,26 +49,23 @@ def _spaces(text: Column) -> Column:
 
 
 def _places(words: Column, pattern: Column) -> Column:
-    """array<struct<start,end>> in words: the prefix before a match tells where it starts."""
-    found = F.regexp_extract_all(words, pattern, F.lit(0))
-    pieces = F.split(words, pattern, -1)
-    step = lambda acc, pair: F.struct(
-        (acc["at"] + _spaces(pair["piece"]) + _spaces(pair["hit"])).alias("at"),
-        F.concat(
-            acc["out"],
-            F.array(
-                F.struct(
-                    (acc["at"] + _spaces(pair["piece"]) - 1).alias("start"),
-                    (acc["at"] + _spaces(pair["piece"]) + _spaces(pair["hit"])).alias("end"),
-                )
-            ),
-        ).alias("out"),
-    )
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("out"))
-    pairs = F.zip_with(
-        F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, h: F.struct(p.alias("piece"), h.alias("hit"))
-    )
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    """array<struct<start,end>> in words.  Matches are marked where they begin and end; the marked words tell their numbers.
+
+    The text starts with a space, so word i is entry i + 1 of the split.
+    """
+    marked = F.split(F.regexp_replace(words, pattern, F.lit(OPEN + "$0" + CLOSE)), " ", -1)
+    at = lambda ws, holds: F.filter(F.transform(ws, lambda w, i: F.when(holds(w), i)), lambda i: i.isNotNull())
+
+    def places(ws: Column) -> Column:
+        opened, closed = at(ws, lambda w: F.startswith(w, F.lit(OPEN))), at(ws, lambda w: F.endswith(w, F.lit(CLOSE)))
+        return F.zip_with(opened, closed, lambda a, b: F.struct((a - 1).alias("start"), b.alias("end")))
+
+    return F.when(F.regexp_like(words, pattern), _once(marked, places)).otherwise(F.expr("cast(array() as array<struct<start:int,end:int>>)"))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _detections(words: Column, keys: Column, table: str) -> Column:
@@ -88,23 +88,31 @@ def _detections(words: Column, keys: Column, table: str) -> Column:
 
 
 def _unsuppressed(hits: Column) -> Column:
-    """Sweep by start, longest first; ``reach[t]`` is the furthest end so far of tiers up to t."""
-    n = len(CONFIDENCE)
-    zero = F.struct(
-        F.expr(
-            "cast(array() as array<struct<start:int,back:int,tier:int,rule:int,label:string>>)"
-        ).alias("kept"),
-        F.array_repeat(F.lit(-1), n).alias("reach"),
+    """Sweep by start, longest first; ``reach[t]`` is the furthest end so far of tiers up to t.
+
+    The sweep goes in runs of about the square root of all matches, so that no step copies more than a run.
+    """
+    return _once(F.sort_array(hits), _swept)
+
+
+def _swept(some: Column) -> Column:
+    length = F.greatest(F.ceil(F.sqrt(F.size(some))).cast("int"), F.lit(1))
+    reach = F.array_repeat(F.lit(-1), len(CONFIDENCE))
+    none = F.expr(f"cast(array() as {HITS})")
+    one = lambda acc, d: F.struct(
+        F.when(F.get(acc["reach"], d["tier"]) >= -d["back"], acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d))).alias("kept"),
+        F.transform(acc["reach"], lambda v, t: F.when(t >= d["tier"], F.greatest(v, -d["back"])).otherwise(v)).alias("reach"),
     )
-    step = lambda acc, d: F.struct(
-        F.when(F.get(acc["reach"], d["tier"]) >= -d["back"], acc["kept"])
-        .otherwise(F.concat(acc["kept"], F.array(d)))
-        .alias("kept"),
-        F.transform(
-            acc["reach"], lambda v, t: F.when(t >= d["tier"], F.greatest(v, -d["back"])).otherwise(v)
-        ).alias("reach"),
+
+    def run(acc: Column, part: Column) -> Column:
+        swept = F.aggregate(part, F.struct(none.alias("kept"), acc["reach"].alias("reach")), one)
+        return _once(swept, lambda x: F.struct(F.concat(acc["kept"], F.array(x["kept"])).alias("kept"), x["reach"].alias("reach")))
+
+    runs = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.floor((F.size(some) - 1) / length).cast("int"), F.lit(0))), lambda k: F.slice(some, k * length + 1, length)
     )
-    return F.aggregate(F.sort_array(hits), zero, step, lambda acc: acc["kept"])
+    zero = F.struct(F.expr(f"cast(array() as array<{HITS}>)").alias("kept"), reach.alias("reach"))
+    return F.flatten(F.aggregate(runs, zero, run, lambda acc: acc["kept"]))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,7 +132,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "_keys",
         F.array_distinct(F.transform(F.regexp_extract_all("_words", key_pattern, F.lit(0)), lambda k: F.lower(k))),
     )
-    none = F.expr("cast(array() as array<struct<start:int,back:int,tier:int,rule:int,label:string>>)")
+    none = F.expr(f"cast(array() as {HITS})")
     some = F.size("_keys") > 0
     step = step.withColumn(
         "_base", F.when(some, _detections(F.col("_words"), F.col("_keys"), _rule_array(base))).otherwise(none)

@@ -63,3 +63,16 @@ def test_spans(spark):
 def test_many_rules():
     assert len(rules()) > 250
     assert "license" in oracles.license_scan_sql()
+
+
+def test_time_grows_with_the_text(spark):
+    import time
+
+    took = {}
+    for n in (500, 50_000):
+        df = spark.createDataFrame([(1, "MIT license, " * n)], "doc_id long, text string")
+        began = time.time()
+        (row,) = license_scan.scan_query(df).collect()
+        took[n] = time.time() - began
+        assert (row.n_base, row.last_word, row.labels, row.n_detections) == (n, 2 * n - 2, "mit", n)
+    assert took[50_000] < took[500] + 40  # a copy of all matches at each match would take many minutes
