@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import release
 from larder.llm.html_blocks import Block, blocks
 from larder.llm.html_training import labelled_pages
 
@@ -31,14 +32,9 @@ DECAY = 1e-4
 _MODEL: dict[tuple, Crf] = {}
 
 
-def path_features(path: str, tag: str) -> list[str]:
-    """Ancestor tags and attribute words of a block's signature."""
-    out = {f"leaf:{tag}"}
-    for element in path.split(">")[1:]:
-        name, *words = element.split(".")
-        out.add(f"in:{name}")
-        out.update(f"word:{w}" for w in words)
-    return sorted(out)
+def path_features(path: frozenset[str], tag: str) -> list[str]:
+    """Ancestor tags and attribute words of a block, and its own element."""
+    return sorted(path | {f"leaf:{tag}"})
 
 
 def text_features(block: Block) -> list[str]:
@@ -66,7 +62,7 @@ class Crf:
     start: np.ndarray
 
     def __post_init__(self) -> None:
-        self._paths: dict[tuple[str, str], float] = {}
+        self._paths: dict[tuple[frozenset[str], str], float] = {}
         self._texts: dict[tuple, float] = {}
 
     def _sum(self, features: list[str]) -> float:
@@ -172,7 +168,7 @@ def model(pages: int = TRAINING_PAGES) -> Crf:
 
 
 def main_text(crf: Crf, page: str | None) -> str:
-    found = blocks(page)
+    found = blocks(page, crf.index)
     return "\n\n".join(b.text for b, label in zip(found, crf.viterbi(found), strict=True) if label)
 
 
@@ -182,8 +178,11 @@ def extract(pages: DataFrame, crf: Crf, html_col: str = "html") -> DataFrame:
 
     @F.pandas_udf("string")
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([main_text(shared.value, x if isinstance(x, str) else None) for x in batch], dtype="object")
+        try:
+            for batch in batches:
+                yield pd.Series([main_text(shared.value, x if isinstance(x, str) else None) for x in batch], dtype="object")
+        finally:
+            release()
 
     return pages.withColumn("main_text", work(F.col(html_col)))
 
