@@ -1,6 +1,6 @@
 """Product tables derived from the driver's tables by SQL that Spark and DuckDB read alike.
 
-Placeholders in braces name tables; k is the product key.  Keys of ``lineitem`` repeat, so
+Placeholders in braces name tables, EACH(SERIES(a, b)) is one row a number; k is the product key.  Keys of ``lineitem`` repeat, so
 they are grouped first.
 """
 
@@ -91,10 +91,9 @@ select k, s,
   case when (k + s) % 4 = 2 then null else k % 70 end as ala100,
   case when (k + s) % 3 = 2 then null else k % 9 end as epa100,
   k % 7 as dha100
-from (select k, 0 as s from ({BASE}) b0 where k % 4 > 0
-      union all select k, 1 as s from ({BASE}) b1 where k % 4 > 1
-      union all select k, 2 as s from ({BASE}) b2 where k % 4 > 2
-      union all select k, 9 as s from ({BASE}) b9 where k % 5 > 0) sets
+from (select k, cast(case i when 3 then 9 else i end as int) as s
+      from (select k, EACH(SERIES(0, 3)) as i from ({BASE}) b) every_set
+      where (i < 3 and k % 4 > i) or (i = 3 and k % 5 > 0)) sets
 """
 
 #: One row an ingredient: node 0.. at depth 1, children of node 0 below.
@@ -103,20 +102,18 @@ select k, depth, node,
   case when (k + depth + node) % 10 = 3 then 'en:added-sugar' else concat('en:i', cast((k + depth * 7 + node) % 50 as string)) end as id,
   case when (k + depth + node) % 6 < 4 then 'yes' when (k + depth + node) % 12 = 4 then ' Unknown ' when (k + depth + node) % 12 = 10 then 'maybe'
        when (k + depth + node) % 12 = 5 then null else '' end as vegan
-from (select k, 1 as depth, 0 as node from ({BASE}) b0 where k % 4 > 0
-      union all select k, 1 as depth, 1 as node from ({BASE}) b1 where k % 4 > 1
-      union all select k, 1 as depth, 2 as node from ({BASE}) b2 where k % 4 > 2
-      union all select k, 2 as depth, 0 as node from ({BASE}) b3 where k % 4 > 0 and k % 3 = 0
-      union all select k, 3 as depth, 0 as node from ({BASE}) b4 where k % 4 > 0 and k % 6 = 0) nodes
+from (select k, cast(case i when 3 then 2 when 4 then 3 else 1 end as int) as depth, cast(case when i < 3 then i else 0 end as int) as node
+      from (select k, EACH(SERIES(0, 4)) as i from ({BASE}) b) every_node
+      where (i < 3 and k % 4 > i) or (i = 3 and k % 4 > 0 and k % 3 = 0) or (i = 4 and k % 4 > 0 and k % 6 = 0)) nodes
 """
 
 TABLES = ("lineitem", "part", "events", "orders", "customer")
 
 
 def for_duckdb(sql: str) -> str:
-    return sql.format(**{t: t for t in TABLES})
+    return sql.replace("EACH(SERIES(", "unnest(generate_series(").format(**{t: t for t in TABLES})
 
 
 def table(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in sql}
-    return spark.sql(sql, **used)
+    return spark.sql(sql.replace("EACH(SERIES(", "explode(sequence("), **used)

@@ -71,9 +71,22 @@ def severity_rank(c: Column) -> Column:
 
 
 def round2(x: Column) -> Column:
-    """Round to two places on the exact binary value, halves to even, for magnitudes up to about a million."""
-    whole = lambda v: F.lit(str(v)).cast("decimal(38,0)")
+    """Round to two places on the exact binary value, halves to even, at any magnitude.
+
+    From 2**52 on a double has no fraction.  From 2**37 on its whole part is rounded apart: a
+    hundred times it is even, so the fraction alone decides a half.
+    """
     a = F.abs(x)
+    below = a < F.lit(2.0**37)
+    rest = F.when(below, a).otherwise(a - F.floor(F.least(a, F.lit(2.0**52))).cast("double"))
+    large = F.floor(F.least(a, F.lit(2.0**52))).cast("double") + _cents(F.when(a < F.lit(2.0**52), rest).otherwise(0.0)) / 100.0
+    rounded = F.when(below, _cents(F.when(below, a).otherwise(0.0)) / 100.0).otherwise(large)
+    return F.when((a >= F.lit(2.0**52)) | F.isnan(x), x).otherwise(F.signum(x) * rounded)
+
+
+def _cents(a: Column) -> Column:
+    """Hundredths of a double in [0, 2**37) as a double, halves to even."""
+    whole = lambda v: F.lit(str(v)).cast("decimal(38,0)")
     hi = F.floor(a * F.lit(2.0**26))
     lo = F.floor((a * F.lit(2.0**26) - hi) * F.lit(2.0**40))
     n = ((hi.cast("decimal(38,0)") * whole(2**40)).cast("decimal(38,0)") + lo.cast("decimal(38,0)")).cast("decimal(38,0)")
@@ -81,7 +94,7 @@ def round2(x: Column) -> Column:
     q = F.call_function("div", scaled, whole(2**66))
     r = (scaled - (q.cast("decimal(38,0)") * whole(2**66)).cast("decimal(38,0)")).cast("decimal(38,0)")
     up = (r > whole(2**65)) | ((r == whole(2**65)) & (q % 2 == 1))
-    return F.signum(x) * (q + F.when(up, 1).otherwise(0)).cast("double") / 100.0
+    return (q + F.when(up, 1).otherwise(0)).cast("double")
 
 
 PLACEHOLDER = r"\$\{([A-Za-z_]\w*)\}"

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.scalars import as_number, lowered_text, nutrient, nutrient_unit, set_id, split_tags
+from larder.functions.scalars import as_number, lowered_text, nutrient, nutrient_unit, set_id, split_tags, strip
 from larder.types import INPUT_SET, NUTRIENT_VALUE, NUTRIENTS, TAG_COLUMNS
 
 #: Paths that each kind of row provides to rules.
@@ -32,8 +32,6 @@ CLAIMS = {
     "energy_kcal": "energy-kcal", "fat": "fat", "saturated_fat": "saturated-fat", "trans_fat": "trans-fat",
     "sugars": "sugars", "fiber": "fiber", "omega_3": "omega-3-fat",
 }
-#: Ingredient nesting that a rule looks into; deeper rows need :func:`ingredient_nodes`.
-DEPTH = 8
 
 
 def input_sets(row: DataFrame) -> Column:
@@ -114,13 +112,6 @@ def project_source(rows: DataFrame) -> DataFrame:
     )
 
 
-def ingredient_schema(depth: int = DEPTH) -> str:
-    inner = "variant"
-    for _ in range(depth):
-        inner = f"array<struct<id:string,vegan:string,vegetarian:string,ingredients:{inner}>>"
-    return inner
-
-
 def top_ingredient_tags(ingredients: Column) -> Column:
     """Ids of top-level ingredients, non-empty."""
     nodes = F.try_variant_get(ingredients, "$", "array<struct<id:string>>")
@@ -128,17 +119,22 @@ def top_ingredient_tags(ingredients: Column) -> Column:
     return F.coalesce(ids, F.array().cast("array<string>"))
 
 
-def claim_unknown(ingredients: Column, claim: str, depth: int = DEPTH) -> Column:
-    """Some ingredient at any depth has no decisive claim: null, blank or unknown."""
-
-    def unsure(nodes: Column, left: int) -> Column:
-        def one(n: Column) -> Column:
-            own = F.coalesce(F.lower(F.trim(n[claim])), F.lit("")).isin("", "unknown")
-            return own if left == 1 else own | F.coalesce(unsure(n["ingredients"], left - 1), F.lit(False))
+def claim_unknown(ingredients: Column, claim: str) -> Column:
+    """Some ingredient at any depth has no decisive claim: none, blank, unknown, or it is no object.
 
-        return F.exists(nodes, one)
-
-    return F.coalesce(unsure(F.try_variant_get(ingredients, "$", ingredient_schema(depth)), depth), F.lit(False))
+    One step a level, as many as the text of the list has opening brackets: no row nests deeper.
+    """
+    own = lambda n: F.coalesce(F.lower(strip(F.try_variant_get(n, f"$.{claim}", "string"))), F.lit("")).isin("", "unknown")
+    unsure = lambda n: ~F.coalesce(F.schema_of_variant(n).startswith("OBJECT"), F.lit(False)) | own(n)
+    below = lambda n: F.coalesce(F.try_variant_get(n, "$.ingredients", "array<variant>"), F.array().cast("array<variant>"))
+    top = F.coalesce(F.try_variant_get(ingredients, "$", "array<variant>"), F.array().cast("array<variant>"))
+    levels = F.regexp_count(F.to_json(ingredients), F.lit(r"\["))
+    zero = F.struct(top.alias("nodes"), F.lit(False).alias("found"))
+    step = lambda acc, _: F.struct(
+        F.flatten(F.transform(acc["nodes"], below)).alias("nodes"), (acc["found"] | F.exists(acc["nodes"], unsure)).alias("found")
+    )
+    deep = F.aggregate(F.sequence(F.lit(1), levels), zero, step, lambda acc: acc["found"])
+    return F.coalesce(F.when(F.size(top) > 0, deep), F.lit(False))
 
 
 def ingredient_nodes(rows: DataFrame, code: str = "code", column: str = "ingredients") -> DataFrame:

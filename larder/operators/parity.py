@@ -129,4 +129,24 @@ def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def in_request_order(asked: DataFrame, resolved: DataFrame, position: str) -> DataFrame:
-    return asked.select("code", position).join(resolved, "code").orderBy(position)
+    """Every request with its result, in order; a request without one fails the job."""
+    names = [c for c in resolved.columns if c != "code"]
+    found = asked.select("code", position).join(resolved.withColumn("_found", F.lit(True)), "code", "left")
+    code = F.when(F.col("_found"), F.col("code")).otherwise(F.raise_error(F.concat(F.lit("no result for "), "code")))
+    return found.select(code.alias("code"), position, *names).orderBy(position)
+
+
+def resolution_counts(asked: DataFrame, cached: DataFrame) -> DataFrame:
+    """How many requested codes the cache has, and how many requests are left to run."""
+    known = cached.select("code", F.lit(1).alias("_hit"))
+    marked = asked.select("code").join(known, "code", "left")
+    return marked.agg(
+        F.count_distinct(F.when(F.col("_hit") == 1, F.col("code"))).alias("cache_hits"), F.count_if(F.col("_hit").isNull()).alias("backend_runs")
+    )
+
+
+def checked_identity(stored: dict, wanted: dict) -> None:
+    """A cache is only used if all identity fields agree."""
+    apart = sorted(k for k in {*stored, *wanted} if stored.get(k) != wanted.get(k))
+    if apart:
+        raise ValueError(f"the cache differs in {', '.join(apart)}")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.scalars import as_number, is_blank
 
-# Types of the paths that rules may name.
+# Types of the paths that rules may name.
 NUMBERS = {
     *("created_t product_quantity serving_quantity nutriscore_score ingredients_percent_analysis ingredients_with_specified_percent_n "
       "ingredients_with_unspecified_percent_n ingredients_with_specified_percent_sum ingredients_with_unspecified_percent_sum "

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +85,11 @@ def nutrition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.table(spark, sf_dir, fx.NUTRITION).select("k", "s", one.alias("set"))
 
 
+def _in_order(listed):
+    """The sets of a list of {s, set}, by s."""
+    return F.transform(F.array_sort(listed, lambda a, b: a["s"] - b["s"]), lambda x: x["set"])
+
+
 def ingredient_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, ingredients variant): nested nodes built from the flat table."""
     flat = fx.table(spark, sf_dir, fx.INGREDIENTS)
@@ -99,8 +107,8 @@ def ingredient_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = fx.table(spark, sf_dir, fx.ENRICHED)
     sets = nutrition_rows(spark, sf_dir).groupBy("k").agg(
-        F.transform(F.sort_array(F.collect_list(F.when(F.col("s") < 9, F.struct("s", F.to_json("set").alias("j"))))), lambda x: x["j"]).alias("_sets"),
-        F.max(F.when(F.col("s") == 9, F.to_json("set"))).alias("_agg"),
+        _in_order(F.collect_list(F.when(F.col("s") < 9, F.struct("s", "set")))).alias("_sets"),
+        F.first(F.when(F.col("s") == 9, F.col("set")), ignorenulls=True).alias("_agg"),
     )
     rows = flat.join(sets, "k", "left").join(ingredient_rows(spark, sf_dir), "k", "left")
     tags = lambda n: sc.split_tags(F.col(n))
@@ -120,8 +128,8 @@ def enriched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("european").alias("is_european_product"), F.col("animal").alias("has_animal_origin_category"), F.col("ignore_energy").alias("ignore_energy_calculated_error")).alias("flags"),
         F.struct(F.col("minimum_ingredients").alias("minimum_number_of_ingredients")).alias("category_props"),
         F.struct(
-            F.coalesce(F.transform("_sets", lambda j: F.from_json(j, INPUT_SET)), F.array().cast(f"array<{INPUT_SET}>")).alias("input_sets"),
-            F.from_json("_agg", INPUT_SET).alias("aggregated_set"),
+            F.coalesce("_sets", F.array().cast(f"array<{INPUT_SET}>")).alias("input_sets"),
+            F.col("_agg").alias("aggregated_set"),
         ).alias("nutrition"),
     )
 
@@ -272,9 +280,9 @@ def findings_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fi.evaluate(enriched_contexts(spark, sf_dir), RULES)
 
 
-@query("findings_sorted", findings_sql([i for i in SOURCE_IDS if i.startswith("ca:")], False))
+@query("findings_sorted", findings_sql(SOURCE_IDS, False))
 def findings_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fi.ordered(fi.evaluate(source_contexts(spark, sf_dir), fi.select_rules(RULES, jurisdictions=["ca"], paths=cx.SOURCE_PATHS)))
+    return fi.ordered(findings_source(spark, sf_dir))
 
 
 @query("findings_custom_pack", f"""with {CTX} select c.code as product_id, 'x:heavy' as check_id, 'error' as severity, cast(null as varchar) as emitted_code
@@ -415,9 +423,8 @@ def input_sets(spark, sf_dir):
 
 @query("claim_nutrients", f"with {SETS} select k, cast(kcal as double) as energy_kcal, fat10 / 10.0::double as fat, omega100 / 100.0::double as omega_3 from usable")
 def claim_nutrients(spark, sf_dir):
-    rows = nutrition_rows(spark, sf_dir).where("s < 9").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("s", F.to_json("set").alias("j")))).alias("x"))
-    sets = F.transform("x", lambda x: F.from_json(x["j"], INPUT_SET))
-    out = rows.select("k", sets.alias("sets")).withColumn("u", cx.usable_set(F.col("sets"))).where("u is not null")
+    rows = nutrition_rows(spark, sf_dir).where("s < 9").groupBy("k").agg(_in_order(F.collect_list(F.struct("s", "set"))).alias("sets"))
+    out = rows.select("k", "sets").withColumn("u", cx.usable_set(F.col("sets"))).where("u is not null")
     return out.select("k", cx.claim_nutrients(F.col("sets")).alias("c")).select("k", "c.energy_kcal", "c.fat", "c.omega_3")
 
 
@@ -464,16 +471,20 @@ diff as (select check_id, product_id, observed_code, severity, sum(r) as n_refer
 KINDS = "'" + "', '".join(["info", "completeness", "warning", "error", "bug"]) + "'"
 
 
-def expected_rows(spark, sf_dir) -> DataFrame:
+def expected_rows(found: DataFrame) -> DataFrame:
     """(code, legacy_check_tags): what an external system is said to have found, as five arrays of codes."""
-    found = findings_source(spark, sf_dir).where("product_id <> ''").withColumn("pk", F.col("product_id").cast("bigint"))
-    found = found.where(F.col("check_id").isin(*LEGACY_IDS)).where("pk % 23 <> 0")
-    rows = found.select("product_id", F.coalesce("emitted_code", "check_id").alias("c"), F.when(F.col("pk") % 31 == 0, "bug").otherwise(F.col("severity")).alias("s"))
-    doubled = rows.unionByName(rows.where("cast(product_id as bigint) % 29 = 0").withColumn("s", F.lit("info")))
-    unknown = rows.where("cast(product_id as bigint) % 37 = 0").select("product_id").distinct().select("product_id", F.lit("en:no-such-code").alias("c"), F.lit("bug").alias("s"))
-    every = doubled.unionByName(unknown)
-    tags = F.struct(*[F.sort_array(F.collect_list(F.when(F.col("s") == k, F.col("c")))).alias(k) for k in sc.SEVERITIES])
-    return every.groupBy(F.col("product_id").alias("code")).agg(tags.alias("legacy_check_tags"))
+    pk = F.col("product_id").cast("bigint")
+    rows = found.where(F.col("check_id").isin(*LEGACY_IDS)).where(pk % 23 != 0)
+    severities = F.array(F.when(pk % 31 == 0, "bug").otherwise(F.col("severity")), F.when(pk % 29 == 0, "info"))
+    every = rows.select("product_id", F.coalesce("emitted_code", "check_id").alias("c"), F.explode(F.array_compact(severities)).alias("s"))
+    listed = lambda k: F.sort_array(F.collect_list(F.when(F.col("s") == k, F.col("c"))))
+    tags = every.groupBy("product_id").agg(*[listed(k).alias(k) for k in sc.SEVERITIES])
+    unknown = F.when(pk % 37 == 0, F.array_append("bug", "en:no-such-code")).otherwise(F.col("bug"))
+    return tags.withColumn("bug", unknown).select(F.col("product_id").alias("code"), F.struct(*sc.SEVERITIES).alias("legacy_check_tags"))
+
+
+def real_findings(spark, sf_dir) -> DataFrame:
+    return findings_source(spark, sf_dir).where("product_id <> ''")
 
 
 REF_TAGS = f"""{FOUND}, base as (select product_id, observed_code as c, case when pk % 31 = 0 then 'bug' else severity end as s, pk from found where {IS_LEGACY} and pk % 23 <> 0),
@@ -483,28 +494,28 @@ RANK = "case {c} when 'info' then 0 when 'completeness' then 1 when 'warning' th
 
 @query("reference_explode", f"with {REF_TAGS} select product_id, c as raw_code, s as severity from tags")
 def reference_explode(spark, sf_dir):
-    return pa.explode_tags(expected_rows(spark, sf_dir))
+    return pa.explode_tags(expected_rows(real_findings(spark, sf_dir)))
 
 
 @query("reference_match", f"with {REF_TAGS} select product_id, c as raw_code, s as severity, c as check_id from tags where c <> 'en:no-such-code'")
 def reference_match(spark, sf_dir):
-    return pa.match_codes(pa.explode_tags(expected_rows(spark, sf_dir)), RULES)
+    return pa.match_codes(pa.explode_tags(expected_rows(real_findings(spark, sf_dir))), RULES)
 
 
 @query("reference_findings", f"with {REF_TAGS} select product_id, c as check_id, c as observed_code, arg_max(s, {RANK.format(c='s')}) as severity, 'reference' as side from tags where c <> 'en:no-such-code' group by product_id, c")
 def reference_findings(spark, sf_dir):
-    return pa.reference_findings(expected_rows(spark, sf_dir), RULES)
+    return pa.reference_findings(expected_rows(real_findings(spark, sf_dir)), RULES)
 
 
 def both_sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    reference = pa.reference_findings(expected_rows(spark, sf_dir), RULES)
-    migrated = fi.observed(findings_source(spark, sf_dir).where("product_id <> ''"))
-    return reference, migrated
+    """Both sides come from one evaluation of the rules, kept on the executors' disks while it lasts."""
+    found = real_findings(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
+    return pa.reference_findings(expected_rows(found), RULES), fi.observed(found)
 
 
 @query("observed_migrated", f"with {FOUND} select product_id, check_id, observed_code, severity, 'migrated' as side from found")
 def observed_migrated(spark, sf_dir):
-    return both_sides(spark, sf_dir)[1]
+    return fi.observed(real_findings(spark, sf_dir))
 
 
 @query("parity_diff", f"with {DIFF} select * from diff")
@@ -512,9 +523,9 @@ def parity_diff(spark, sf_dir):
     return pa.difference(*both_sides(spark, sf_dir))
 
 
-def summary_of(spark, sf_dir) -> DataFrame:
+def summary_of(spark, sf_dir, diff: DataFrame | None = None) -> DataFrame:
     rules = fi.rules_table(spark, [r for r in RULES if r.id in SOURCE_IDS])
-    return pa.summarize(parity_diff(spark, sf_dir), rules)
+    return pa.summarize(parity_diff(spark, sf_dir) if diff is None else diff, rules)
 
 
 RULE_ROWS = "rules as (select * from (values " + ", ".join(f"('{r.id}', '{r.language}', '{r.baseline}')" for r in RULES if r.id in SOURCE_IDS) + ") r(check_id, language, baseline))"
@@ -593,9 +604,16 @@ def cache_upsert(spark, sf_dir):
     return pa.upsert(_cached(spark, sf_dir), new)
 
 
-@query("cache_ordered", f"with {ASKED}, {CACHED} select code, k, result from cached order by k")
+@query("cache_ordered", f"with {ASKED}, {CACHED} select code, k, case when k % 4 <> 0 then k * 10 else -k end as result from asked")
 def cache_ordered(spark, sf_dir):
-    return pa.in_request_order(_asked(spark, sf_dir), _cached(spark, sf_dir).drop("k"), "k")
+    asked = _asked(spark, sf_dir)
+    fresh = pa.cache_misses(asked, _cached(spark, sf_dir)).select("code", (-F.col("k")).alias("result"))
+    return pa.in_request_order(asked, _cached(spark, sf_dir).drop("k").unionByName(fresh), "k")
+
+
+@query("cache_counts", f"with {ASKED} select count_if(k % 4 <> 0) as cache_hits, count_if(k % 4 = 0) as backend_runs from asked")
+def cache_counts(spark, sf_dir):
+    return pa.resolution_counts(_asked(spark, sf_dir), _cached(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- selections
@@ -656,9 +674,12 @@ def duplicate_keys(spark, sf_dir):
     return iv.repeated(_raw(spark, sf_dir), "code")
 
 
-@query("snapshot_fingerprint")
+SNAPSHOT = "code created_t k labels_tags nutriscore_grade product_name product_quantity quantity serving_quantity serving_size".split()
+
+
+@query("snapshot_fingerprint", f"select count(*) as n, cast(sum(cast('0x' || substr(md5(" + " || ".join(f"coalesce(cast({c} as varchar), chr(0)) || chr(1)" for c in SNAPSHOT) + f"), 1, 12) as hugeint)) as varchar) as digest from ({SOURCE}) s")
 def snapshot_fingerprint(spark, sf_dir):
-    return se.fingerprint(source_flat(spark, sf_dir))
+    return se.fingerprint(source_flat(spark, sf_dir).select(*SNAPSHOT))
 
 
 @query("input_summary", f"select count_if(trim(coalesce(code, '')) <> '') as processed, count_if(trim(coalesce(code, '')) = '') as skipped from ({SOURCE}) s")
@@ -688,14 +709,13 @@ def _shown(rows: DataFrame) -> DataFrame:
 
 
 def document_rows(spark, sf_dir) -> DataFrame:
-    """(document variant): the same products as full JSON documents."""
+    """(document variant): the same products as full JSON documents; names of codes that end in 3 as localized lists."""
     flat = source_rows(spark, sf_dir).where("code is not null")
     nutriments = F.struct(*[F.col(f"`{c}`").alias(c) for c in NUTRIMENT_OF])
     listed = F.filter(F.split("labels_tags", ","), lambda x: x != "")
-    name = F.when(F.substring("code", -1, 1) == "3", F.to_json(F.array(F.struct(F.lit("fr").alias("lang"), F.lit(" ").alias("text")), F.struct(F.lit("main").alias("lang"), F.col("product_name").alias("text")))))
-    plain = F.to_json(F.struct(F.col("code"), F.lit("x").alias("_id"), "created_t", "product_name", "quantity", "product_quantity", "serving_quantity", listed.alias("labels_tags"), nutriments.alias("nutriments")))
-    del name
-    return flat.select(F.parse_json(plain).alias("document"))
+    names = F.array(*[F.struct(F.lit(lang).alias("lang"), text.alias("text")) for lang, text in (("fr", F.lit(" ")), ("main", F.col("product_name")))])
+    of = lambda name: F.to_json(F.struct(F.col("code"), F.lit("x").alias("_id"), "created_t", name.alias("product_name"), "quantity", "product_quantity", "serving_quantity", listed.alias("labels_tags"), nutriments.alias("nutriments")))
+    return flat.select(F.parse_json(F.when(F.endswith("code", F.lit("3")), of(names)).otherwise(of(F.col("product_name")))).alias("document"))
 
 
 def export_rows(spark, sf_dir) -> DataFrame:
@@ -718,7 +738,7 @@ def norm_canonical(spark, sf_dir):
     return _shown(ig.canonical(source_rows(spark, sf_dir).where("code is not null").withColumn("unrelated", F.lit(1))))
 
 
-@query("norm_document", NORMAL)
+@query("norm_document", NORMAL.replace("nullif(product_name, '') as product_name", "case when code like '%3' and trim(coalesce(product_name, '')) = '' then null else nullif(product_name, '') end as product_name"))
 def norm_document(spark, sf_dir):
     return _shown(ig.from_documents(document_rows(spark, sf_dir).withColumn("code", F.try_variant_get("document", "$.code", "string"))))
 
@@ -734,9 +754,18 @@ def norm_remap(spark, sf_dir):
     return _shown(ig.remap(rows, {"code": "ean", "quantity": "menge"}))
 
 
-@query("contract_of", f"select 'document' as contract, count(*) as n from ({SOURCE}) s where code is not null")
+@query("contract_of", f"select case k % 5 when 0 then 'document' when 1 then 'export' when 2 then 'canonical' end as contract, k % 5 as kind, count(*) as n from ({SOURCE}) s where code is not null group by all")
 def contract_of(spark, sf_dir):
-    return document_rows(spark, sf_dir).groupBy(ig.contract_of(F.col("document")).alias("contract")).agg(F.count(F.lit(1)).alias("n"))
+    """Documents, export rows, canonical rows, rows that are both of the first, and rows that are nothing."""
+    empty = [F.lit("").alias(c) for c in ig.EXPORT_COLUMNS if c not in ("code", "nutriments")]
+    listed = F.array(F.struct(F.lit("fat").alias("name"), "fat")).alias("nutriments")
+    shapes = [
+        F.struct("code", F.struct("fat").alias("nutriments")), F.struct("code", *empty, listed), F.struct("code", "quantity"),
+        F.struct("code", F.lit("x").alias("_id"), *empty, listed), F.struct("quantity", F.lit(1).alias("other")),
+    ]
+    rows = source_flat(spark, sf_dir).where("code is not null")
+    text = F.element_at(F.array(*[F.to_json(x, {"ignoreNullFields": "false"}) for x in shapes]), (F.col("k") % 5 + 1).cast("int"))
+    return rows.select((F.col("k") % 5).alias("kind"), ig.contract_of(F.parse_json(text)).alias("contract")).groupBy("contract", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("valid_documents", f"select code from ({SOURCE}) s where trim(coalesce(code, '')) <> ''")
@@ -744,13 +773,61 @@ def valid_documents(spark, sf_dir):
     return ig.valid_documents(document_rows(spark, sf_dir)).select("code")
 
 
-CELL = "(select k, case k % 6 when 0 then '[1, 2]' when 1 then '{{''a'': None, ''b'': True}}' when 2 then 'plain' when 3 then ' {{\"a\": {{\"b\": 3}}}} ' when 4 then null else '[broken' end as cell from ({base}) b)"
+CELLS = [
+    ("[1, 2]", "[1,2]"), ("{'a': None, 'b': True}", '{"a":null,"b":true}'), ("plain", None), (' {"a": {"b": 3}} ', '{"a":{"b":3}}'), (None, None), ("[broken]", None),
+    ("{'a': 'True story', \"b\": \"it's None\"}", '{"a":"True story","b":"it\'s None"}'), ("[('x', 1_000), (2,), 'say \"no\"']", '[["x",1000],[2],"say \\"no\\""]'), ("{'q': 'it\\'s', 'r': [1, 2,]}", '{"q":"it\'s","r":[1,2]}'), ("[1, 2", None),
+]
 
 
-@query("structured_cells", f"select k, case k % 6 when 0 then '[1,2]' when 1 then '{{\"a\":null,\"b\":true}}' when 3 then '{{\"a\":{{\"b\":3}}}}' end as decoded from ({fx.for_duckdb(fx.BASE)}) b")
+@query("structured_cells", "select k, case k % " + str(len(CELLS)) + " " + " ".join("when {} then {}".format(i, "'" + d.replace("'", "''") + "'") for i, (_, d) in enumerate(CELLS) if d) + f" end as decoded, k % {len(CELLS)} = 5 as broken from ({fx.for_duckdb(fx.BASE)}) b")
 def structured_cells(spark, sf_dir):
-    rows = fx.table(spark, sf_dir, fx.BASE).select("k", F.element_at(F.array(*[F.lit(x) for x in ("[1, 2]", "{'a': None, 'b': True}", "plain", ' {"a": {"b": 3}} ', None, "[broken")]), (F.col("k") % 6 + 1).cast("int")).alias("cell"))
-    return rows.select("k", F.to_json(ig.structured_cell(F.col("cell"))).alias("decoded"))
+    cell = F.element_at(F.array(*[F.lit(c) for c, _ in CELLS]), (F.col("k") % len(CELLS) + 1).cast("int"))
+    rows = fx.table(spark, sf_dir, fx.BASE).select("k", cell.alias("cell"))
+    return rows.select("k", F.to_json(ig.structured_cell(F.col("cell"))).alias("decoded"), ig.undecodable(F.col("cell")).alias("broken"))
+
+
+@query("json_text", "select k, case k % 4 when 0 then '{\"a\":1}' when 1 then '\"not json\"' when 2 then '[true,null]' end as decoded from (" + fx.for_duckdb(fx.BASE) + ") b")
+def json_text(spark, sf_dir):
+    cell = F.element_at(F.array(*[F.lit(x) for x in ('{"a": 1}', "not json", "[true, null]", None)]), (F.col("k") % 4 + 1).cast("int"))
+    return ig.decode_json_text(fx.table(spark, sf_dir, fx.BASE).select("k", cell.alias("cell")), "cell").select("k", F.to_json("cell").alias("decoded"))
+
+
+@query("envelopes", f"select code, k * 2 as score from ({SOURCE}) s where code <> ''")
+def envelopes(spark, sf_dir):
+    result = F.struct("code", (F.col("k") * 2).alias("score"))
+    lines = source_flat(spark, sf_dir).where("code <> ''").select(F.to_json(F.struct(F.lit("result").alias("contract_kind"), F.lit(1).alias("contract_version"), result.alias("reference_result"))).alias("line"))
+    return ig.decode_envelopes(lines, "line", "result", 1, "struct<code:string,score:long>")
+
+
+def _folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder that driver and executors share; a temporary one only where none is set."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="larder-")
+    return f"{base.rstrip('/')}/larder/{label}-{uuid.uuid4().hex}"
+
+
+@query("read_json_lines", f"select code, quantity from ({SOURCE}) s where code is not null")
+def read_json_lines(spark, sf_dir):
+    folder = _folder(spark, "lines")
+    document_rows(spark, sf_dir).select(F.to_json("document").alias("value")).write.text(folder)
+    rows = ig.read_documents(spark, folder)
+    return rows.select(*[F.try_variant_get("document", f"$.{c}", "string").alias(c) for c in ("code", "quantity")])
+
+
+@query("read_tsv", f"select code, coalesce(quantity, '') as quantity, coalesce(labels_tags, '') as labels_tags from ({SOURCE}) s where code <> ''")
+def read_tsv(spark, sf_dir):
+    folder = _folder(spark, "tsv")
+    flat = source_flat(spark, sf_dir).where("code <> ''").select("code", "quantity", "labels_tags")
+    flat.write.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder, sep="\t", header=True)
+    rows = ig.read_tsv(spark, folder)
+    return rows.select("code", *[F.coalesce(c, F.lit("")).alias(c) for c in ("quantity", "labels_tags")])
+
+
+@query("read_sheet", f"select case when k % 10 = 5 then '' else code end as code, coalesce(quantity, '') as quantity from ({SOURCE}) s where code <> '' and (k % 10 <> 5 or trim(coalesce(quantity, '')) <> '')")
+def read_sheet(spark, sf_dir):
+    folder = _folder(spark, "sheet")
+    flat = source_flat(spark, sf_dir).where("code <> ''").select(F.when(F.col("k") % 10 == 5, "").otherwise(F.col("code")).alias("code"), "quantity")
+    flat.write.csv(folder, sep=";", header=True)
+    return ig.read_sheet(spark, folder)
 
 
 # ---------------------------------------------------------------- runs and reports
@@ -783,7 +860,8 @@ OUTCOME = "case when status = 'runtime_only' then 'runtime_only' when missing =
 
 @query("report_rows", f"with {SUMMARY}, mis as (select check_id, sum(missing) as mi, sum(extra) as ex from diff group by check_id) select s.*, least(coalesce(m.mi, 0), 1000000)::bigint as missing_examples, coalesce(m.ex, 0)::bigint as extra_examples, {OUTCOME.replace('missing', 's.missing').replace('extra', 's.extra')} as outcome, case when s.status = 'runtime_only' then 'runtime' when s.passed then 'pass' else 'fail' end as card, s.missing + s.extra as mismatches, lower(s.check_id || ' ' || s.language || ' ' || ({OUTCOME.replace('missing', 's.missing').replace('extra', 's.extra')})) as search_text from summary s left join mis m on m.check_id = s.check_id")
 def report_rows(spark, sf_dir):
-    return rn.report_rows(summary_of(spark, sf_dir), parity_mismatches(spark, sf_dir))
+    diff = parity_diff(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
+    return rn.report_rows(summary_of(spark, sf_dir, diff), pa.mismatches(diff))
 
 
 @query("report_composition", f"with {SUMMARY} select b.outcome, count(s.check_id) as n, count(s.check_id) * 100.0::double / greatest((select count(*) from summary), 1) as percent from (select unnest(['pass', 'mixed', 'legacy_only', 'migrated_only', 'runtime_only']) as outcome) b left join (select check_id, {OUTCOME} as outcome from summary) s on s.outcome = b.outcome group by b.outcome")
@@ -803,28 +881,38 @@ def rule_messages(spark, sf_dir):
 
 # ---------------------------------------------------------------- sheets
 
-#: Global source rules on rows k; rows with k % 10 = 0 are blank.
+#: Global source rules on rows k.  Rows with k % 10 = 0 are blank; the names of 3 and 7 are structured, so those rows are errors.
 SHEET_IDS = [i for i in SOURCE_IDS if not i.startswith("ca:")]
-SHEET_FOUND = f"sf as (select x.k, f.check_id, f.severity from ({findings_sql(SHEET_IDS, False)}) f join (select k, code from ({SOURCE}) s where k % 10 <> 0 and code <> '') x on x.code = f.product_id)"
-SHEET = f"""{SHEET_FOUND}, sheet as (select s.k as row_number, case when s.k % 10 = 0 then '' else s.code end as code, case when s.k % 10 = 0 then ' ' else coalesce(s.product_name, '') end as product_name from ({SOURCE}) s where s.code <> ''),
-ann as (select sh.row_number, case when sh.row_number % 10 = 0 then '' when count(f.k) > 0 then 'issue' else 'ok' end as dq_status,
- case when sh.row_number % 10 = 0 then '' else coalesce(arg_max(f.severity, {RANK.format(c='f.severity')}), '') end as dq_severity,
- case when sh.row_number % 10 = 0 then '' else cast(count(f.k) as varchar) end as dq_findings_count,
- case when sh.row_number % 10 = 0 then '' else coalesce(string_agg(f.check_id, chr(10) order by f.check_id), '') end as dq_findings,
- case when sh.row_number % 10 = 0 then '' else '2024-01-01T00:00:00Z' end as dq_last_checked_at, sh.code, sh.product_name
- from sheet sh left join sf f on f.k = sh.row_number group by sh.row_number, sh.code, sh.product_name)"""
+SHEET_FOUND = f"sf as (select x.k, f.check_id, f.severity from ({findings_sql(SHEET_IDS, False)}) f join (select k, code from ({SOURCE}) s where k % 10 not in (0, 3, 7) and code <> '') x on x.code = f.product_id)"
+
+
+def _cell(error: str, full: str, none: str) -> str:
+    return f"case sh.row_number % 10 when 0 then '' when 3 then {error} when 7 then {error} else case when count(f.k) > 0 then {full} else {none} end end"
+
+
+PROBLEM = "'Validation error: ' || case sh.row_number % 10 when 3 then 'structured product_name without the other columns of an export' else 'column ''product_name'' contains an unsupported raw structured string' end"
+SHEET = f"""{SHEET_FOUND}, sheet as (select s.k as row_number, case when s.k % 10 = 0 then '' else s.code end as code,
+  case s.k % 10 when 0 then ' ' when 3 then '[1, 2]' when 7 then '{{{{broken}}}}' else coalesce(s.product_name, '') end as product_name from ({SOURCE}) s where s.code <> ''),
+ ann as (select sh.row_number, {_cell("'error'", "'issue'", "'ok'")} as dq_status,
+ {_cell("'error'", f"arg_max(f.severity, {RANK.format(c='f.severity')})", "''")} as dq_severity,
+ {_cell("'0'", "cast(count(f.k) as varchar)", "'0'")} as dq_findings_count,
+ {_cell(PROBLEM, "string_agg(f.check_id, chr(10) order by f.check_id)", "''")} as dq_findings,
+ '2024-01-01T00:00:00Z' as dq_last_checked_at, sh.code, sh.product_name
+ from sheet sh left join sf f on f.k = sh.row_number group by sh.row_number, sh.code, sh.product_name)""".replace("{{broken}}", "{broken}")
 
 
 def sheet_rows(spark, sf_dir) -> DataFrame:
-    blank = F.col("k") % 10 == 0
-    return source_flat(spark, sf_dir).where("code <> ''").select(F.col("k").alias("row_number"), F.when(blank, "").otherwise(F.col("code")).alias("code"), F.when(blank, " ").otherwise(F.coalesce("product_name", F.lit(""))).alias("product_name"))
+    digit = F.col("k") % 10
+    name = F.when(digit == 0, " ").when(digit == 3, "[1, 2]").when(digit == 7, "{broken}").otherwise(F.coalesce("product_name", F.lit("")))
+    return source_flat(spark, sf_dir).where("code <> ''").select(F.col("k").alias("row_number"), F.when(digit == 0, "").otherwise(F.col("code")).alias("code"), name.alias("product_name"))
 
 
 def annotated(spark, sf_dir) -> DataFrame:
-    rows = source_rows(spark, sf_dir, with_key=True).where("code <> '' and k % 10 <> 0")
+    rows = source_rows(spark, sf_dir, with_key=True).where("code <> ''")
     found = fi.evaluate(cx.project_source(rows), fi.select_rules(RULES, ids=SHEET_IDS))
     by_row = found.select(F.col("product_id").cast("bigint").alias("row_number"), "check_id", "severity")
-    return sh.annotate(sheet_rows(spark, sf_dir), by_row, "row_number", "2024-01-01T00:00:00Z")
+    sheet = sheet_rows(spark, sf_dir)
+    return sh.annotate(sheet, by_row, "row_number", "2024-01-01T00:00:00Z", ig.shape_problem(sheet))
 
 
 @query("sheet_annotate", f"with {SHEET} select * from ann")
@@ -850,17 +938,22 @@ def sheet_candidates(spark, sf_dir):
     return sh.candidates(annotated(spark, sf_dir))
 
 
-@query("sheet_outcome", f"with {SHEET} select count_if(dq_status in ('ok', 'issue')) as validated, count_if(dq_status = 'issue') as issues, 0::bigint as errors from ann")
+@query("sheet_outcome", f"with {SHEET} select count_if(dq_status in ('ok', 'issue', 'error')) as validated, count_if(dq_status = 'issue') as issues, count_if(dq_status = 'error') as errors from ann")
 def sheet_outcome(spark, sf_dir):
     return sh.outcome(annotated(spark, sf_dir))
 
 
-@query("sheet_preview", f"with {SHEET} select row_number, 'code=' || code || case when trim(product_name) <> '' then ';product_name=' || product_name else '' end as cells from sheet where row_number % 10 <> 0 order by row_number limit 3")
+@query("sheet_preview", f"with {SHEET} select row_number, 'code=' || code || case when product_name <> '' then ';product_name=' || product_name else '' end as cells from sheet where row_number % 10 <> 0 order by row_number limit 3")
 def sheet_preview(spark, sf_dir):
     rows = sh.preview(sheet_rows(spark, sf_dir), "row_number")
     return rows.select("row_number", F.array_join(F.transform("cells", lambda c: F.concat_ws("=", c["name"], c["value"])), ";").alias("cells"))
 
 
+@query("sheet_preview_counts", f"with {SHEET} select (select count(*) from sheet where row_number % 10 <> 0) as candidate_count, string_agg(code, ',' order by row_number) as candidate_codes from (select row_number, code from sheet where row_number % 10 <> 0 and code <> '' order by row_number limit 10) c")
+def sheet_preview_counts(spark, sf_dir):
+    return sh.preview_counts(sheet_rows(spark, sf_dir), "row_number").withColumn("candidate_codes", F.array_join("candidate_codes", ","))
+
+
 @query("sheet_rectangular", f"select k, case when k % 5 = 0 then ',,' when k % 5 = 1 then 'x,,' when k % 5 = 2 then 'x,x,' else 'x,x,x' end as cells from ({SOURCE}) s")
 def sheet_rectangular(spark, sf_dir):
     rows = source_flat(spark, sf_dir).select("k", F.slice(F.array_repeat(F.lit("x"), 5), F.lit(1), (F.col("k") % 5).cast("int")).alias("cells"))

@@ -7,11 +7,7 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-TIMINGS = (
-    "source_read_seconds reference_load_seconds context_build_seconds reference_findings_seconds "
-    "migrated_findings_seconds compare_seconds record_seconds total_seconds"
-).split()
-PREPARATION = "prepare_seconds snapshot_seconds profile_seconds row_count_seconds".split()
+# Outcomes of a rule.
 BUCKETS = ["pass", "mixed", "legacy_only", "migrated_only", "runtime_only"]
 
 

@@ -38,12 +38,15 @@ def with_code(rows: DataFrame) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
-    """A CSV sheet with cells as text and row numbers; the separator is voted on in the first lines if not given."""
+    """A CSV sheet with cells as text: short rows padded, long ones cut to the header, blank ones dropped.
+
+    The separator is the commonest of comma, semicolon and tab in the header, if not given.
+    """
     if separator is None:
-        head = "\n".join(r.value for r in spark.read.text(path).limit(20).collect())
-        if not head.strip():
+        head = spark.read.text(path).first()
+        if head is None or not head.value.strip():
             raise ValueError("the sheet is empty")
-        separator = max(",;\t", key=head.split("\n")[0].count)
+        separator = max(",;\t", key=head.value.count)
     rows = spark.read.option("sep", separator).option("header", True).option("mode", "PERMISSIVE").csv(path)
     filled = rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
     return filled.where(~F.forall(F.array(*[F.col(f"`{c}`") for c in rows.columns]), lambda x: strip(x) == ""))
@@ -173,10 +176,72 @@ def remap(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     return canonical(functools.reduce(lambda df, cs: df.withColumnRenamed(cs[1], cs[0]), columns.items(), rows))
 
 
+#: A quoted string of a Python literal.
+_QUOTED = r"'(?:[^'\\]|\\.)*'" + r'|"(?:[^"\\]|\\.)*"'
+
+
+def looks_structured(c: Column) -> Column:
+    return F.coalesce(strip(c).rlike(r"(?s)^[\[{].*[\]}]$"), F.lit(False))
+
+
+def _json_string(token: Column) -> Column:
+    """A quoted Python string as a JSON string."""
+    inner = F.substring(token, F.lit(2), F.length(token) - 2)
+    plain = F.regexp_replace(inner, r"\\(?=')", "")
+    quoted = F.when(F.startswith(token, F.lit("'")), F.regexp_replace(plain, r'(?<!\\)((?:\\\\)*)"', r'$1\\"')).otherwise(plain)
+    return F.concat(F.lit('"'), F.regexp_replace(quoted, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2"), F.lit('"'))
+
+
+def _json_rest(piece: Column) -> Column:
+    """What stands between strings: names of constants, digit groups, tuples and closing commas."""
+    changes = [(r"\bNone\b", "null"), (r"\bTrue\b", "true"), (r"\bFalse\b", "false"), (r"(?<=[0-9])_(?=[0-9])", ""), (r"\(", "["), (r",?\s*\)", "]"), (r",\s*(?=[\]}])", "")]
+    return functools.reduce(lambda t, ab: F.regexp_replace(t, *ab), changes, piece)
+
+
 def structured_cell(c: Column) -> Column:
-    """Text that holds a JSON or Python literal list or object to variant; other text is null."""
+    """Text that holds a JSON or Python literal list or object to variant; other text is null.
+
+    In a Python literal, quoted strings are told apart first, so that only what stands between them is rewritten.
+    Text that looks structured and is neither gives null too; :func:`undecodable` tells it apart.
+    """
     t = strip(c)
-    looks = t.rlike(r"(?s)^[\[{].*[\]}]$")
-    words = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
-    as_json = F.regexp_replace(F.regexp_replace(words, '"', '\\\\"'), "'", '"')
-    return F.when(looks, F.coalesce(F.try_parse_json(t), F.try_parse_json(as_json)))
+    strings = F.transform(F.regexp_extract_all(t, F.lit(_QUOTED), F.lit(0)), _json_string)
+    rest = F.transform(F.split(t, _QUOTED, -1), _json_rest)
+    as_json = F.array_join(F.zip_with(rest, strings, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(looks_structured(c), F.coalesce(F.try_parse_json(t), F.try_parse_json(as_json)))
+
+
+def undecodable(c: Column) -> Column:
+    """Text with the borders of a list or object that is neither JSON nor a Python literal."""
+    return looks_structured(c) & structured_cell(c).isNull()
+
+
+def shape_problem(rows: DataFrame) -> Column:
+    """Why a row of text cells is no canonical row: nutriments, or a structured text or tag cell without the full export shape; else null."""
+    if "nutriments" in rows.columns:
+        return F.when(F.col("nutriments").isNotNull(), "nutriments without the other columns of an export")
+    tests = [F.lit(None).cast("string")]
+    for c in ("product_name", "ingredients_text", *TAG_COLUMNS):
+        if c in rows.columns:
+            broken = F.when(undecodable(F.col(c)), f"column '{c}' contains an unsupported raw structured string")
+            tests.append(broken.when(looks_structured(F.col(c)), f"structured {c} without the other columns of an export"))
+    return F.coalesce(*tests)
+
+
+def decode_envelopes(lines: DataFrame, column: str, kind: str, version: int, result: str) -> DataFrame:
+    """``reference_result`` (type ``result``) of JSON envelopes; another kind or version fails the job."""
+    parsed = F.from_json(column, f"contract_kind string, contract_version long, reference_result {result}")
+    rows = lines.select(parsed.alias("e"))
+    fits = F.col("e.contract_kind").eqNullSafe(kind) & F.col("e.contract_version").eqNullSafe(version)
+    wrong = F.concat_ws(" ", F.lit(f"expected {kind} {version}, got"), F.col("e.contract_kind"), F.col("e.contract_version").cast("string"))
+    return rows.select(F.when(fits, F.col("e.reference_result")).otherwise(F.raise_error(wrong)).alias("r")).select("r.*")
+
+
+def write_cohort(rows: DataFrame, position: str, folder: str) -> None:
+    """The same products as JSON lines, TSV and Parquet, in the order of ``position``; nested columns as JSON text in the TSV."""
+    ordered = rows.orderBy(position).drop(position)
+    nested = [c for c, t in ordered.dtypes if t.startswith(("array", "map", "struct", "variant"))]
+    flat = ordered.withColumns({c: F.to_json(F.col(f"`{c}`")) for c in nested})
+    ordered.write.json(f"{folder}/jsonl", ignoreNullFields=False)
+    flat.write.csv(f"{folder}/tsv", sep="\t", header=True)
+    ordered.write.parquet(f"{folder}/parquet")

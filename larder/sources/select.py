@@ -51,11 +51,31 @@ def cohort(rows: DataFrame, chosen: DataFrame, order: list, position: str) -> Da
     return joined.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn").orderBy(position)
 
 
+def checked_codes(codes: DataFrame, position: str, code: str = "code") -> DataFrame:
+    """:func:`clean_codes`; a list without codes is an error."""
+    found = clean_codes(codes, position, code)
+    if found.isEmpty():
+        raise ValueError("the code list has no codes")
+    return found
+
+
+def enough_shared(rows: DataFrame, other: DataFrame, position: str, n: int) -> DataFrame:
+    """:func:`first_shared`; fewer than n shared codes are an error."""
+    found = first_shared(rows, other, position, n)
+    have = found.count()
+    if have < n:
+        raise ValueError(f"only {have} of {n} codes are shared")
+    return found
+
+
 def fingerprint(rows: DataFrame) -> DataFrame:
-    """Digest of all rows, whatever their order: count, and sum of row hashes."""
-    names = sorted(rows.columns)
-    row = F.conv(F.substring(F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256), 1, 12), 16, 10).cast("decimal(38,0)")
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row), F.lit(0)).alias("digest"))
+    """Digest of all rows, whatever their order: count, and sum of 48 bits of each row's MD5.
+
+    A row is its columns in order of name as text, null as \\0, each followed by \\1.
+    """
+    cells = [F.concat(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")), F.lit("\1")) for c in sorted(rows.columns)]
+    row = F.conv(F.substring(F.md5(F.concat(*cells)), 1, 12), 16, 10).cast("decimal(38,0)")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("digest"))
 
 
 def selection_fingerprint(selection: dict) -> str:

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +118,17 @@ def test_deep_ingredients(spark):
     got = {r.code: r.u for r in rows.select("code", cx.claim_unknown(F.col("ingredients"), "vegan").alias("u")).collect()}
     assert got == {"1": True, "2": False, "3": False, "4": False}
     assert cx.ingredient_nodes(rows).groupBy("code").count().orderBy("code").collect()[0]["count"] == 7
+
+
+def test_unknown_claims_at_any_depth(spark):
+    def nest(claim, depth):
+        node = {"id": "x", "vegan": claim}
+        for _ in range(depth - 1):
+            node = {"id": "y", "vegan": "yes", "ingredients": [{"id": "z", "vegan": "no"}, node]}
+        return [node]
+
+    cases = {f"{c!r}{d}": (nest(c, d), str(c).strip().lower() in ("", "unknown", "none")) for c in ("yes", "unknown", "\tunknown ", None, "\u00a0", "maybe") for d in (1, 2, 8, 9, 30)}
+    cases |= {"text": (["plain"], True), "inner": ([{"vegan": "yes", "ingredients": [7]}], True), "none": ([], False), "object": ({"vegan": "unknown"}, False), "null": (None, False)}
+    rows = spark.createDataFrame([(k, json.dumps(v)) for k, (v, _) in cases.items()], "code string, t string")
+    got = {r.code: r.u for r in rows.select("code", cx.claim_unknown(F.parse_json("t"), "vegan").alias("u")).collect()}
+    assert got == {k: want for k, (_, want) in cases.items()}

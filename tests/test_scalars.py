@@ -30,6 +30,7 @@ def test_as_number_follows_python(spark):
 def test_round2_follows_python(spark):
     r = random.Random(2)
     values = [0.0, 1.005, 0.125, 0.375, 2.675, 0.1 + 0.2, -1.005, -0.125, 99999.995] + [r.random() * 10 ** r.randrange(5) for _ in range(2000)] + [k / 8 for k in range(200)] + [k / 1000 for k in range(1000)]
+    values += [s * r.random() * 10 ** r.randrange(5, 19) for _ in range(2000) for s in (1, -1)] + [2e11, 1e15, 1e300, -(2.0**52), 2.0**40 + 0.125, 2.0**45 + 0.375, 2.0**37 - 0.005, float("inf")]
     rows = spark.createDataFrame([(v,) for v in values], "x double")
     for row in rows.select("x", sc.round2(F.col("x")).alias("y")).collect():
         assert row.y == round(row.x, 2), row

@@ -57,11 +57,97 @@ def test_sheet_annotation(spark):
     found = spark.createDataFrame([(2, "en:b", "warning"), (2, "en:a", "completeness")], "row int, check_id string, severity string")
     rows = {r.row: r for r in sh.annotate(sheet, found, "row", "now").collect()}
     assert (rows[2].dq_status, rows[2].dq_severity, rows[2].dq_findings) == ("issue", "warning", "en:a\nen:b")
-    assert rows[3].dq_status == "ok" and rows[4].dq_status == "" and rows[4].dq_last_checked_at == ""
+    assert rows[3].dq_status == "ok" and (rows[4].dq_status, rows[4].dq_findings, rows[4].dq_last_checked_at) == ("", "", "now")
     with pytest.raises(ValueError):
         sh.candidates(sheet)
 
 
+def test_sheet_errors(spark):
+    cells = [(2, "1", "[1, 2]"), (3, "2", "{broken}"), (4, "3", "fine"), (5, "", " "), (6, "4", "[open")]
+    sheet = spark.createDataFrame(cells, "row int, code string, product_name string")
+    found = spark.createDataFrame([(2, "en:a", "bug"), (4, "en:a", "info")], "row int, check_id string, severity string")
+    out = sh.annotate(sheet, found, "row", "now", ig.shape_problem(sheet))
+    rows = {r.row: r for r in out.collect()}
+    assert [rows[i].dq_status for i in range(2, 7)] == ["error", "error", "issue", "", "ok"]
+    assert rows[2].dq_findings.startswith("Validation error: structured product_name") and rows[2].dq_findings_count == "0"
+    assert "unsupported raw structured string" in rows[3].dq_findings and rows[3].dq_severity == "error"
+    assert tuple(sh.outcome(out).first()) == (4, 1, 2)
+    assert {r.row: r.colour for r in sh.colours(out, "row").collect()} == {2: "#F4CCCC", 3: "#F4CCCC", 4: "#D9EAF7", 5: None, 6: "#D9EAD3"}
+    with_list = sheet.withColumn("nutriments", F.lit(""))
+    assert all(r.p for r in with_list.select(ig.shape_problem(with_list).alias("p")).collect())
+    assert sh.header_assessment(["code", "dq_status", "x"], ["code", "quantity"]) == {"recognized": 1, "ignored": 1}
+    with pytest.raises(ValueError):
+        sh.header_assessment(["x"], ["code"])
+    got = sh.preview_counts(sheet, "row").first()
+    assert (got.candidate_count, got.candidate_codes) == (4, ["1", "2", "3", "4"])
+    (cells_,) = [r.cells for r in sh.preview(spark.createDataFrame([(1, "7", " ", "")], "row int, code string, a string, b string"), "row").collect()]
+    assert [(c.name, c.value) for c in cells_] == [("code", "7"), ("a", " ")]
+
+
+def test_colour_ranges_join_over_blocks(spark):
+    import random
+
+    r = random.Random(3)
+    colours, at = [], 0
+    while at < 300:
+        n = r.choice([1, 2, 3, 40])
+        colours += [r.choice(["a", "b", None])] * n
+        at += n
+    rows = spark.createDataFrame(list(enumerate(colours)), "row int, colour string")
+    want, start = [], 0
+    for i in range(1, len(colours) + 1):
+        if i == len(colours) or colours[i] != colours[start]:
+            if colours[start]:
+                want.append((colours[start], start, i - 1))
+            start = i
+    for block in (1, 7, 1000):
+        assert sorted(map(tuple, sh.colour_ranges(rows, "row", block).collect())) == sorted(want)
+
+
+def test_literals_of_python(spark):
+    import ast
+    import json
+
+    texts = [
+        "{'a': 'True story', \"b\": \"it's None\"}", "[1_000, 2.5, -3]", "[('x', 'y'), (1,), ()]", "['quote \"inside\"', 'back\\\\slash', 'new\\nline', 'it\\'s', '\\x41']",
+        "{'n': None, 't': [True, False,],}", "[]", "{}", "{'k': {'deep': ['None', \"True\"]}}", '["json \\" quote"]',
+    ]
+    broken = ["[1, 2}", "{broken}", "[1 2]", "{'a': }", "['open]"]
+    rows = spark.createDataFrame([(t,) for t in [*texts, *broken, "plain", "[open", None]], "t string")
+    got = {r.t: (r.v, r.u) for r in rows.select("t", F.to_json(ig.structured_cell(F.col("t"))).alias("v"), ig.undecodable(F.col("t")).alias("u")).collect()}
+    for t in texts:
+        assert json.loads(got[t][0]) == json.loads(json.dumps(ast.literal_eval(t))) and got[t][1] is False, t
+    assert all(got[t] == (None, True) for t in broken)
+    assert got["plain"] == got["[open"] == got[None] == (None, False)
+
+
+def test_guards(spark, tmp_path):
+    from larder.operators import parity as pa
+
+    asked = spark.createDataFrame([("a", 1), ("b", 2)], "code string, k int")
+    done = spark.createDataFrame([("b", 5), ("a", 4)], "code string, result int")
+    assert [tuple(r) for r in pa.in_request_order(asked, done, "k").collect()] == [("a", 1, 4), ("b", 2, 5)]
+    with pytest.raises(Exception, match="no result for b"):
+        pa.in_request_order(asked, done.where("code = 'a'"), "k").collect()
+    pa.checked_identity({"x": 1}, {"x": 1})
+    with pytest.raises(ValueError, match="y"):
+        pa.checked_identity({"x": 1, "y": 2}, {"x": 1, "y": 3})
+    lines = spark.createDataFrame([('{"contract_kind": "k", "contract_version": 2, "reference_result": {"code": "1"}}',)], "line string")
+    assert ig.decode_envelopes(lines, "line", "k", 2, "struct<code:string>").collect()[0].code == "1"
+    for kind, version in (("k", 1), ("z", 2)):
+        with pytest.raises(Exception, match="expected"):
+            ig.decode_envelopes(lines, "line", kind, version, "struct<code:string>").collect()
+    with pytest.raises(ValueError):
+        se.checked_codes(spark.createDataFrame([(" ", 1), ("# x", 2)], "code string, pos int"), "pos")
+    with pytest.raises(ValueError):
+        se.enough_shared(asked, done, "k", 3)
+    rows = spark.createDataFrame([(2, "b", [1]), (1, "a", [2, 3])], "n int, code string, tags array<int>")
+    ig.write_cohort(rows, "n", str(tmp_path / "out"))
+    assert [r.code for r in spark.read.json(str(tmp_path / "out/jsonl")).collect()] == ["a", "b"]
+    assert [tuple(r) for r in ig.read_tsv(spark, str(tmp_path / "out/tsv")).collect()] == [("a", "[2,3]"), ("b", "[1]")]
+    assert spark.read.parquet(str(tmp_path / "out/parquet")).columns == ["code", "tags"]
+
+
 def test_run_store(spark, tmp_path):
     store = RunStore(spark, str(tmp_path))
     store.start("a", "snap", 5, "2024-01-01T00:00:00Z")
