@@ -21,11 +21,18 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
+#: Neighbours of one node that meet its least one in one task; the edges of a larger star are dealt out in parts.
+STAR = 500
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the least node next to it."""
     both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
-    tied = both.join(least, "u").where(F.col("v") > F.col("u"))
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("parts"))
+    hot = least.where("parts > 1").select("u", "parts")  # one in STAR edges at most
+    dealt = both.join(hot, "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("parts", F.lit(1))).alias("part"))
+    copies = least.select("u", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"))
+    tied = dealt.join(copies, ["u", "part"]).where(F.col("v") > F.col("u"))
     return tied.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 

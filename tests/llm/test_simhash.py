@@ -86,3 +86,15 @@ def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(3, "same text"), (3, "same text"), (None, "same text"), (9, "same text")], "doc_id long, text string")
     assert [r.component_id for r in simhash.simhash_query(df).collect()] == [3] * 4
     assert simhash.simhash_query(df.limit(0)).count() == 0
+
+
+def test_components_of_large_stars(spark, monkeypatch):
+    from larder.llm import components
+
+    monkeypatch.setattr(components, "STAR", 3)
+    r = random.Random(4)
+    edges = [(1000, i) for i in range(60)] + [(i, 2000) for i in range(40, 90)] + [(3000 + i, 3001 + i) for i in range(20)] + [(5, 5), (4000, 4001)]
+    r.shuffle(edges)
+    got = {x.node: x.root for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {n: 0 for n in [*range(90), 1000, 2000]} | {3000 + i: 3000 for i in range(21)} | {4000: 4000, 4001: 4000}
+    assert got == want
