@@ -1,12 +1,12 @@
-"""Token-id files: global counts, length-limited Huffman codes, one file a range of ids.
+"""Token-id files: global counts, length-limited Huffman codes, files in order of doc_id.
 
 Texts are encoded where they are read; the packed ids are dealt out by ranges of doc_id and
-sorted; each range becomes one file in the shared folder.  Files are read back with the
-table-driven decoder.
+content and sorted; each range becomes one or more files of bounded size in the shared folder.
+Files are read back with the table-driven decoder.
 
 Defined results: null or empty text has just the end id; a null doc_id comes first; rows with
-equal doc_id follow each other in order of their ids; an empty table gives an empty result;
-other columns are not read.
+equal doc_id follow each other in order of a hash of their ids; an empty table gives an empty
+result; other columns are not read.  doc_id is an integer (or text of one); over 2**18 different ids in use are an error.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,14 +28,14 @@ from larder.llm.shared_files import get, put
 from larder.llm.tokens import Encoder
 
 _ROUND = 4 << 20
+#: Ids of one file, and of one task's range.
+FILE_IDS = 8_000_000
+TASK_IDS = 32_000_000
 _MIN_ID = -(1 << 63)
 
 
-def encoded(
-    docs: DataFrame, tokenizer: str, end_id: int, bounds: list[int], id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(part, doc_id, n, ids): the id's range, and packed token ids with the end id, compressed."""
-    marks = np.array(bounds, np.int64)
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n, ids): packed token ids with the end id, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
@@ -44,14 +45,12 @@ def encoded(
             for batch in slices(whole, "text", _ROUND):
                 ids = [x + end for x in encoder.encode([t or "" for t in batch.column(1).to_pylist()])]
                 n = [len(x) // encoder.dtype.itemsize for x in ids]
-                part = np.searchsorted(marks, batch.column(0).to_numpy(), side="left")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int32()), batch.column(0), pa.array(n, pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())],
-                    ["part", "doc_id", "n", "ids"],
+                    [batch.column(0), pa.array(n, pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())], ["doc_id", "n", "ids"]
                 )
 
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_MIN_ID)).alias("doc_id"), F.col(text_col).alias("text"))
-    return mapped(rows, run, "part int, doc_id long, n long, ids binary")
+    return mapped(rows, run, "doc_id long, n long, ids binary")
 
 
 def counts(rows: DataFrame, size: int, dtype: np.dtype) -> np.ndarray:
@@ -72,47 +71,45 @@ def counts(rows: DataFrame, size: int, dtype: np.dtype) -> np.ndarray:
     return out
 
 
-def _ranges(docs: DataFrame, id_col: str, parts: int) -> list[int]:
-    """Bounds that cut the ids into ranges of about equal size."""
-    found = docs.select(F.col(id_col).cast("long").alias("id")).where(F.col("id").isNotNull())
-    marks = found.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10 * parts + 1000)).first()[0]
-    return sorted(set(marks or []))
-
-
 def write_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write all token files; the result is their index (part, path, n_docs, n_tokens), in order of part."""
+    """Write all token files; the result is their index (part, number, path, n_docs, n_tokens, n_bytes), in that order."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _ranges(docs, id_col, parts)
-    rows = written(encoded(docs, tokenizer, end_id, bounds, id_col, text_col), "token-ids")
+    rows = written(encoded(docs, tokenizer, end_id, id_col, text_col).withColumn("h", F.xxhash64("ids")), "token-ids")
     encoder = Encoder.of(tokenizer)
     dtype = encoder.dtype
-    lengths = huffman.code_lengths(counts(rows, max(encoder.size, end_id + 1), dtype))
+    total = counts(rows, max(encoder.size, end_id + 1), dtype)
+    lengths = huffman.code_lengths(total)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total.sum()) // TASK_IDS)
     folder = new_path(spark, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
-        names, sizes, ids, part = [], [], [], None
+        names, sizes, ids = [], [], []
+        part, number, held = TaskContext.get().partitionId(), 0, 0
+
+        def close() -> pa.RecordBatch:
+            data = huffman.pack_file(np.array(names, np.int64), np.array(sizes, np.int64), np.frombuffer(b"".join(ids), dtype), lengths)
+            path = f"{folder}/part-{part:06d}-{number:04d}-{uuid.uuid4().hex}.tok"
+            put(path, data)
+            cols = [pa.array([v]) for v in (part, number, path, len(names), sum(sizes), len(data))]
+            return pa.RecordBatch.from_arrays(cols, ["part", "number", "path", "n_docs", "n_tokens", "n_bytes"])
+
         for batch in batches:
-            for p, name, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = p
+            for name, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 names.append(name)
                 sizes.append(n)
                 ids.append(open_.decompress(blob))
-        if part is None:
-            return
-        data = huffman.pack_file(
-            np.array(names, np.int64), np.array(sizes, np.int64), np.frombuffer(b"".join(ids), dtype), lengths
-        )
-        path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.tok"
-        put(path, data)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([v]) for v in (part, path, len(names), sum(sizes), len(data))], ["part", "path", "n_docs", "n_tokens", "n_bytes"]
-        )
-
-    dealt = rows.repartitionById(parts, "part")
-    sorted_ = dealt.sortWithinPartitions("part", "doc_id", "ids")
-    index = written(mapped(sorted_, run, "part long, path string, n_docs long, n_tokens long, n_bytes long"), "token-index")
+                held += n
+                if held >= FILE_IDS:
+                    yield close()
+                    names, sizes, ids, number, held = [], [], [], number + 1, 0
+        if names:
+            yield close()
+
+    # ranges of id and content, so that one id of many rows doesn't land in one task
+    sorted_ = rows.repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h", "ids").select("doc_id", "n", "ids")
+    schema = "part long, number long, path string, n_docs long, n_tokens long, n_bytes long"
+    index = written(mapped(sorted_, run, schema), "token-index")
     drop_written(rows)
     return index
 
@@ -135,11 +132,11 @@ def read_files(index: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)  # one narrow row a file
     placed = written(
         index.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long").alias("start")), "token-starts"
     )
-    spread = placed.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
+    spread = placed.repartition(max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), placed.count() // 4), "path")
     return mapped(spread, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

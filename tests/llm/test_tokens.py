@@ -83,6 +83,19 @@ def test_token_files_query(spark):
     assert token_files.token_files_query(df.limit(0), PATH).count() == 0
 
 
+def test_files_of_bounded_size(spark, monkeypatch, tmp_path):
+    rows = [(None, f"text {i} of no id") for i in range(200)] + [(i, "words " * (i % 30)) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    write = token_files.write_files
+    monkeypatch.setitem(write.__globals__, "FILE_IDS", 300)
+    index = write(df, PATH, 2).orderBy("part", "number").collect()
+    assert sum(x.n_docs for x in index) == 300 and len(index) > 4
+    # rows of one id are spread over ranges
+    names = [[*huffman.unpack_file(open(x.path.removeprefix("file://"), "rb").read())[0]] for x in index]
+    assert sum(-(1 << 63) in n for n in names) > 1 and len({x.part for x, n in zip(index, names, strict=True) if -(1 << 63) in n}) > 1
+    assert [i for n in names for i in n] == sorted(i for n in names for i in n)
+
+
 @pytest.mark.parametrize("limits", [(2048, 128, 2048), (64, 3, 64), (50, 4, 20)])
 def test_pack_limits(limits):
     r = np.random.default_rng(4)
