@@ -44,7 +44,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node that has an edge; root is the least node of its component.
+    """(node, root) for every node with a smaller one in its component; root is the least of them.
 
     ``edges`` has two columns of one orderable type.  Loops and repeated edges are fine;
     an empty table gives an empty result.

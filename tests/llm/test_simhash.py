@@ -96,5 +96,5 @@ def test_components_of_large_stars(spark, monkeypatch):
     edges = [(1000, i) for i in range(60)] + [(i, 2000) for i in range(40, 90)] + [(3000 + i, 3001 + i) for i in range(20)] + [(5, 5), (4000, 4001)]
     r.shuffle(edges)
     got = {x.node: x.root for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    want = {n: 0 for n in [*range(90), 1000, 2000]} | {3000 + i: 3000 for i in range(21)} | {4000: 4000, 4001: 4000}
+    want = {n: 0 for n in [*range(1, 90), 1000, 2000]} | {3000 + i: 3000 for i in range(1, 21)} | {4001: 4000}
     assert got == want
