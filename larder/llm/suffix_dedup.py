@@ -52,7 +52,7 @@ SALTS = 32
 #: Text of one task where stretches meet, at least as many tasks as the session's shuffle partitions.
 TASK_BYTES = 64 << 20
 #: Text of one round of numpy work.
-_ROUND = 8 << 20
+_ROUND = 4 << 20
 _SEGMENT = 1 << 18
 _ROWS = 10_000
 _MIN_ID = -(1 << 63)
