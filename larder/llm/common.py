@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,11 +19,13 @@ _OWN_DIR: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a laptop) a temporary folder stands in.
+    Only on one machine (tests, a laptop) a temporary folder stands in for an absent setting.
     """
     setting = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if setting:
         return setting.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a shared folder")
     if "dir" not in _OWN_DIR:
         _OWN_DIR["dir"] = "file://" + tempfile.mkdtemp(prefix="larder-")
     return _OWN_DIR["dir"]
