@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -800,8 +801,12 @@ def envelopes(spark, sf_dir):
 
 
 def _folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder that driver and executors share; a temporary one only where none is set."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="larder-")
+    """A fresh folder that driver and executors share; a temporary one only on one machine."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a shared folder")
+        base = "file://" + tempfile.mkdtemp(prefix="larder-")
     return f"{base.rstrip('/')}/larder/{label}-{uuid.uuid4().hex}"
 
 
