@@ -6,7 +6,9 @@ doc_id, or same document and earlier start); strings never cross documents.
 1. Anchors.  Every window of a document has one anchor: the gram of ``GRAM`` bytes with the
    least hash in it.  Equal windows have equal anchors at equal offsets, and consecutive
    windows share theirs, so there are about 2 anchors for ``WINDOW - GRAM`` bytes.
-2. Anchor hashes are dealt out and counted; those that occur once can't lie in a repeat.
+2. Anchor hashes are dealt out and counted; those that occur once can't lie in a repeat.  Places
+   of anchors that a sample of documents shows to be frequent are dealt out by document instead,
+   so that no task gets all places of one anchor; which way they go changes no result.
 3. Around the other anchors, the stretch of text that holds all windows of the anchor is dealt
    out by anchor hash.  There, the suffixes that start at equal anchors are put in order by a
    mergesort whose comparisons find the common extension by binary search over prefix
@@ -29,6 +31,7 @@ each other; a null doc_id counts as the smallest; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -47,8 +50,12 @@ WINDOW = 100
 GRAM = 32
 #: Places of one anchor that meet in one task; beyond it, stretches are dealt out by a second anchor too.
 FREQUENT = 16_384
-#: Groups that the equal stretches of a frequent anchor are reduced in before they meet.
+#: Least number of groups that the equal stretches of a frequent anchor are reduced in before they meet.
 SALTS = 32
+#: One document in so many tells frequent anchors ahead of the count.
+SAMPLED = 1024
+#: Bits of the set of anchors told ahead; anchors that share a bit share the way they are dealt out.
+SLOTS = 1 << 24
 #: Text of one task where stretches meet, at least as many tasks as the session's shuffle partitions.
 TASK_BYTES = 64 << 20
 #: Text of one round of numpy work.
@@ -232,7 +239,35 @@ def _by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(part[order[s]]), order[s:e]
 
 
-def _count_rows(parts: int, frequent: int):
+def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each anchor hash occurs in a batch."""
+    for whole in batches:
+        for batch in slices(whole, "text", _ROUND):
+            h, n = np.unique(anchors(*_texts(batch.column("text")))[3], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+
+def told_ahead(rows: DataFrame, frequent: int) -> np.ndarray:
+    """Words of ``SLOTS`` bits: those of the anchors with over ``frequent`` places, by a sample of (ord, th).
+
+    The set has a fixed size (2 MB), however many anchors are in it.
+    """
+    sample = rows.where(F.pmod(F.xxhash64("th", "ord"), F.lit(SAMPLED)) == 0).select("text")
+    often = mapped(sample, _anchor_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") * SAMPLED > frequent)
+    slot = F.col("h").bitwiseAND(F.lit(SLOTS - 1))
+    bit = F.expr(f"shiftleft(1L, cast(h & {SLOTS - 1} & 63 as int))")
+    words = np.zeros(SLOTS // 64, np.int64)
+    for word, bits in often.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit)).collect():
+        words[word] = bits
+    return words.view(np.uint64)
+
+
+def _told(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    slot = h & _U(SLOTS - 1)
+    return (words[(slot >> _U(6)).astype(np.int64)] >> (slot & _U(63))) & _U(1) == 1
+
+
+def _count_rows(parts: int, frequent: int, ahead: np.ndarray):
     """Step 1: anchors of a batch, equal hashes counted, packed by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,16 +284,18 @@ def _count_rows(parts: int, frequent: int):
                 own = np.diff(np.r_[new, len(h)])
                 n = np.ones(len(h), np.uint32)
                 # many places in this batch alone: one row speaks for the hash, the others are known to be frequent
-                many = np.repeat(own > frequent, own)
+                known = _told(ahead, h[new])
+                many = np.repeat((own > frequent) | known, own)
                 n[many] = 0
-                speak = new[own > frequent]
+                speaks = (own > frequent) & ~known
+                speak = new[speaks]
                 key = np.where(many, _mixed(ids.astype(np.uint64) ^ ths.astype(np.uint64) ^ _U(0x5851F42D4C957F2D)), h)
                 h2 = np.r_[h, h[speak]]
                 key = np.r_[key, h[speak]]
                 ids = np.r_[ids, np.full(len(speak), _MIN_ID)]
                 ths = np.r_[ths, np.zeros(len(speak), np.int64)]
                 at = np.r_[at, np.full(len(speak), -1)]
-                n = np.r_[n, own[own > frequent].astype(np.uint32)]
+                n = np.r_[n, own[speaks].astype(np.uint32)]
                 out = [(part, _pack(h2[i], ids[i].astype(np.int64), ths[i].astype(np.int64), at[i].astype(np.int32), n[i])) for part, i in _by_part((key % _U(parts)).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([y for _, y in out], pa.binary())], ["part", "blob"])
 
@@ -351,13 +388,14 @@ _TYPES = {0: (np.int64,) * 4, 1: (np.uint64, np.int64, np.int64, np.int64, np.ui
 
 def _stretches(parts: int, hot: bool):
     """Step 3 (hot: 4): stretches around repeated anchors; those known to repeat in this batch are covered at once."""
+    salts = max(SALTS, math.isqrt(parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = 7 * TaskContext.get().partitionId()
         for whole in batches:
             for batch in _packed_slices(whole):
                 salt += 1
-                yield one(batch, salt % SALTS + 1 if hot else 0)
+                yield one(batch, salt % salts + 1 if hot else 0)
 
     def one(batch: pa.RecordBatch, salt: int) -> pa.RecordBatch:
         open_ = zstandard.ZstdDecompressor()
@@ -654,7 +692,8 @@ def cut(
         size.alias("size"),
         text.cast("binary").alias("text"),
     )
-    counted = mapped(rows.where(F.col("size") >= WINDOW).select("ord", "th", "text"), _count_rows(parts, frequent), "part int, blob binary")
+    long_enough = rows.where(F.col("size") >= WINDOW).select("ord", "th", "text")
+    counted = mapped(long_enough, _count_rows(parts, frequent, told_ahead(long_enough, frequent)), "part int, blob binary")
     places = mapped(counted.repartitionById(parts, "part"), _repeated_anchors(frequent), "ord long, th long, place long")
     # rows of one id may differ in text: places are those of an id and a text
     asked = places.groupBy("ord", "th").agg(F.collect_set("place").alias("places"))

@@ -49,9 +49,10 @@ def make_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("frequent,seed", [(16384, 1), (2, 2), (16384, 3), (5, 4)])
-def test_against_brute_force(spark, monkeypatch, frequent, seed):
+@pytest.mark.parametrize("frequent,seed,sampled", [(16384, 1, 1024), (2, 2, 1024), (16384, 3, 1024), (5, 4, 1), (3, 5, 2)])
+def test_against_brute_force(spark, monkeypatch, frequent, seed, sampled):
     monkeypatch.setattr(sd, "FREQUENT", frequent)
+    monkeypatch.setattr(sd, "SAMPLED", sampled)
     monkeypatch.setattr(sd, "_ROUND", 4000)
     monkeypatch.setattr(sd, "_ROWS", 50)
     monkeypatch.setattr(sd, "_SEGMENT", 700 + seed)
@@ -84,6 +85,32 @@ def test_rows_of_one_id_with_texts_of_different_length(spark, monkeypatch, frequ
         assert mine == sorted((str(i), *want[-(1 << 63) if i is None else i, t]) for i, t in rows)
 
 
+def test_frequent_anchors_are_told_ahead(spark, monkeypatch):
+    """With them, no task gets a place of each document that holds a shared passage."""
+    monkeypatch.setattr(sd, "SAMPLED", 4)
+    r = random.Random(3)
+    prose = lambda n: "".join(r.choice("abcde ") for _ in range(n))
+    passage = prose(200)
+    docs = [(i, i * 0x9E3779B1, (prose(150) + passage).encode()) for i in range(400)]
+    rows = spark.createDataFrame(docs, "ord long, th long, text binary")
+    words = sd.told_ahead(rows, 200)
+    _, _, _, h = sd.anchors(*sd._texts(rows.limit(1).toArrow().column("text").combine_chunks()))
+    data = sd.np.frombuffer(passage.encode(), sd.np.uint8)
+    _, _, _, inside = sd.anchors(data, sd.np.array([len(data)]))
+    assert sd._told(words, inside[1:-1]).all() and not sd._told(words, h).all()
+    batch = rows.toArrow().combine_chunks().to_batches()[0]
+
+    def most(ahead):
+        sizes = {}
+        for out in sd._count_rows(64, 16384, ahead)(iter([batch])):
+            for part, blob in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+                sizes[part] = sizes.get(part, 0) + len(sd._unpack(blob, sd._U, sd.np.int64, sd.np.int64, sd.np.int32, sd.np.uint32)[0])
+        return max(sizes.values()), sum(sizes.values())
+
+    (with_it, all_with), (without, all_without) = most(words), most(sd.np.zeros_like(words))
+    assert all_with == all_without and without > 400 and with_it < 200
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert sd.suffix_dedup_query(df).count() == 0
