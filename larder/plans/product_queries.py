@@ -769,6 +769,25 @@ def contract_of(spark, sf_dir):
     return rows.select((F.col("k") % 5).alias("kind"), ig.contract_of(F.parse_json(text)).alias("contract")).groupBy("contract", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
+REASONS = ["a document's nutriments are no object", "nutriments: an export lacks quantity", "no supported input shape", None, "a document without nutriments, names or tags", "product_name: an export lacks {}", "an export's nutriments are no list"]
+REASONS[5] = REASONS[5].format(", ".join(c for c in ig.EXPORT_COLUMNS if c not in ("code", "product_name")))
+
+
+@query("contract_reasons", f"select case k % 7 {' '.join('when {} then {}'.format(i, chr(39) + r.replace(chr(39), chr(39) * 2) + chr(39)) for i, r in enumerate(REASONS) if r)} end as reason, k % 7 as kind, count(*) as n from ({SOURCE}) s where code is not null group by all")
+def contract_reasons(spark, sf_dir):
+    """One row kind for each reason, and a canonical row."""
+    listed = F.array(F.struct(F.lit("fat").alias("name"), "fat")).alias("nutriments")
+    empty = [F.lit("").alias(c) for c in ig.EXPORT_COLUMNS if c not in ("code", "nutriments", "quantity")]
+    marker = F.lit("x").alias("_id")
+    shapes = [
+        F.struct("code", "quantity", marker, *empty, listed), F.struct("code", *empty, listed), F.struct("quantity"), F.struct("code", "quantity"),
+        F.struct("code", marker), F.struct("code", F.array(F.lit("a")).alias("product_name")), F.struct("code", "quantity", *empty, F.lit(3).alias("nutriments")),
+    ]
+    text = F.element_at(F.array(*[F.to_json(x, {"ignoreNullFields": "false"}) for x in shapes]), (F.col("k") % 7 + 1).cast("int"))
+    rows = source_flat(spark, sf_dir).where("code is not null")
+    return rows.select((F.col("k") % 7).alias("kind"), ig.contract_reason(F.parse_json(text)).alias("reason")).groupBy("reason", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("valid_documents", f"select code from ({SOURCE}) s where trim(coalesce(code, '')) <> ''")
 def valid_documents(spark, sf_dir):
     return ig.valid_documents(document_rows(spark, sf_dir)).select("code")
@@ -845,6 +864,27 @@ def run_timings(spark, sf_dir):
     return rn.timing_summary(fx.table(spark, sf_dir, "select * from " + BATCH))
 
 
+BENCH_BATCH = (
+    "(select cast(l_suppkey % 90 as string) as run_id, l_orderkey % 50 as batch_index, cast(count(*) as bigint) as row_count, "
+    + ", ".join(f"cast(sum((l_linenumber + {i}) % 5) as bigint) as {n}" for i, n in enumerate(rn.BATCH_COUNTS))
+    + ", " + ", ".join(f"cast(sum((l_orderkey + {i}) % 7) as double) / 4 as {n}" for i, n in enumerate(rn.BATCH_SECONDS))
+    + " from {lineitem} group by 1, 2)"
+)
+BENCH_RUN = (
+    "(select cast(o_orderkey % 100 as string) as run_id, case o_orderstatus when 'O' then 'running' when 'F' then 'completed' else 'failed' end as status, lpad(cast(o_orderkey as string), 9, '0') as recorded_at_utc, o_custkey as product_count, "
+    + ", ".join(f"cast((o_orderkey + {i}) % 9 as double) / 8 as {n}" for i, n in enumerate(rn.PREPARATION)) + " from {orders})"
+)
+LAST = "arg_max({0}, (status <> 'running')::int || recorded_at_utc) as {0}"
+
+
+@query("run_benchmark", f"with state as (select run_id, {', '.join(LAST.format(n) for n in ('status', 'product_count', *rn.PREPARATION))} from {fx.for_duckdb(BENCH_RUN)} r group by run_id), sums as (select run_id, count(*) as batches, {', '.join(f'cast(sum({n}) as bigint) as {n}' for n in rn.BATCH_COUNTS)}, {', '.join(f'sum({n}) as {n}' for n in rn.BATCH_SECONDS)} from {fx.for_duckdb(BENCH_BATCH)} b group by run_id) select run_id, status, product_count, {', '.join(rn.PREPARATION)}, coalesce(batches, 0) as batches, {', '.join(f'coalesce({n}, 0) as {n}' for n in (*rn.BATCH_COUNTS, *rn.BATCH_SECONDS))} from state left join sums using (run_id)")
+def run_benchmark(spark, sf_dir):
+    """Preparation and summed batches of every run; ten runs have no batch."""
+    measured = fx.table(spark, sf_dir, "select * from " + BENCH_BATCH)
+    rows = rn.with_timings(measured.select("run_id", "batch_index", "row_count"), measured.drop("row_count"))
+    return rn.benchmark_summary(fx.table(spark, sf_dir, "select * from " + BENCH_RUN), rows)
+
+
 @query("run_batches", f"with {REF} select batch_index, count(distinct product_id) as row_count, count_if(side = 'reference') as reference_finding_count, count_if(side = 'migrated') as migrated_finding_count from (select product_id, 'reference' as side, try_cast(product_id as bigint) % 16 as batch_index from ref union all select product_id, 'migrated', pk % 16 from found) x group by batch_index")
 def run_batches(spark, sf_dir):
     reference, migrated = both_sides(spark, sf_dir)

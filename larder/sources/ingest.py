@@ -147,22 +147,47 @@ def from_documents(rows: DataFrame, document: str = "document") -> DataFrame:
     return rows.select(*columns, *[number(n).alias(f"{n}_100g") for n in NUTRIENTS])
 
 
-def contract_of(document: Column) -> Column:
-    """Which input shape a raw JSON object has: document, export, canonical, or null with a mix or none."""
+def _shape(document: Column) -> Column:
+    """Input shape of a raw JSON object, or why it has none, as (contract, reason); one of them is null."""
     keys = F.map_keys(F.from_json(F.to_json(document), "map<string,string>"))
-    has = lambda names: F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names]))
-    whole = F.size(F.array_except(F.array(*[F.lit(c) for c in EXPORT_COLUMNS]), keys)) == 0
-    nutriments = F.schema_of_variant(F.try_variant_get(document, "$.nutriments", "variant"))
-    is_document = has(DOCUMENT_ONLY) | F.coalesce(nutriments.startswith("OBJECT"), F.lit(False))
-    is_export = whole & F.coalesce(nutriments.startswith("ARRAY"), F.lit(False))
+    names = lambda cs: F.array(*[F.lit(c) for c in cs])
+    kind = lambda c: F.coalesce(F.schema_of_variant(F.try_variant_get(document, f"$.{c}", "variant")), F.lit("VOID"))
+    text = lambda c: looks_structured(F.try_variant_get(document, f"$.{c}", "string"))
+    marked = F.arrays_overlap(keys, names(DOCUMENT_ONLY))
+    payload = F.arrays_overlap(keys, names(["nutriments", "product_name", "ingredients_text", *TAG_COLUMNS]))
+    nutriments = kind("nutriments")
+    by_name = nutriments.startswith("OBJECT")
+    lacks = F.array_except(names(EXPORT_COLUMNS), keys)
+    # the first field that only an export may hold in this form
+    first = F.coalesce(
+        F.when(nutriments != "VOID", "nutriments"),
+        *[F.when(~kind(c).isin("VOID", "STRING") | ((kind(c) == "STRING") & text(c)), c) for c in ("product_name", "ingredients_text")],
+        *[F.when(~(kind(c).isin("VOID", "STRING") | kind(c).startswith("ARRAY")) | ((kind(c) == "STRING") & text(c)), c) for c in TAG_COLUMNS],
+    )
+    shape = lambda name: F.struct(F.lit(name).alias("contract"), F.lit(None).cast("string").alias("reason"))
+    none = lambda why: F.struct(F.lit(None).cast("string").alias("contract"), why.alias("reason"))
     return (
-        F.when(is_document & is_export, F.lit(None).cast("string"))
-        .when(is_document, "document")
-        .when(is_export, "export")
-        .when(F.array_contains(keys, "code"), "canonical")
+        F.when(marked & ~payload, none(F.lit("a document without nutriments, names or tags")))
+        .when(marked & ~by_name & (nutriments != "VOID"), none(F.lit("a document's nutriments are no object")))
+        .when(marked | by_name, shape("document"))
+        .when((F.size(lacks) == 0) & (nutriments.startswith("ARRAY") | (nutriments == "VOID")), shape("export"))
+        .when(F.size(lacks) == 0, none(F.lit("an export's nutriments are no list")))
+        .when(first.isNotNull(), none(F.concat(first, F.lit(": an export lacks "), F.array_join(lacks, ", "))))
+        .when(F.array_contains(keys, "code"), shape("canonical"))
+        .otherwise(none(F.lit("no supported input shape")))
     )
 
 
+def contract_of(document: Column) -> Column:
+    """Which input shape a raw JSON object has: document, export, canonical, or null with a broken shape or none."""
+    return _shape(document)["contract"]
+
+
+def contract_reason(document: Column) -> Column:
+    """The first reason why a raw JSON object has no input shape; null where it has one."""
+    return _shape(document)["reason"]
+
+
 def remap(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     """``columns`` maps canonical names to source names; the rest follows :func:`canonical`."""
     unknown = [c for c in columns if c not in COLUMNS]

@@ -14,7 +14,7 @@ SOME = [
     "norm_document", "norm_export", "sheet_annotate", "sheet_colour_ranges", "family_rollup", "fill_blank_merge", "cache_upsert", "select_sample", "cohort_join",
     "ingredient_nodes", "family_sets", "as_number", "template_match", "structured_cells",
     "json_text", "envelopes", "contract_of", "cache_ordered", "cache_counts", "sheet_outcome", "sheet_preview", "sheet_preview_counts", "snapshot_fingerprint",
-    "read_json_lines", "read_tsv", "read_sheet",
+    "read_json_lines", "read_tsv", "read_sheet", "run_benchmark", "contract_reasons",
 ]
 
 

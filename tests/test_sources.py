@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from larder import api
 from larder.operators import findings as fi
 from larder.operators import sheets as sh
-from larder.plans.runs import RunStore, latest_state
+from larder.plans.runs import RunStore, artifact_text, benchmark_summary, latest_state, with_timings
 from larder.sources import ingest as ig
 from larder.sources import select as se
 from larder.streaming.incremental import write_findings
@@ -162,6 +162,29 @@ def test_run_store(spark, tmp_path):
         store.load("c")
 
 
+def test_run_profiles_artifacts_and_timings(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path))
+    store.start("a", "snap", 5, "2024-01-01T00:00:00Z")
+    text = artifact_text("run", 1, {"processed": 4}, {"rules": 2})
+    store.finish("a", "snap", 5, text, at="2024-01-01T00:00:01Z", seconds={"prepare_run_seconds": 1.5})
+    store.finish("b", "snap", 5, text, at="2024-01-01T00:00:01Z")
+    with pytest.raises(ValueError):
+        store.finish("a", "snap", 5, text, seconds={"lunch_seconds": 1.0})
+    store.profile("a", "small", "four products", "codes", {"codes": ["1", "2"]})
+    row = store.load_with_profile("a").first()
+    assert (row.profile_name, row.selection_json, row.prepare_run_seconds) == ("small", '{"codes": ["1", "2"]}', 1.5) and len(row.selection_fingerprint) == 64
+    assert store.load_with_profile("b").first().profile_name is None
+    assert store.artifact("a", "run", 1) == {"source_input": {"processed": 4}, "rules": 2}
+    for kind, version in (("walk", 1), ("run", 2)):
+        with pytest.raises(ValueError):
+            store.artifact("a", kind, version)
+    rows = spark.createDataFrame([("a", 0, 3), ("a", 1, 2)], "run_id string, batch_index int, row_count long")
+    timings = spark.createDataFrame([("a", 0, 0.5, 7)], "run_id string, batch_index int, elapsed_seconds double, cache_hit_count long")
+    got = {r.run_id: r for r in benchmark_summary(store.read("runs"), with_timings(rows, timings)).collect()}
+    assert (got["a"].batches, got["a"].elapsed_seconds, got["a"].cache_hit_count, got["a"].record_batch_seconds, got["a"].status) == (2, 0.5, 7, 0.0, "completed")
+    assert (got["b"].batches, got["b"].elapsed_seconds) == (0, 0.0)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = spark.createDataFrame([(str(i), "" if i % 2 else "name", str(i * 300)) for i in range(40)], "code string, product_name string, product_quantity string")
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
