@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 _DIGITS = "[0-9](_?[0-9])*"
 NUMBER = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
 SPECIAL = "^[+-]?(nan|inf|infinity)$"
+#: The characters of Unicode white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 #: Severities in rising order (fixed values).
 SEVERITIES = ["info", "completeness", "warning", "error", "bug"]
@@ -17,14 +19,19 @@ SEVERITIES = ["info", "completeness", "warning", "error", "bug"]
 
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$", "")
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def as_number(c: Column) -> Column:
     """Text to double by the grammar of a Python float literal, null where it is none."""
     t = strip(c)
     plain = F.when(t.rlike(NUMBER), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.when(F.lower(t).rlike(SPECIAL), F.regexp_replace(F.lower(t), "^[+]", "").try_cast("double")).otherwise(plain)
+    return plain.when(F.lower(t).rlike(SPECIAL), F.regexp_replace(F.lower(t), "^[+]", "").try_cast("double"))
+
+
+def number_of(c: Column, kind: str) -> Column:
+    """:func:`as_number` of a column of this type; whole numbers and doubles need no detour by text."""
+    return c.cast("double") if kind in ("tinyint", "smallint", "int", "bigint", "double") else as_number(c.cast("string"))
 
 
 def is_blank(c: Column, kind: str) -> Column:
@@ -76,16 +83,30 @@ def round2(x: Column) -> Column:
     From 2**52 on a double has no fraction.  From 2**37 on its whole part is rounded apart: a
     hundred times it is even, so the fraction alone decides a half.
     """
-    a = F.abs(x)
-    below = a < F.lit(2.0**37)
-    rest = F.when(below, a).otherwise(a - F.floor(F.least(a, F.lit(2.0**52))).cast("double"))
-    large = F.floor(F.least(a, F.lit(2.0**52))).cast("double") + _cents(F.when(a < F.lit(2.0**52), rest).otherwise(0.0)) / 100.0
-    rounded = F.when(below, _cents(F.when(below, a).otherwise(0.0)) / 100.0).otherwise(large)
-    return F.when((a >= F.lit(2.0**52)) | F.isnan(x), x).otherwise(F.signum(x) * rounded)
+
+    def rounded(x: Column) -> Column:
+        a = F.abs(x)
+        below = a < F.lit(2.0**37)
+        rest = a - F.floor(F.least(a, F.lit(2.0**52))).cast("double")
+        large = F.floor(F.least(a, F.lit(2.0**52))).cast("double") + _cents(F.when(below | (a >= F.lit(2.0**52)), 0.0).otherwise(rest)) / 100.0
+        near = F.when(below, _cents(F.when(below, a).otherwise(0.0)) / 100.0).otherwise(large)
+        return F.when((a >= F.lit(2.0**52)) | F.isnan(x), x).otherwise(F.signum(x) * near)
+
+    return F.transform(F.array(x), rounded)[0]  # x is evaluated once
 
 
 def _cents(a: Column) -> Column:
-    """Hundredths of a double in [0, 2**37) as a double, halves to even."""
+    """Hundredths of a double in [0, 2**37) as a double, halves to even.
+
+    A hundred times the double is off by less than 0.01, so only close to a half exact digits are needed.
+    """
+    hundred = a * F.lit(100.0)
+    clear = F.abs(hundred - F.floor(hundred) - F.lit(0.5)) >= F.lit(0.01)
+    return F.when(clear, F.rint(hundred)).otherwise(_exact_cents(a))
+
+
+def _exact_cents(a: Column) -> Column:
+    """The same in decimals of 38 digits."""
     whole = lambda v: F.lit(str(v)).cast("decimal(38,0)")
     hi = F.floor(a * F.lit(2.0**26))
     lo = F.floor((a * F.lit(2.0**26) - hi) * F.lit(2.0**40))

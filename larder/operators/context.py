@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.scalars import as_number, lowered_text, nutrient, nutrient_unit, set_id, split_tags, strip
+from larder.functions.scalars import lowered_text, nutrient, nutrient_unit, number_of, set_id, split_tags, strip
 from larder.types import INPUT_SET, NUTRIENT_VALUE, NUTRIENTS, TAG_COLUMNS
 
 #: Paths that each kind of row provides to rules.
@@ -36,17 +36,15 @@ CLAIMS = {
 
 def input_sets(row: DataFrame) -> Column:
     """One packaging set as sold for 100 g of every numeric nutrient column; none without nutrients."""
-    have = [n for n in NUTRIENTS if f"{n}_100g" in row.columns]
+    kinds = dict(row.dtypes)
+    have = [n for n in NUTRIENTS if f"{n}_100g" in kinds]
+    values = {n: number_of(F.col(f"`{n}_100g`"), kinds[f"{n}_100g"]) for n in have}
     entries = [
         F.struct(
             F.lit(n).alias("key"),
-            F.struct(
-                as_number(F.col(f"`{n}_100g`").cast("string")).alias("value"),
-                nutrient_unit(F.lit(n)).alias("unit"),
-                F.lit(None).cast("double").alias("value_computed"),
-            ).alias("value"),
+            F.struct(value.alias("value"), nutrient_unit(F.lit(n)).alias("unit"), F.lit(None).cast("double").alias("value_computed")).alias("value"),
         )
-        for n in have
+        for n, value in values.items()
     ]
     empty = F.array().cast(f"array<{INPUT_SET}>")
     if not entries:
@@ -58,7 +56,7 @@ def input_sets(row: DataFrame) -> Column:
         F.lit("100g").alias("per"),
         F.map_from_entries(numeric).alias("nutrients"),
     )
-    return F.when(F.size(numeric) > 0, F.array(one).cast(f"array<{INPUT_SET}>")).otherwise(empty)
+    return F.when(F.coalesce(*values.values()).isNotNull(), F.array(one).cast(f"array<{INPUT_SET}>")).otherwise(empty)
 
 
 def usable_set(sets: Column) -> Column:
@@ -67,9 +65,9 @@ def usable_set(sets: Column) -> Column:
     return F.get(good, F.lit(0))
 
 
-def claim_nutrients(sets: Column) -> Column:
-    chosen = usable_set(sets)
-    return F.struct(*[nutrient(chosen["nutrients"], n).alias(name) for name, n in CLAIMS.items()])
+def claim_nutrients(nutrients: Column) -> Column:
+    """The claim scalars of the usable set's nutrients; these are best a column, as each scalar reads them."""
+    return F.struct(*[nutrient(nutrients, n).alias(name) for name, n in CLAIMS.items()])
 
 
 def family_sets(sets: Column, aggregated: Column) -> Column:
@@ -94,7 +92,7 @@ def project_source(rows: DataFrame) -> DataFrame:
         return F.nullif(F.col(name), F.lit("")) if name in kinds else F.lit(None).cast("string")
 
     def number(name: str) -> Column:
-        return as_number(F.col(name).cast("string")) if name in kinds else F.lit(None).cast("double")
+        return number_of(F.col(name), kinds[name]) if name in kinds else F.lit(None).cast("double")
 
     def tags(name: str) -> Column:
         return split_tags(F.col(name), kinds[name].startswith("array")) if name in kinds else F.array().cast("array<string>")
@@ -107,8 +105,9 @@ def project_source(rows: DataFrame) -> DataFrame:
         *[tags(n).alias(n) for n in TAG_COLUMNS],
     )
     first = rows.select(F.col("code"), product.alias("product"), input_sets(rows).alias("_sets"))
-    return first.select(
-        "code", "product", F.struct(F.col("_sets").alias("input_sets"), claim_nutrients(F.col("_sets")).alias("as_sold")).alias("nutrition")
+    chosen = first.select("*", usable_set(F.col("_sets"))["nutrients"].alias("_nutrients"))
+    return chosen.select(
+        "code", "product", F.struct(F.col("_sets").alias("input_sets"), claim_nutrients(F.col("_nutrients")).alias("as_sold")).alias("nutrition")
     )
 
 
@@ -164,12 +163,13 @@ def project_enriched(rows: DataFrame) -> DataFrame:
     agreed = rows.where(
         F.coalesce(F.assert_true(F.col("product.code").isNull() | F.col("code").eqNullSafe(F.col("product.code")), F.lit("codes differ")).isNull(), F.lit(True))
     )
-    return agreed.select(
+    chosen = agreed.withColumn("_nutrients", usable_set(F.col("nutrition.input_sets"))["nutrients"])
+    return chosen.select(
         "code",
         F.col("product").withField("ingredients_tags", top_ingredient_tags(F.col("product.ingredients"))).alias("product"),
         "flags",
         "category_props",
         F.struct(
-            F.col("nutrition.input_sets"), claim_nutrients(F.col("nutrition.input_sets")).alias("as_sold"), F.col("nutrition.aggregated_set")
+            F.col("nutrition.input_sets"), claim_nutrients(F.col("_nutrients")).alias("as_sold"), F.col("nutrition.aggregated_set")
         ).alias("nutrition"),
     )

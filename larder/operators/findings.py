@@ -71,7 +71,13 @@ def emissions(rules: list[Rule]) -> Column:
         named = lambda e: F.struct(F.lit(r.id).alias("check_id"), e["raw_code"].alias("raw_code"), e["severity"].alias("severity"))
         return F.transform(r.emit().cast(EMISSIONS), named)
 
-    each = [of(r) for r in rules]
+    single = [
+        F.when(r.test(), F.struct(F.lit(r.id).alias("check_id"), F.lit(None).cast("string").alias("raw_code"), F.lit(r.severity).alias("severity")))
+        for r in rules
+        if r.test is not None
+    ]
+    each = [F.array_compact(F.array(*single))] if single else []
+    each += [of(r) for r in rules if r.test is None]
     return F.concat(*each)
 
 

@@ -23,6 +23,9 @@ class Rule:
     baseline: str = "legacy"
     jurisdictions: list[str] = field(default_factory=lambda: ["global"])
     language: str = "declarative"
+    #: Of rules with one emission at most: its condition and severity, which ``emit`` puts in an array.
+    test: Callable[[], Column] | None = None
+    severity: str | None = None
 
 
 def when(condition: Column, severity: str) -> Column:
@@ -32,7 +35,7 @@ def when(condition: Column, severity: str) -> Column:
 
 
 def declarative(rule_id: str, severity: str, tree: dict, **more) -> Rule:
-    return Rule(rule_id, fields(tree), lambda: when(compiled(tree), severity), **more)
+    return Rule(rule_id, fields(tree), lambda: when(compiled(tree), severity), test=lambda: compiled(tree), severity=severity, **more)
 
 
 def pack(entries: list[dict], baseline: str = "none", jurisdictions: tuple[str, ...] = ("global",)) -> list[Rule]:

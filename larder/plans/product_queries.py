@@ -426,7 +426,7 @@ def input_sets(spark, sf_dir):
 def claim_nutrients(spark, sf_dir):
     rows = nutrition_rows(spark, sf_dir).where("s < 9").groupBy("k").agg(_in_order(F.collect_list(F.struct("s", "set"))).alias("sets"))
     out = rows.select("k", "sets").withColumn("u", cx.usable_set(F.col("sets"))).where("u is not null")
-    return out.select("k", cx.claim_nutrients(F.col("sets")).alias("c")).select("k", "c.energy_kcal", "c.fat", "c.omega_3")
+    return out.select("k", cx.claim_nutrients(cx.usable_set(F.col("sets"))["nutrients"]).alias("c")).select("k", "c.energy_kcal", "c.fat", "c.omega_3")
 
 
 @query("family_sets", f"with {CTX}, {SETS} select c.code, f.set_id, f.sev as severity, cast(f.kj as double) as kj from fam f join ctx c on c.k = f.k")

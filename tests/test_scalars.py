@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import sys
 
 from pyspark.sql import functions as F
 
@@ -60,3 +61,21 @@ def test_templates(spark):
 def test_column_names():
     assert all(column_name(field_name(c)) == c for c in NUTRIENT_COLUMNS if "-" in c or "_" not in c[:-5])
     assert field_name("saturated-fat_100g") == "saturated_fat_100g" and field_name("product_name") == "product_name"
+
+
+def test_strip_takes_all_white_space(spark):
+    white = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
+    assert sorted(sc.WHITE_SPACE) == white
+    texts = [f"{w}a{w}b{w}{w}" for w in white] + ["", "\u200bx\u200b", "".join(white)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", sc.strip(F.col("t")).alias("x")).collect()
+    assert [r.x for r in rows] == [r.t.strip() for r in rows]
+
+
+def test_round2_near_halves(spark):
+    rng = random.Random(5)
+    values = [rng.randrange(10**9) / 1000 for _ in range(3000)]
+    values += [math.nextafter(v, d) for v in values[:500] for d in (0.0, math.inf)]
+    values += [k / 8 + 2.0**p for p in range(0, 52, 3) for k in range(16)]
+    values += [-v for v in values[:200]]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", sc.round2(F.col("v")).alias("x")).collect()
+    assert [r.x for r in rows] == [round(r.v, 2) for r in rows]
