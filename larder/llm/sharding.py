@@ -16,12 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import written
+from larder.llm.common import whole_rows, written
 
 SHARDS = 40
 SEED = 20240229
-#: Up to this many sources their sizes are broadcast; beyond it, rows meet them in a shuffled join.
-FEW_SOURCES = 20_000
+#: Up to this many bytes of source names and sizes are broadcast; beyond it, rows meet them in a shuffled join.
+SOURCE_BYTES = 2 << 20
 #: Row positions inside a partition take these low bits of monotonically_increasing_id.
 _LOW = 33
 
@@ -43,18 +43,19 @@ def ranked(rows: DataFrame, keys: list[str], rank: str, label: str) -> DataFrame
 
 def interleave(rows: DataFrame, source_col: str, id_col: str, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """Adds ``shard`` and ``slot`` (gapless from 0 inside each shard)."""
-    names = rows.columns
+    source, ident = F.col(f"`{source_col}`"), F.col(f"`{id_col}`")
     base = rows.select(
-        F.struct(*[F.col(c) for c in names]).alias("_row"),
-        F.col(source_col).isNull().alias("_null"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"),
-        F.sha2(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"::{seed}")), 256).alias("_h"),
-        F.xxhash64(*[F.col(c) for c in names]).alias("_tie"),
+        whole_rows(rows).alias("_row"),
+        source.isNull().alias("_null"),
+        F.coalesce(source.cast("string"), F.lit("")).alias("_source"),
+        F.sha2(F.concat(F.coalesce(ident.cast("string"), F.lit("")), F.lit(f"::{seed}")), 256).alias("_h"),
+        F.xxhash64(whole_rows(rows)).alias("_tie"),
     )
     first = written(ranked(base, ["_null", "_source", "_h", "_tie"], "_rank", "shard-strata"), "shard-ranks")
     sources = first.groupBy("_null", "_source").agg(F.min("_rank").alias("_from"), F.count(F.lit(1)).alias("_size"))
     sources = written(sources, "shard-sources")
-    if sources.count() <= FEW_SOURCES:
+    held = sources.agg(F.sum(F.octet_length("_source") + F.lit(64))).first()[0] or 0
+    if held <= SOURCE_BYTES:
         sources = F.broadcast(sources)
     share = (F.col("_rank") - F.col("_from") + F.lit(0.5)) / F.col("_size")
     mixed = first.join(sources, ["_null", "_source"]).select("_row", "_h", "_tie", share.alias("_share"))

@@ -32,3 +32,13 @@ def test_few_rows_and_none(spark):
     got = sharding.sharding_query(df).collect()
     assert len(got) == 2 and {g.slot for g in got} == {0}
     assert sharding.sharding_query(df.limit(0)).count() == 0
+
+
+def test_odd_column_names_and_both_joins(spark, monkeypatch):
+    names = ["doc_id", "text", "source", "a.b", "_h", "_rank", "`x`"]
+    df = spark.createDataFrame([(i, "t" * i, f"s{i % 5}", i, i, i, i) for i in range(200)], "doc_id long, text string, source string, c1 long, c2 long, c3 long, c4 long").toDF(*names)
+    few = sharding.interleave(df, "source", "doc_id", 7)
+    assert few.columns == [*names, "shard", "slot"]
+    monkeypatch.setattr(sharding, "SOURCE_BYTES", 0)
+    many = sharding.interleave(df, "source", "doc_id", 7)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
