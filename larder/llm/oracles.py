@@ -88,3 +88,53 @@ select doc_id, cast(n + 16 as bigint) as size,
   xor(list_reduce(list_concat([4294967295::bigint], list_transform(range(n), lambda i: cast('0x' || substr(h, 2 * i + 1, 2) as bigint))),
     lambda acc, b: xor(acc >> 8, ({table})[xor(acc & 255, b) + 1])), 4294967295::bigint) as text_crc32,
   'rows' as law, cast(shard as int) as shard, cast(g - (shard * total + {SHARDS - 1}) // {SHARDS} as bigint) as slot, cast(null as int) as grown_shard, source from s"""
+
+
+#: Vectors that take part, in whole numbers.
+_VECTORS = """select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+
+def topk_sql(k: int = 5) -> str:
+    """All products of the queries."""
+    return f"""
+with v as ({_VECTORS}),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= {k}"""
+
+
+def hard_negatives_sql(positives: int = 5, negatives: int = 5) -> str:
+    """All products of the anchors, then the windows of their positives."""
+    return f"""
+with v as (select * replace (case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label) from ({_VECTORS}) x where label is not null),
+s as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, cast(list_inner_product(a.e, c.e) as bigint) as score
+  from v a join v c on c.vec_id <> a.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {positives}),
+n as (select p.*, s.vec_id as negative_id, s.score as negative_score,
+  row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as rank
+  from p join s on s.anchor_id = p.anchor_id and not s.same and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= {negatives}"""
+
+
+def trie_sql() -> str:
+    """Every prefix of every rebuilt conversation, its ancestors, and sums over them; crc32 digit by digit."""
+    table = "[" + ", ".join(map(str, _crc32_table())) + "]::bigint[]"
+    return f"""
+with own as (select conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) order by turn nulls first) as t
+  from conversations where conv_id is not null group by conv_id),
+h as (select *, xor(list_reduce(list_concat([4294967295::bigint], list_transform(range(length(conv_id::varchar)), lambda i: ascii(substr(conv_id::varchar, i + 1, 1))::bigint)),
+  lambda acc, b: xor(acc >> 8, ({table})[xor(acc & 255, b) + 1])), 4294967295::bigint) % 9 as h from own),
+r as (select h.conv_id, list_concat(coalesce(b.t[1:h.h], []), h.t[h.h + 1:]) as t from h left join own b on b.conv_id = h.conv_id - h.conv_id % 5),
+m as (select conv_id, d, md5(to_json(t[1:d])::varchar) || d as k, case when d > 0 then md5(to_json(t[1:d - 1])::varchar) || (d - 1) end as pk,
+  case when d > 0 then strlen(t[d].text) else 0 end as bytes, d = len(t) as ends
+  from (select conv_id, t, unnest(range(0, len(t) + 1)) as d from r) x),
+n as (select k, any_value(d) as depth, any_value(pk) as pk, any_value(bytes) as bytes, min(conv_id) as conv_id, count(*) as n_convs,
+  sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256 from m group by k),
+c as (select pk, count(*) as n_children from n where pk is not null group by pk),
+a as (select distinct x.k as top, y.k from m x join m y on x.conv_id = y.conv_id and x.d <= y.d),
+s as (select a.top, count(*) filter (c.pk is null) as n_leaves, sum((n.n_convs - 1) * n.bytes) as saved_tokens from a join n using (k) left join c on c.pk = n.k group by a.top)
+select n.conv_id, cast(n.depth as bigint) as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children, s.n_leaves,
+  cast(s.saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from n join s on s.top = n.k left join c on c.pk = n.k left join n p on p.k = n.pk"""

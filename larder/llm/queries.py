@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontamination, html_extract, language_id, license_scan, media, oracles, packing, sharding, simhash, suffix_dedup, token_files
+from larder.llm import (
+    conversation_trie, decontamination, hard_negatives, html_extract, language_id, license_scan, media, oracles, packing, sharding, simhash, suffix_dedup,
+    token_files, topk,
+)
 from larder.llm.common import load
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,6 +56,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id_query(load(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives_query(load(spark, sf_dir, "embeddings"))
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.topk_query(load(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie_query(load(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan,
@@ -65,6 +80,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_packing,
         op9_media_columns,
         op10_language_id,
+        op11_hard_negatives,
+        op12_topk_search,
+        op13_conversation_trie,
     )}
 
 
@@ -73,4 +91,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": oracles.license_scan_sql(),
         "op3_suffix_array_dedup": oracles.suffix_dedup_sql(),
         "op5_sharding": oracles.sharding_sql(),
+        "op11_hard_negatives": oracles.hard_negatives_sql(),
+        "op12_topk_search": oracles.topk_sql(),
+        "op13_conversation_trie": oracles.trie_sql(),
     }
