@@ -11,7 +11,8 @@ from larder.operators.findings import evaluate, ordered, select_rules
 from larder.operators.parity import difference, summarize
 from larder.operators.rules import Rule, packaged
 from larder.operators.sheets import annotate
-from larder.sources.ingest import canonical, from_documents, from_export, remap
+from larder.sources import dispatch
+from larder.sources.ingest import canonical, remap
 from larder.types import COLUMNS, DOCUMENT_ONLY
 
 __all__ = [
@@ -19,20 +20,25 @@ __all__ = [
 ]
 
 
-def prepare(rows: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
-    """Rows of any supported shape to canonical columns."""
+def prepare(rows: DataFrame, columns: dict[str, str] | None = None, rejects: bool = False) -> DataFrame:
+    """Rows of any supported shape to canonical columns.
+
+    A VARIANT column ``document`` holds whole objects; a typed frame that holds nutriments or document columns is read the same way, row by row.
+    A row without a shape fails the job with its first reason; with ``rejects``, the result is
+    the rejected rows with ``_reject_reason`` instead.  ``columns`` maps canonical names to the frame's.
+    """
+    if not isinstance(rows, DataFrame):
+        raise TypeError(f"rows have to be a DataFrame, not {type(rows).__name__}")
     if columns is not None:
         return remap(rows, columns)
     kinds = dict(rows.dtypes)
-    is_document = kinds.get("document") == "variant" or any(c in kinds for c in DOCUMENT_ONLY)
-    is_export = kinds.get("nutriments", "").startswith("array")
-    if is_document and is_export:
-        raise ValueError("rows fit two input shapes")
     if kinds.get("document") == "variant":
-        return from_documents(rows)
-    if is_export:
-        return from_export(rows)
-    return canonical(rows)
+        found = dispatch.dispatched(rows, "document")
+    elif rejects or "nutriments" in kinds or any(c in kinds for c in DOCUMENT_ONLY):
+        found = dispatch.dispatched(rows)
+    else:
+        return canonical(rows)  # flat columns, whose types the schema tells
+    return dispatch.rejected(found) if rejects else dispatch.accepted(dispatch.failfast(found))
 
 
 def list_checks(enriched: bool = False, rules: Iterable[Rule] | None = None, **filters) -> list[Rule]:

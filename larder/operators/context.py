@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,23 +134,35 @@ def claim_unknown(ingredients: Column, claim: str) -> Column:
     return F.coalesce(F.when(F.size(top) > 0, deep), F.lit(False))
 
 
+def gathered_nodes(ingredients: Column, objects_only: bool = False) -> Column:
+    """All nested ingredients of one row: array<struct<path, id, vegan, vegetarian>>, level by level; a path counts from 0.
+
+    One step a level, as many as the text of the list has opening brackets: no row nests deeper.  ``objects_only`` leaves
+    out entries that are no objects (which have null fields otherwise).
+    """
+    kind = "array<struct<path:array<int>,node:variant>>"
+
+    def below(path: Column, listed: Column) -> Column:
+        placed = F.transform(listed, lambda c, i: F.struct(F.concat(path, F.array(i)).alias("path"), c.alias("node")))
+        if objects_only:
+            placed = F.filter(placed, lambda x: F.coalesce(F.schema_of_variant(x["node"]).startswith("OBJECT"), F.lit(False)))
+        return F.coalesce(placed, F.array().cast(kind))
+
+    fields = lambda x: F.struct(x["path"].alias("path"), *[F.try_variant_get(x["node"], f"$.{n}", "string").alias(n) for n in ("id", "vegan", "vegetarian")])
+    top = below(F.array().cast("array<int>"), F.try_variant_get(ingredients, "$", "array<variant>"))
+    levels = F.regexp_count(F.to_json(ingredients), F.lit(r"\["))
+    zero = F.struct(top.alias("now"), F.array().cast("array<struct<path:array<int>,id:string,vegan:string,vegetarian:string>>").alias("all"))
+    step = lambda acc, _: F.struct(
+        F.flatten(F.transform(acc["now"], lambda x: below(x["path"], F.try_variant_get(x["node"], "$.ingredients", "array<variant>")))).alias("now"),
+        F.concat(acc["all"], F.transform(acc["now"], fields)).alias("all"),
+    )
+    return F.aggregate(F.when(levels > 0, F.sequence(F.lit(1), levels)), zero, step, lambda acc: acc["all"])
+
+
 def ingredient_nodes(rows: DataFrame, code: str = "code", column: str = "ingredients") -> DataFrame:
-    """(code, depth, id, vegan, vegetarian) of all nested ingredients; one pass a level until a level is empty."""
-    level = rows.select(F.col(code).alias("code"), F.col(column).alias("node"))
-    parts, depth = [], 0
-    while True:
-        depth += 1
-        children = F.try_variant_get("node", "$" if depth == 1 else "$.ingredients", "array<variant>")
-        level = level.select("code", F.explode(children).alias("node"))
-        parts.append(
-            level.select(
-                "code",
-                F.lit(depth).alias("depth"),
-                *[F.try_variant_get("node", f"$.{n}", "string").alias(n) for n in ("id", "vegan", "vegetarian")],
-            )
-        )
-        if level.select(F.try_variant_get("node", "$.ingredients", "array<variant>").alias("c")).where(F.size("c") > 0).isEmpty():
-            return functools.reduce(DataFrame.unionByName, parts)
+    """(code, depth, id, vegan, vegetarian) of all nested ingredients, in one scan of the rows."""
+    nodes = rows.select(F.col(code).alias("code"), F.inline(gathered_nodes(F.col(column))))
+    return nodes.select("code", F.size("path").alias("depth"), "id", "vegan", "vegetarian")
 
 
 def project_enriched(rows: DataFrame) -> DataFrame:

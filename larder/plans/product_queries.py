@@ -739,7 +739,7 @@ def norm_canonical(spark, sf_dir):
     return _shown(ig.canonical(source_rows(spark, sf_dir).where("code is not null").withColumn("unrelated", F.lit(1))))
 
 
-@query("norm_document", NORMAL.replace("nullif(product_name, '') as product_name", "case when code like '%3' and trim(coalesce(product_name, '')) = '' then null else nullif(product_name, '') end as product_name"))
+@query("norm_document", NORMAL.replace("nullif(product_name, '') as product_name", "case when trim(coalesce(product_name, '')) <> '' then trim(product_name) end as product_name"))
 def norm_document(spark, sf_dir):
     return _shown(ig.from_documents(document_rows(spark, sf_dir).withColumn("code", F.try_variant_get("document", "$.code", "string"))))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import functools
+import io
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.functions.scalars import strip
+from larder.functions.scalars import as_number, strip
 from larder.types import BASE_COLUMNS, COLUMNS, DOCUMENT_ONLY, NUMBER_COLUMNS, NUTRIENTS, TAG_COLUMNS
 
 TEXT_COLUMNS = [c for c in BASE_COLUMNS if c not in (*TAG_COLUMNS, *NUMBER_COLUMNS, "no_nutrition_data")]
@@ -17,12 +19,18 @@ EXPORT_COLUMNS = [*BASE_COLUMNS, "nutriments"]
 def read_documents(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """One JSON object a line: (line_text, document variant); blank lines go, others that are no object fail or are null."""
     lines = spark.read.text(path).where(strip(F.col("value")) != "")
-    parse = F.parse_json if strict else F.try_parse_json
-    return lines.select(F.col("value").alias("line_text"), parse("value").alias("document"))
+    parsed = lines.select(F.col("value").alias("line_text"), (F.parse_json if strict else F.try_parse_json)("value").alias("document"))
+    is_object = F.coalesce(F.schema_of_variant("document").startswith("OBJECT"), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("no JSON object: "), F.substring("line_text", 1, 200))).cast("variant") if strict else F.lit(None).cast("variant")
+    return parsed.withColumn("document", F.when(is_object, F.col("document")).otherwise(wrong))
 
 
-def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("sep", "\t").option("header", True).option("inferSchema", False).csv(path)
+def read_tsv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Text cells of TSV files with a header; a quoted cell may hold tabs, doubled quotes and line breaks.
+
+    Without ``multiline`` large files are split between tasks, and a cell can't hold a line break.
+    """
+    return spark.read.option("sep", "\t").option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", multiline).csv(path)
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
@@ -37,19 +45,45 @@ def with_code(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("code").isNotNull()).where(strip(F.col("code")) != "")
 
 
+#: Characters that may part the cells of a sheet, and how much of it is looked at to tell which.
+SEPARATORS, HEAD = ",;\t", 4096
+
+
+def separator_of(head: str) -> str:
+    """The commonest separator outside quotes; the earlier of :data:`SEPARATORS` among equals."""
+    counts, quoted = dict.fromkeys(SEPARATORS, 0), False
+    for c in head[:HEAD]:
+        if c == '"':
+            quoted = not quoted  # a doubled quote changes nothing
+        elif not quoted and c in counts:
+            counts[c] += 1
+    return max(SEPARATORS, key=counts.get)
+
+
 def read_sheet(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
     """A CSV sheet with cells as text: short rows padded, long ones cut to the header, blank ones dropped.
 
-    The separator is the commonest of comma, semicolon and tab in the header, if not given.
+    Quoted cells may hold separators, doubled quotes and line breaks.  The header is the first row that isn't blank; its names are kept as they
+    are, repeated and empty ones too.  Of several files each has the header as its first row.
     """
-    if separator is None:
-        head = spark.read.text(path).first()
-        if head is None or not head.value.strip():
-            raise ValueError("the sheet is empty")
-        separator = max(",;\t", key=head.value.count)
-    rows = spark.read.option("sep", separator).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    filled = rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
-    return filled.where(~F.forall(F.array(*[F.col(f"`{c}`") for c in rows.columns]), lambda x: strip(x) == ""))
+    text = "\n".join(r.value for r in spark.read.text(path).limit(500).collect()).lstrip("\ufeff")
+    if not text.strip():
+        raise ValueError("the sheet is empty")
+    separator = separator or separator_of(text)
+    records = [r for r in csv.reader(io.StringIO(text), delimiter=separator) if r]
+    before = next((i for i, r in enumerate(records) if any(c.strip() for c in r)), None)
+    if before is None:
+        raise ValueError("the sheet has no header")
+    names = records[before]
+    cells = [f"c{i}" for i in range(len(names))]
+    schema = ", ".join(f"{c} string" for c in cells)
+    reader = spark.read.schema(schema).option("sep", separator).option("escape", '"').option("multiLine", True).option("header", before == 0)
+    rows = reader.csv(path)
+    if before:  # blank rows stand above the header of the one file
+        rows = rows.withColumn("at", F.monotonically_increasing_id()).where(F.col("at") > before).drop("at")
+    filled = rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in cells])
+    kept = filled.where(F.exists(F.array(*cells), lambda x: strip(x) != ""))
+    return kept.select(*[F.col(c).alias(n) for c, n in zip(cells, names, strict=True)])
 
 
 def decode_json_text(rows: DataFrame, column: str) -> DataFrame:
@@ -72,22 +106,19 @@ def input_summary(rows: DataFrame, reason: Column, position: str, most: int = 20
 
 
 def localized_text(c: Column) -> Column:
-    """From a list of {lang, text}: the main language's first non-blank text, else the first non-blank one."""
+    """From a list of {lang, text}: the main language's first non-blank text, else the first non-blank one, stripped."""
     filled = lambda x: F.coalesce(strip(x["text"]), F.lit("")) != ""
     main = F.filter(c, lambda x: (x["lang"] == "main") & filled(x))
-    return F.coalesce(F.get(main, F.lit(0))["text"], F.get(F.filter(c, filled), F.lit(0))["text"])
+    return strip(F.coalesce(F.get(main, F.lit(0))["text"], F.get(F.filter(c, filled), F.lit(0))["text"]))
 
 
 def nutriment_map(c: Column, value: str = "100g") -> Column:
     """List of {name, 100g, ...} to name -> value: names stripped, nulls skipped, unknown names dropped, the last wins."""
-    kept = F.filter(
-        F.transform(c, lambda x: F.struct(strip(x["name"]).alias("key"), x[value].cast("double").alias("value"))),
-        lambda x: x["key"].isin(*NUTRIENTS) & x["value"].isNotNull(),
-    )
-    last = F.filter(F.transform(kept, lambda x, i: F.struct(x["key"], x["value"], i.alias("i"))), lambda x: x["i"] == F.array_max(
-        F.transform(F.filter(F.transform(kept, lambda y, j: F.struct(y["key"].alias("key"), j.alias("j"))), lambda y: y["key"] == x["key"]), lambda y: y["j"])
-    ))
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["key"], x["value"])))
+    kept = F.filter(F.transform(c, lambda x: F.struct(strip(x["name"]).alias("key"), x[value].alias("value"))), lambda x: x["value"].isNotNull())
+    names = F.array(*[F.lit(n) for n in NUTRIENTS])
+    last = F.transform(names, lambda n: F.struct(n.alias("key"), F.get(F.reverse(F.filter(kept, lambda x: x["key"] == n)), F.lit(0))["value"].alias("value")))
+    found = F.filter(last, lambda x: x["value"].isNotNull())
+    return F.map_from_entries(F.transform(found, lambda x: F.struct(x["key"], as_number(x["value"].cast("string")).alias("value"))))
 
 
 def canonical(rows: DataFrame) -> DataFrame:
@@ -118,8 +149,8 @@ def from_export(rows: DataFrame) -> DataFrame:
 
 
 def _variant_text(document: str, name: str) -> Column:
-    """Plain text, or the pick from a list of {lang, text}."""
-    plain = F.try_variant_get(document, f"$.{name}", "string")
+    """Plain text, or the pick from a list of {lang, text}; stripped, blank text is null."""
+    plain = F.nullif(strip(F.try_variant_get(document, f"$.{name}", "string")), F.lit(""))
     listed = F.try_variant_get(document, f"$.{name}", "array<struct<lang:string,text:string>>")
     return F.when(listed.isNotNull(), localized_text(listed)).otherwise(plain)
 
@@ -130,9 +161,14 @@ def _variant_tags(document: str, name: str) -> Column:
 
 
 def from_documents(rows: DataFrame, document: str = "document") -> DataFrame:
-    """Full documents (variant): plain or localized texts, tag lists, nutriments by name; those override plain columns."""
-    number = lambda n: F.coalesce(
-        F.try_variant_get(document, f'$.nutriments["{n}_100g"]', "double"), F.try_variant_get(document, f'$["{n}_100g"]', "double")
+    """Full documents (variant) that are known to fit: plain or localized texts, tag lists, nutriments by name.
+
+    What nutriments has, nulls too, overrides plain columns.  Rows of unknown shape go through ``dispatch``.
+    """
+    found = rows.withColumn("_n", F.try_variant_get(document, "$.nutriments", "map<string,variant>"))
+    value = lambda v: F.coalesce(F.try_variant_get(v, "$", "double"), as_number(F.try_variant_get(v, "$", "string")))
+    number = lambda c: value(
+        F.when(F.map_contains_key("_n", c), F.try_element_at("_n", F.lit(c))).otherwise(F.try_variant_get(document, f'$["{c}"]', "variant"))
     )
     columns = []
     for c in BASE_COLUMNS:
@@ -144,7 +180,7 @@ def from_documents(rows: DataFrame, document: str = "document") -> DataFrame:
             columns.append(_variant_text(document, c).alias(c))
         else:
             columns.append(F.try_variant_get(document, f"$.{c}", "string").alias(c))
-    return rows.select(*columns, *[number(n).alias(f"{n}_100g") for n in NUTRIENTS])
+    return found.select(*columns, *[number(f"{n}_100g").alias(f"{n}_100g") for n in NUTRIENTS])
 
 
 def _shape(document: Column) -> Column:
