@@ -40,17 +40,20 @@ def repeated(rows: DataFrame, *key: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def fill_blanks(rows: DataFrame, assessments: DataFrame, key: str, columns: list[str], overwrite: bool = False) -> DataFrame:
+def fill_blanks(rows: DataFrame, assessments: DataFrame, key: str, columns: list[str], overwrite: bool = False, fingerprint: str | None = None) -> DataFrame:
     """Assessed values into blank cells (or all, with ``overwrite``); adds ``changed``.
 
-    Unknown and repeated ids among the assessments are errors.
+    Assessments that repeat an id, name an unknown one or, with ``fingerprint``, were made for a row of another
+    fingerprint fail the job: the guards are part of the plan.
     """
-    if not repeated(assessments, key).isEmpty():
-        raise ValueError("assessments repeat an id")
-    if not assessments.join(rows.select(key), key, "left_anti").isEmpty():
-        raise ValueError("assessments name unknown ids")
-    new = assessments.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = rows.join(new, key, "left")
+    told = [F.col(c).alias(f"_new_{c}") for c in [*columns, *([fingerprint] if fingerprint else [])]]
+    one = assessments.groupBy(key).agg(F.first(F.struct(F.lit(True).alias("_new"), *told)).alias("_a"), F.count(F.lit(1)).alias("_times"))
+    joined = rows.withColumn("_row", F.lit(True)).join(one.select(key, "_a.*", "_times"), key, "full")
+    fails = lambda text: F.raise_error(F.concat(F.lit(f"{text} "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean")
+    known = F.when(F.col("_row").isNull(), fails("assessments name an unknown id")).when(F.col("_times") > 1, fails("assessments repeat the id"))
+    if fingerprint:
+        known = known.when(F.col("_new") & ~F.col(fingerprint).eqNullSafe(F.col(f"_new_{fingerprint}")), fails("another fingerprint at"))
+    joined = joined.where(known.otherwise(True))
     filled = {}
     for c in columns:
         blank = F.coalesce(strip(F.col(c)), F.lit("")) == ""

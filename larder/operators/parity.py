@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.functions.scalars import PLACEHOLDER, SEVERITIES, severity_rank, template_match
+from larder.functions.scalars import PLACEHOLDER, SEVERITIES, severity_rank, template_match, template_pattern
 from larder.operators.rules import Rule
 
 KEY = ["product_id", "observed_code", "severity"]
@@ -36,6 +36,36 @@ def match_codes(raw: DataFrame, rules: list[Rule]) -> DataFrame:
     return raw.withColumn("check_id", F.explode(F.array_compact(F.array(*hits))))
 
 
+#: Lengths of the literal starts by which templates are looked up.
+STARTS = (0, 1, 2, 4, 8, 16)
+
+
+def template_index(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """(check_id, size, start, pattern): templates by the longest of :data:`STARTS` that their literal start fills; exact ones by all of it, as size -1."""
+    import re
+
+    rows = []
+    for r in rules:
+        if r.baseline != "legacy":
+            continue
+        first = re.search(PLACEHOLDER, r.id)
+        if first is None:
+            rows.append((r.id, -1, r.id, None))
+        else:
+            size = max(n for n in STARTS if n <= first.start())
+            rows.append((r.id, size, r.id[:size], template_pattern(r.id)))
+    return spark.createDataFrame(rows, "check_id string, size int, start string, pattern string")
+
+
+def match_indexed(raw: DataFrame, index: DataFrame) -> DataFrame:
+    """As :func:`match_codes`, for any number of rules: one equi-join by literal starts, and the pattern test on what it leaves."""
+    keys = [F.struct(F.lit(-1).alias("size"), F.col("raw_code").alias("start"))]
+    keys += [F.struct(F.lit(n).alias("size"), F.substring("raw_code", 1, n).alias("start")) for n in STARTS]
+    usable = F.filter(F.array(*keys), lambda k: (k["size"] < 0) | (F.length(k["start"]) == k["size"]))
+    tried = raw.select("*", F.inline(usable)).join(index, ["size", "start"])
+    return tried.where(F.col("pattern").isNull() | F.regexp_like("raw_code", F.col("pattern"))).drop("size", "start", "pattern")
+
+
 def strongest(rows: DataFrame) -> DataFrame:
     """One row a product, rule and code: the highest severity."""
     return rows.groupBy("product_id", "check_id", F.col("raw_code").alias("observed_code")).agg(

@@ -28,6 +28,18 @@ class Rule:
     severity: str | None = None
 
 
+@dataclass
+class ArrowRule:
+    """A rule in Python: ``find`` gets the required fields of one row by path and gives (code or None, severity) pairs; variants come as JSON text."""
+
+    id: str
+    requires: list[str]
+    find: Callable[[dict], list[tuple[str | None, str]]]
+    baseline: str = "none"
+    jurisdictions: list[str] = field(default_factory=lambda: ["global"])
+    language: str = "python"
+
+
 def when(condition: Column, severity: str) -> Column:
     """One emission where the condition holds."""
     one = F.array(F.struct(F.lit(None).cast("string").alias("raw_code"), F.lit(severity).alias("severity")))

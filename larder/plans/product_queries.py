@@ -7,7 +7,6 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +37,23 @@ NUTRIMENT_OF = {
 SOURCE, ENRICHED, NUTRITION, INGREDIENTS = (fx.for_duckdb(s) for s in (fx.SOURCE, fx.ENRICHED, fx.NUTRITION, fx.INGREDIENTS))
 
 
+def _folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder that driver and executors share; a temporary one only on one machine."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a shared folder")
+        base = "file://" + tempfile.mkdtemp(prefix="larder-")
+    return f"{base.rstrip('/')}/larder/{label}-{uuid.uuid4().hex}"
+
+
+def _stored(rows: DataFrame, label: str) -> DataFrame:
+    """Rows that are read several times, as a table in the shared folder."""
+    folder = _folder(rows.sparkSession, label)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def query(name: str, oracle: str | None = None):
     def wrap(f: Query) -> Query:
         QUERIES[name] = f
@@ -447,7 +463,16 @@ def ingredient_tags(spark, sf_dir):
     return ingredient_rows(spark, sf_dir).select("k", F.array_join(cx.top_ingredient_tags(F.col("ingredients")), ",").alias("tags"))
 
 
-@query("rules_runnable", "select 'source' as kind, " + str(len(SOURCE_IDS)) + "::bigint as runnable, " + str(len(ALL_IDS) - len(SOURCE_IDS)) + f"::bigint as missing, (select count(*) from ({SOURCE}) s) as n_rows union all select 'enriched', " + str(len(ALL_IDS)) + f", 0, (select count(*) from ({SOURCE}) s)")
+#: Rules that need more than source rows give, by what: fields of the enriched product, flags, category properties and the nutrition sets.
+NEEDS_MORE = (
+    "check_id like '%lang%' or check_id like '%packaging%' or check_id like '%ingredient%' or check_id like '%food-groups%' or check_id like '%set_id%' or check_id like '%grade-producer%' "
+    "or check_id in ('en:sugar-free-label-claim-but-sugar-above-limitation', 'en:no-added-sugar-label-claim-but-contains-added-sugar', 'en:traceability-codes-to-be-completed')"
+)
+EVERY_RULE = ", ".join(f"('{i}')" for i in sorted([*CONDITIONS, *FAMILY_SQL]))
+
+
+@query("rules_runnable", f"""with r as (select check_id, {NEEDS_MORE} as more from (values {EVERY_RULE}) v(check_id)), n as (select count(*) as n_rows from ({SOURCE}) s)
+  select 'source' as kind, count_if(not more) as runnable, count_if(more) as missing, max(n_rows) as n_rows from r, n union all select 'enriched', count(*), 0, max(n_rows) from r, n""")
 def rules_runnable(spark, sf_dir):
     n = source_flat(spark, sf_dir).count()
     parts = []
@@ -509,8 +534,8 @@ def reference_findings(spark, sf_dir):
 
 
 def both_sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Both sides come from one evaluation of the rules, kept on the executors' disks while it lasts."""
-    found = real_findings(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
+    """Both sides come from one evaluation of the rules, written to the shared folder."""
+    found = _stored(real_findings(spark, sf_dir), "findings")
     return pa.reference_findings(expected_rows(found), RULES), fi.observed(found)
 
 
@@ -819,16 +844,6 @@ def envelopes(spark, sf_dir):
     return ig.decode_envelopes(lines, "line", "result", 1, "struct<code:string,score:long>")
 
 
-def _folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder that driver and executors share; a temporary one only on one machine."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir has to name a shared folder")
-        base = "file://" + tempfile.mkdtemp(prefix="larder-")
-    return f"{base.rstrip('/')}/larder/{label}-{uuid.uuid4().hex}"
-
-
 @query("read_json_lines", f"select code, quantity from ({SOURCE}) s where code is not null")
 def read_json_lines(spark, sf_dir):
     folder = _folder(spark, "lines")
@@ -903,10 +918,10 @@ def run_states(spark, sf_dir):
 OUTCOME = "case when status = 'runtime_only' then 'runtime_only' when missing = 0 and extra = 0 then 'pass' when missing > 0 and extra > 0 then 'mixed' when missing > 0 then 'legacy_only' else 'migrated_only' end"
 
 
-@query("report_rows", f"with {SUMMARY}, mis as (select check_id, sum(missing) as mi, sum(extra) as ex from diff group by check_id) select s.*, least(coalesce(m.mi, 0), 1000000)::bigint as missing_examples, coalesce(m.ex, 0)::bigint as extra_examples, {OUTCOME.replace('missing', 's.missing').replace('extra', 's.extra')} as outcome, case when s.status = 'runtime_only' then 'runtime' when s.passed then 'pass' else 'fail' end as card, s.missing + s.extra as mismatches, lower(s.check_id || ' ' || s.language || ' ' || ({OUTCOME.replace('missing', 's.missing').replace('extra', 's.extra')})) as search_text from summary s left join mis m on m.check_id = s.check_id")
+@query("report_rows", f"with {SUMMARY}, mis as (select check_id, sum(missing) as mi, sum(extra) as ex from diff group by check_id) select s.*, least(coalesce(m.mi, 0), 20)::bigint as missing_examples, least(coalesce(m.ex, 0), 20)::bigint as extra_examples, {OUTCOME.replace('missing', 's.missing').replace('extra', 's.extra')} as outcome, case when s.status = 'runtime_only' then 'runtime' when s.passed then 'pass' else 'fail' end as card, s.missing + s.extra as mismatches, lower(s.check_id || ' ' || s.language || ' ' || ({OUTCOME.replace('missing', 's.missing').replace('extra', 's.extra')})) as search_text from summary s left join mis m on m.check_id = s.check_id")
 def report_rows(spark, sf_dir):
-    diff = parity_diff(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
-    return rn.report_rows(summary_of(spark, sf_dir, diff), pa.mismatches(diff))
+    diff = _stored(parity_diff(spark, sf_dir), "differences")
+    return rn.report_rows(summary_of(spark, sf_dir, diff), pa.examples(pa.mismatches(diff)))
 
 
 @query("report_composition", f"with {SUMMARY} select b.outcome, count(s.check_id) as n, count(s.check_id) * 100.0::double / greatest((select count(*) from summary), 1) as percent from (select unnest(['pass', 'mixed', 'legacy_only', 'migrated_only', 'runtime_only']) as outcome) b left join (select check_id, {OUTCOME} as outcome from summary) s on s.outcome = b.outcome group by b.outcome")

@@ -16,11 +16,14 @@ def sample_key(code: Column, seed: int) -> Column:
 
 
 def stable_sample(rows: DataFrame, n: int, seed: int, position: str | None = None) -> DataFrame:
-    """The n rows with the least SHA-256 of ``code::seed``; of equal codes the later line first."""
+    """The n rows with the least SHA-256 of ``code::seed``: of equal codes later lines are taken first; the result is in order of hash, code and line."""
     if n <= 0:
         raise ValueError("a sample needs a positive size")
-    order = [F.col("_key"), "code"] + ([F.col(position).desc()] if position else [])
-    return rows.withColumn("_key", sample_key(F.col("code"), seed)).orderBy(*order).limit(n).drop("_key")
+    keyed = rows.withColumn("_key", sample_key(F.col("code"), seed))
+    if position is None:
+        return keyed.orderBy("_key", "code").limit(n).drop("_key")
+    taken = keyed.orderBy("_key", "code", F.col(position).desc()).limit(n)
+    return taken.orderBy("_key", "code", position).drop("_key")
 
 
 def sample_count(rows: DataFrame, n: int) -> DataFrame:

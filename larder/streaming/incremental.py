@@ -24,3 +24,12 @@ def write_findings(rows: DataFrame, rules: list[Rule], path: str, checkpoint: st
         .trigger(availableNow=True)
         .start()
     )
+
+
+def write_batches(rows: DataFrame, rules: list[Rule], path: str, checkpoint: str):
+    """Findings of each micro-batch in a folder of its own number: a batch that is delivered again replaces itself."""
+
+    def put(found: DataFrame, number: int) -> None:
+        found.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream_findings(rows, rules).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+from larder.plans import input_queries, run_queries  # noqa: F401  register their queries
 from larder.plans.product_queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -15,6 +16,8 @@ SOME = [
     "ingredient_nodes", "family_sets", "as_number", "template_match", "structured_cells",
     "json_text", "envelopes", "contract_of", "cache_ordered", "cache_counts", "sheet_outcome", "sheet_preview", "sheet_preview_counts", "snapshot_fingerprint",
     "read_json_lines", "read_tsv", "read_sheet", "run_benchmark", "contract_reasons",
+    "snapshot_documents", "rows_accepted", "rows_rejected", "read_sheet_quoted", "read_tsv_quoted", "read_lines_lenient",
+    "run_full", "batches_merged", "results_upserted", "findings_streamed", "reference_match_many", "findings_mixed_pack", "profile_findings", "rules_runnable",
 ]
 
 
