@@ -6,14 +6,14 @@ m - q + 1 - e * q q-grams with it, all within e + 1 neighbouring diagonals.  Sha
 are counted in bands of 2 * (e + 1) diagonals that overlap by half, so that some band holds
 them all; bands that reach the bound are aligned (free start and end in the text, edits
 counted within the band), and the document leaks the item if e edits suffice.  Items too
-short for a positive bound at ``Q`` use the longest grams that give one, m // (e + 1).
+short for a positive bound at ``Q`` use the longest grams that give one, m // (e + 1).  One rule
+holds at every length: an item leaks where it stands, inside words too.
 
 The items are the stated query set: they are read in blocks of bounded size, and each block
 meets all documents.  A long text goes through in pieces that overlap by more than the longest item.
 
 Defined results: null or empty texts leak nothing; items without a letter or digit (null and
-empty ones too) match nothing; an item of fewer than ``Q`` folded characters has no edit to
-spend and leaks where it stands as whole words; repeated rows of documents repeat their
+empty ones too) match nothing; repeated rows of documents repeat their
 result; of repeated item ids each text is tried; empty tables give an empty result; other
 columns are not read by ``leaks`` and stay as they are in ``clean``, whatever their names.
 """
@@ -72,10 +72,10 @@ def folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[at], row, at - (ends - sizes)[row]
 
 
-def folded_pieces(text: str, overlap: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(characters with an end mark, place in the text, is the first) of the pieces of one long text."""
+def folded_pieces(text: str, overlap: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(characters with an end mark, place in the text) of the pieces of one long text."""
     tail = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    gap, first = False, True  # has the text a separator since the tail's last character
+    gap = False  # has the text a separator since the tail's last character
     for s in range(0, len(text), size):
         part = text[s : s + size]
         c, _, p = folded([part])
@@ -91,8 +91,7 @@ def folded_pieces(text: str, overlap: int, size: int) -> Iterator[tuple[np.ndarr
             gap = int(p[-1]) < len(part) - 1
         chars, place = np.r_[tail[0], c], np.r_[tail[1], p + s]
         more = s + size < len(text)
-        yield np.r_[chars, np.uint32(_CUT if more else _END)], np.r_[place, place[-1] + 1], first
-        first = first and len(chars) <= overlap
+        yield np.r_[chars, np.uint32(_CUT if more else _END)], np.r_[place, place[-1] + 1]
         tail = chars[-overlap:], place[-overlap:]
 
 
@@ -151,25 +150,17 @@ class Items:
         self.edits = (self.length * share).astype(np.int64)
         self.q = np.minimum(q, self.length // (self.edits + 1))
         self.bound = self.length - self.q + 1 - self.edits * self.q
-        self.short = self.length < q
         self.grams = [Grams(int(k), np.flatnonzero(self.q == k).tolist(), self.chars) for k in np.unique(self.q)]
 
-    def hits(self, chars: np.ndarray, first: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All (text place, item, item place) of equal grams; of short items only at whole words."""
+    def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All (text place, item, item place) of equal grams."""
         found = [g.hits(chars) for g in self.grams]
-        x, item, y = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-        if self.short.any() and len(x):
-            edge = (chars == 32) | (chars == _END)
-            starts = np.where(x > 0, edge[x - 1], first)
-            ends = edge[np.minimum(x + self.q[item], len(chars) - 1)]
-            good = ~self.short[item] | (y > 0) | (starts & ends)
-            x, item, y = x[good], item[good], y[good]
-        return x, item, y
+        return tuple(np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
 
-def candidate_bands(items: Items, chars: np.ndarray, row: np.ndarray, first: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def candidate_bands(items: Items, chars: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, item, first diagonal) of bands that reach the item's q-gram bound."""
-    x, item, y = items.hits(chars, first)
+    x, item, y = items.hits(chars)
     if not len(x):
         return x, x, x
     width = items.edits[item] + 1
@@ -236,9 +227,9 @@ def align(items: Items, chars: np.ndarray, low: np.ndarray, high: np.ndarray, it
     return np.where(found, best >> np.int64(36), 1 << 30), np.where(found, high - (best & (one - 1)), 0), end
 
 
-def _leaks_of(items: Items, chars: np.ndarray, row: np.ndarray, place: np.ndarray, first: bool, out: dict) -> None:
+def _leaks_of(items: Items, chars: np.ndarray, row: np.ndarray, place: np.ndarray, out: dict) -> None:
     """Puts the best (edits, start, end) of each (row, item) of one round into ``out``."""
-    r, item, band = candidate_bands(items, chars, row, first)
+    r, item, band = candidate_bands(items, chars, row)
     from_ = np.searchsorted(row, r)
     to = np.searchsorted(row, r, side="right") - 1  # the end mark stays out
     order = np.argsort(items.length[item], kind="stable")
@@ -263,11 +254,11 @@ def leaks_in(items: Items, texts: list[str | None], size: int = _ROUND) -> list[
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
     if items.chars and len(texts) == 1 and len(texts[0] or "") > size:
         overlap = int((items.length + items.edits).max()) + 2
-        for chars, place, first in folded_pieces(texts[0], overlap, max(size, 2 * overlap)):
-            _leaks_of(items, chars, np.zeros(len(chars), np.int32), place, first, out)
+        for chars, place in folded_pieces(texts[0], overlap, max(size, 2 * overlap)):
+            _leaks_of(items, chars, np.zeros(len(chars), np.int32), place, out)
     elif items.chars:
         chars, row, place = folded([t or "" for t in texts])
-        _leaks_of(items, chars, row, place, True, out)
+        _leaks_of(items, chars, row, place, out)
     return [(*key, *value) for key, value in sorted(out.items())]
 
 

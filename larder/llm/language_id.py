@@ -30,8 +30,8 @@ ORDER = 4
 #: Bounds of the training sample: rows and bytes of one language.  Every label is learned.
 SAMPLE_ROWS = 600
 SAMPLE_BYTES = 1_500_000
-#: Of longer texts, these first bytes are trained on (all of them are scored).
-SAMPLE_TEXT_BYTES = 60_000
+#: Longer texts come after all others in the sample, so one is trained on only where a language has nothing else.
+LONG_TEXT_BYTES = 60_000
 #: Languages of one table; a table's size grows with their square.
 TABLE_LANGUAGES = 8
 _PIECE = 8 << 20
@@ -213,19 +213,22 @@ def _part_lengths(model: Part, texts: list[bytes]) -> np.ndarray:
 
 
 def training_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """The bounded sample: by language, the rows that come first by a hash of id and text.
+    """The bounded sample: by language, whole texts that come first by a hash of id and text, those beyond LONG_TEXT_BYTES last.
 
-    ``data`` is the text's first SAMPLE_TEXT_BYTES bytes; the last row of a language may go beyond SAMPLE_BYTES.
+    Rows are taken up to SAMPLE_ROWS and as long as those before them have fewer than SAMPLE_BYTES, so the first is always taken.
     """
+    data = F.col(text_col).cast("binary")
     kept = labelled.where(F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0)).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)).alias("h")
+        F.col(lang_col).alias("lang"), data.alias("data"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)).alias("h"), (F.octet_length(data) > LONG_TEXT_BYTES).alias("long")
     )
     # a cut of the hash that leaves a few times the sample, so that only those rows are ranked; copies share a hash
-    counts = kept.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
-    near = kept.join(F.broadcast(counts), "lang").where(F.pmod("h", F.lit(1 << 20)) * F.col("n") < 3.0 * (SAMPLE_ROWS + 20) * (1 << 20))
-    data = F.substring(F.col("text").cast("binary"), 1, SAMPLE_TEXT_BYTES)
+    counts = kept.groupBy("lang", "long").agg(F.approx_count_distinct("h").alias("n"))
+    short = counts.groupBy("lang").agg(F.max(~F.col("long")).alias("short"))
+    cuts = counts.join(short, "lang").where(~F.col("long") | ~F.col("short"))  # long texts only where there is nothing else
+    most = F.when(F.col("long"), 3.0 * (SAMPLE_BYTES // LONG_TEXT_BYTES + 20)).otherwise(3.0 * (SAMPLE_ROWS + 20))
+    near = kept.join(F.broadcast(cuts), ["lang", "long"]).where(F.pmod("h", F.lit(1 << 20)) * F.col("n") < most * (1 << 20))
     by = Window.partitionBy("lang").orderBy("h", "data")
-    first = near.select("lang", "h", data.alias("data")).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= SAMPLE_ROWS)
+    first = near.select("lang", "h", "data").withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= SAMPLE_ROWS)
     before = F.sum(F.octet_length("data").cast("long")).over(Window.partitionBy("lang").orderBy("rank")) - F.octet_length("data")
     return first.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES).select("lang", "rank", "data")
 
@@ -233,13 +236,10 @@ def training_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str
 def fit(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER
 ) -> Model:
-    """Train on at most SAMPLE_ROWS rows and SAMPLE_BYTES bytes a language."""
+    """Train on at most SAMPLE_ROWS whole rows a language, as many as reach SAMPLE_BYTES bytes."""
     samples: dict[str, list[bytes]] = {}
-    held: dict[str, int] = {}
     for row in sorted(training_rows(labelled, id_col, text_col, lang_col).collect(), key=lambda r: (r["lang"], r["rank"])):
-        data = bytes(row["data"])[: SAMPLE_BYTES - held.get(row["lang"], 0)]
-        samples.setdefault(row["lang"], []).append(data)
-        held[row["lang"]] = held.get(row["lang"], 0) + len(data)
+        samples.setdefault(row["lang"], []).append(bytes(row["data"]))
     return train(samples, order)
 
 

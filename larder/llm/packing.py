@@ -6,7 +6,8 @@ into sequences by the dot-product heuristic: among the pieces that fit under all
 one whose demand vector has the largest dot product with what is left of the limits, each
 dimension weighted by how scarce it is.  A gap that nothing fits is filled by the head of the
 piece that can give most: a prompt where only loss-bearing room is used up.  Every task packs the
-rows it reads, batch by batch, so nothing is shuffled and memory is bounded by a batch.
+rows it reads in rounds of bounded rows and bytes, so nothing is shuffled.  Small partitions are read
+by one task together, so that few sequences are left open whatever the table's layout.
 
 Defined results: null or empty text has just the end id; a text without a line break, or with
 none before its end, has its first token as prompt; repeated rows are packed each on their own;
@@ -35,6 +36,8 @@ LOSS = 1984
 #: Gaps up to this many tokens stay padding; larger ones are filled by cutting a piece.
 SLACK = 16
 _ROUND = 8 << 20
+#: Rows of one round at most, and bytes of text that a task has at least (if the table has them).
+_ROWS, TASK_BYTES = 16_384, 8 << 20
 
 
 def pack(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int]) -> tuple[np.ndarray, ...]:
@@ -111,6 +114,20 @@ def prompts(ids: np.ndarray, tokens: np.ndarray, breaks: np.ndarray) -> np.ndarr
     return np.where(first < ends - 2, first - starts + 1, 1)
 
 
+def _rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches of a task put together up to the bounds of a round."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        if held and (rows + batch.num_rows > _ROWS or size + batch.nbytes > _ROUND):
+            yield pa.concat_batches(held)
+            held, rows, size = [], 0, 0
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def packed(
     docs: DataFrame,
     tokenizer: str,
@@ -126,7 +143,7 @@ def packed(
         encoder = Encoder.of(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         base = TaskContext.get().partitionId() << 36
-        for whole in batches:
+        for whole in _rounds(batches):
             for batch in slices(whole, "text", _ROUND):
                 raw = [x + end for x in encoder.encode([t or "" for t in batch.column(1).to_pylist()])]
                 tokens = np.array([len(x) // encoder.dtype.itemsize for x in raw], np.int64)
@@ -151,5 +168,7 @@ def packed(
                 base += int(sequence.max(initial=-1)) + 1
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + F.count(F.lit(1))).first()[0]
+    rows = rows.coalesce(max(1, total // TASK_BYTES))  # neighbours are read by one task; more partitions than there are it never makes
     schema = f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
     return mapped(rows, run, schema)

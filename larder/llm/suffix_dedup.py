@@ -40,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -715,12 +715,24 @@ def cut(
     return mapped(whole, _cut(with_text), StructType([rows.schema["row"], *counts, *texts])), name
 
 
+#: Tables of the warehouse that results of this session read.
+_LEFT: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Drop the tables that results of :func:`without_repeats` read; these have to be written before."""
+    while _LEFT:
+        spark.sql(f"DROP TABLE IF EXISTS {_LEFT.pop()}")
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeats cut out of the texts (a null text stays null).
 
-    The result reads a table of the warehouse whose name starts with ``larder_repeats_``.
+    The result reads a table of the warehouse whose name starts with ``larder_repeats_``; :func:`drop_tables` drops it once
+    the result is written.
     """
-    out, _ = cut(docs, id_col, text_col)
+    out, name = cut(docs, id_col, text_col)
+    _LEFT.append(name)
     text = F.when(~F.col("row.absent"), F.col("kept")).alias(text_col)
     return out.select(*[text if c == text_col else F.col("row.own").getField(c).alias(c) for c in docs.columns])
 

@@ -50,10 +50,7 @@ def test_against_full_alignment(spark):
             text = slow_fold(t)
             for j, u in items:
                 item = slow_fold(u)
-                if 0 < len(item) < 8:  # no edit to spend, whole words only
-                    if f" {item} " in f" {text} ":
-                        want[i, j] = 0
-                elif item:
+                if item:
                     d = slow_edits(item, text)
                     if d <= int(len(item) * 0.1):
                         want[i, j] = d
@@ -97,9 +94,19 @@ def test_all_edits_of_short_items(spark):
     bench = spark.createDataFrame([(7, item), (8, "cat"), (9, "ab0d0f")], "item_id int, text string")
     got = dc.decontamination_query(docs, bench)
     assert dict(got.dtypes)["item_id"] == "int"
-    assert {(g.doc_id, g.item_id): g.edits for g in got.collect()} == {(1, 7): 3, (3, 7): 3}
-    docs = spark.createDataFrame([(1, "A cat!"), (2, "concatenate"), (3, "dogs, cat")], "doc_id long, text string")
-    assert sorted(g.doc_id for g in dc.decontamination_query(docs, bench).collect()) == [1, 3]
+    assert {(g.doc_id, g.item_id): g.edits for g in got.collect()} == {(1, 7): 3, (3, 7): 3, (2, 9): 0}
+    # one rule at every length: inside words too
+    texts = ["A cat!", "concatenate", "dogs, cat", "the cat sat", "sat on amat", "s-at on a mat", "nothing"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    short = spark.createDataFrame([(8, "cat"), (1, "at sat"), (2, "sat on am"), (3, "t"), (4, "concatenate")], "item_id long, text string")
+    got = {(g.doc_id, g.item_id): g.edits for g in dc.decontamination_query(docs, short).collect()}
+    want = {}
+    for i, text in enumerate(texts):
+        for j, item in [(r.item_id, r.text) for r in short.collect()]:
+            d = slow_edits(slow_fold(item), slow_fold(text))
+            if d <= int(len(slow_fold(item)) * 0.1):
+                want[i, j] = d
+    assert got == want and (3, 1) in want and (4, 2) in want and (1, 8) in want
 
 
 def test_long_texts_in_pieces():

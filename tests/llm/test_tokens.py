@@ -179,6 +179,15 @@ def test_loss_limit_binds_and_fill_stays_high():
     assert length.sum() == 40_000 and seq.max() + 1 == 20
 
 
+@pytest.mark.parametrize("partitions", [1, 40, 200])
+def test_fill_whatever_the_layout(spark, partitions):
+    """Documents of some 30 tokens: the share of filled tokens doesn't follow the number of partitions."""
+    rows = [(i, " ".join(f"word{(i * 7 + j) % 90}" for j in range(15))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    got = packing.packed(df, PATH, 1).groupBy("sequence_id").sum("length").collect()
+    assert sum(g["sum(length)"] for g in got) / (2048 * len(got)) >= 0.98
+
+
 def test_prompts():
     breaks = np.array([False, True, False])
     ids = np.array([2, 1, 2, 2, 0, 2, 2, 0, 2, 1, 0, 0])
