@@ -35,17 +35,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take repeated byte strings out of the texts; what a cut leaves of a split character goes too."""
+    """Take repeated byte strings out of the texts; what a cut leaves of a split character goes too.
+
+    Null and empty texts stay as they are, whole texts of any length are cut; a text may become empty.
+    """
     return suffix_dedup.without_repeats(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that leak no benchmark item."""
+    """Keep documents that leak no benchmark item; null and empty texts leak nothing and stay, long ones are read whole."""
     return decontamination.clean(docs, load(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 2048 tokens."""
+    """Pieces of all documents in sequences of 2048 tokens; a null or empty text is its end id, a long text is cut into several pieces."""
     return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
@@ -70,5 +73,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = spark.read.parquet(path)
         if before is not None:
             drop_written(before)
+        suffix_dedup.drop_tables(spark)
         before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
