@@ -121,8 +121,8 @@ def test_long_texts_in_pieces():
         for _, i, d, s, e in found:
             assert slow_edits("".join(map(chr, index.chars[i])), slow_fold("q" + whole[s:e] + "q")) <= d
     gaps = "one two" + " " * 3000 + "three four five"
-    one = dc.Items([1, 2], ["one two three four", "fiv"])
-    assert [(i, d) for _, i, d, _, _ in dc.leaks_in(one, [gaps], size=100)] == [(0, 0)]
+    one = dc.Items([1, 2, 3], ["one two three four", "fiv", "fix"])
+    assert [(i, d) for _, i, d, _, _ in dc.leaks_in(one, [gaps], size=100)] == [(0, 0), (1, 0)]
 
 
 def test_columns_of_any_name(spark):
