@@ -115,13 +115,16 @@ def prompts(ids: np.ndarray, tokens: np.ndarray, breaks: np.ndarray) -> np.ndarr
 
 
 def _rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Small batches of a task put together up to the bounds of a round."""
+    """Small batches of a task put together up to the bounds of a round; larger ones go on as they are, without a copy."""
     held: list[pa.RecordBatch] = []
     rows = size = 0
     for batch in batches:
         if held and (rows + batch.num_rows > _ROWS or size + batch.nbytes > _ROUND):
-            yield pa.concat_batches(held)
+            yield held.pop() if len(held) == 1 else pa.concat_batches(held)
             held, rows, size = [], 0, 0
+        if batch.nbytes > _ROUND:
+            yield batch
+            continue
         held.append(batch)
         rows, size = rows + batch.num_rows, size + batch.nbytes
     if held:
