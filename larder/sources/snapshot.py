@@ -146,15 +146,21 @@ def _ingredients(v: Column) -> Column:
 
     The nodes of all levels in order of their paths are the tree in pre-order, so its JSON text is written from left to right.
     """
-    nodes = F.array_sort(gathered_nodes(F.when(_kind(v).startswith("ARRAY"), v), objects_only=True))
-    depths = F.transform(nodes, lambda n: F.size(n["path"]))
-    before = F.concat(F.array(F.lit(0)), depths)
     fields = lambda n: F.to_json(F.struct(*[n[f].alias(f) for f in ("id", "vegan", "vegetarian")]), {"ignoreNullFields": "false"})
-    opened = lambda n: F.concat(F.substring(fields(n), F.lit(1), F.length(fields(n)) - 1), F.lit(',"ingredients":['))
+    opened = lambda text: F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(',"ingredients":['))
     closed = lambda was, now: F.when(now > was, F.lit("")).otherwise(F.concat(F.repeat(F.lit("]}"), was - now + 1), F.lit(",")))
-    parts = F.transform(nodes, lambda n, i: F.concat(closed(F.get(before, i), F.size(n["path"])), opened(n)))
-    end = F.repeat(F.lit("]}"), F.coalesce(F.element_at(F.when(F.size(depths) > 0, depths), -1), F.lit(0)))
-    return F.parse_json(F.concat(F.lit("["), F.coalesce(F.array_join(parts, ""), F.lit("")), end, F.lit("]")))
+
+    def written(s: Column) -> Column:
+        """Text of the sorted nodes; ``depths`` starts with 0, the depth before the first node."""
+        parts = F.transform(s["nodes"], lambda n, i: F.concat(closed(F.get(s["depths"], i), F.size(n["path"])), _let(fields(n), opened)))
+        return F.concat(F.lit("["), F.array_join(parts, ""), F.repeat(F.lit("]}"), F.element_at(s["depths"], -1)), F.lit("]"))
+
+    def placed(nodes: Column) -> Column:
+        depths = F.concat(F.array(F.lit(0)), F.transform(nodes, lambda n: F.size(n["path"])))
+        return _let(F.struct(nodes.alias("nodes"), depths.alias("depths")), written)
+
+    text = _let(F.array_sort(gathered_nodes(F.when(_kind(v).startswith("ARRAY"), v), objects_only=True)), placed)
+    return F.parse_json(F.coalesce(text, F.lit("[]")))
 
 
 def snapshot(rows: DataFrame, document: str = "document", helper: str = "helper") -> DataFrame:
