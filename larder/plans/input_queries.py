@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import fixtures as fx
-from larder.operators import context as cx
-from larder.operators import findings as fi
-from larder.plans.product_queries import ALL_IDS, RULES, SOURCE, _folder, enriched_rows, findings_sql, query, source_flat
+from larder.plans.product_queries import _folder, query
 from larder.sources import dispatch, ingest, snapshot
 from larder.sources.ingest import EXPORT_COLUMNS
 
@@ -92,18 +90,12 @@ def snapshot_documents(spark, sf_dir):
     )
 
 
-@query("findings_snapshot", findings_sql(ALL_IDS, True))
-def findings_snapshot(spark, sf_dir):
-    """Enriched rows as raw JSON documents, their snapshots, and all rules on those."""
-    rows = enriched_rows(spark, sf_dir)
+def as_documents(rows: DataFrame) -> DataFrame:
+    """Enriched rows as raw JSON documents and what the helper knows of them."""
     whole = F.struct(F.col("code"), *[F.col(f"product.{n}").alias(n) for n in rows.schema["product"].dataType.names if n not in ("code", "ingredients")], F.col("nutrition"))
     text = F.regexp_replace(F.to_json(whole), r"\}$", "")
     document = F.parse_json(F.concat(text, F.coalesce(F.concat(F.lit(',"ingredients":'), F.to_json("product.ingredients")), F.lit("")), F.lit("}")))
-    helper = F.parse_json(F.to_json(F.struct("flags.*", "category_props.*")))
-    found = snapshot.snapshot(rows.select(document.alias("document"), helper.alias("helper")))
-    folder = _folder(spark, "snapshots")  # stored, as an outside system's results are: rules read them many times
-    snapshot.typed(found).write.parquet(folder)
-    return fi.evaluate(cx.project_enriched(spark.read.parquet(folder)), RULES)
+    return rows.select(document.alias("document"), F.parse_json(F.to_json(F.struct("flags.*", "category_props.*"))).alias("helper"))
 
 
 # ---------------------------------------------------------------- rows of mixed shapes

@@ -143,3 +143,18 @@ def test_guards_of_assessments(spark):
     for bad, text in ((new((3, "n", "f")), "unknown id 3"), (new((1, "n", "f1"), (1, "m", "f1")), "repeat the id 1"), (new((1, "n", "other")), "another fingerprint at 1")):
         with pytest.raises(Exception, match=text):
             iv.fill_blanks(rows, bad, "id", ["note"], fingerprint="print").collect()
+
+
+def test_rules_on_snapshots(spark, tmp_path):
+    """Rules find the same on snapshots of raw documents as on the enriched rows that these were made of."""
+    from larder.operators import findings as fi
+    from larder.operators.rules import packaged
+    from larder.plans.input_queries import as_documents
+    from larder.plans.product_queries import enriched_rows
+
+    enriched_rows(spark, "/root/testdata/sf0.001").where("k % 40 = 1 and code <> ''").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    sn.typed(sn.snapshot(as_documents(rows))).write.parquet(str(tmp_path / "snapshots"))
+    found = lambda df: sorted(map(str, fi.evaluate(cx.project_enriched(df), packaged()).collect()))
+    want = found(rows)
+    assert found(spark.read.parquet(str(tmp_path / "snapshots"))) == want and len(want) > 100
