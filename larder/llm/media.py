@@ -1,12 +1,12 @@
 """Media columns: content-addressed payloads in tar shards, with header-only range reads.
 
-A payload of 8-bit samples is stored as a lossless grey image (PNG, 64 samples a row).  Every
-task appends its images to tar shards in the shared folder, each different payload once a
-shard; rows carry the payload's digest, the shard, offset and length.  Metadata columns come
-from range reads of the image header alone; features from reading the stored range.
+A payload of 8-bit samples is stored as a lossless grey image (PNG, 64 samples a row).  Tasks
+append images to tar shards in the shared folder, each different payload once in all; rows
+carry the payload's digest, the shard, offset and length.  Metadata columns come from range
+reads of the image header alone; features from reading the stored range, once a payload.
 
 Defined results: null or empty text is a payload of 64 zero bytes; equal texts have equal
-values wherever they are stored; repeated rows repeat; an empty table gives an empty result;
+values, their place included; repeated rows repeat; an empty table gives an empty result;
 other columns are not read.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import mapped, new_path, slices, written
+from larder.llm.common import deal, mapped, new_path, slices, written
 from larder.llm.shared_files import opened, put
 
 WIDTH = 64
@@ -87,51 +87,154 @@ def _tar_head(name: str, size: int) -> bytes:
     return info.tobuf(tarfile.USTAR_FORMAT)
 
 
-def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write tar shards; the result is (doc_id, n_bytes, digest, shard, offset, length) for every row.
+#: Bits that tell which digests may be of several rows; 2 MB reach the driver and the tasks at any size of the table.
+REPEAT_BITS = 24
+#: A digest of more than one in so many rows is joined by broadcast; there are fewer than HEAVY of them.
+HEAVY = 1024
+_PLACE = ["shard", "offset", "length"]
 
-    A failed attempt leaves a shard that no row names.
-    """
-    folder = new_path(docs.sparkSession, "media")
-    id_type = docs.schema[id_col].dataType.simpleString()
-    names = ["doc_id", "n_bytes", "digest", "shard", "offset", "length"]
+
+class Tar:
+    """A shard in memory; members are named by digest, and one digest is held once."""
+
+    def __init__(self) -> None:
+        self.out, self.places = io.BytesIO(), {}
+
+    def add(self, digest: str, payload: bytes) -> tuple[int, int]:
+        if digest not in self.places:
+            media = to_png(payload)
+            self.out.write(_tar_head(digest + ".png", len(media)))
+            self.places[digest] = (self.out.tell(), len(media))
+            self.out.write(media)
+            self.out.write(b"\0" * (-len(media) % 512))
+        return self.places[digest]
+
+    def full(self) -> bool:
+        return self.out.tell() > SHARD_BYTES
+
+    def close(self, folder: str) -> str | None:
+        if not self.places:
+            return None
+        self.out.write(b"\0" * 1024)
+        path = f"{folder}/{uuid.uuid4().hex}.tar"
+        put(path, self.out.getbuffer())
+        return path
+
+
+def _repeat_bits(rows: DataFrame) -> np.ndarray:
+    """Bit set of the digests of several rows: two bits each, from the digest's first twelve hex digits."""
+    several = rows.groupBy(F.unhex("digest").alias("d")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    spots = F.array(*[F.conv(F.substring(F.hex("d"), at, REPEAT_BITS // 4), 16, 10).cast("long") for at in (1, 1 + REPEAT_BITS // 4)])
+    spot = several.select(F.explode(spots).alias("spot"))
+    words = spot.groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << (REPEAT_BITS - 6), np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return bits
+
+
+def _may_repeat(bits: np.ndarray, digest: str) -> bool:
+    step = REPEAT_BITS // 4
+    return all(int(bits[spot >> 6]) >> (spot & 63) & 1 for spot in (int(digest[:step], 16), int(digest[step : 2 * step], 16)))
+
+
+def _store_single(folder: str, bits, names: list[str]):
+    """mapInArrow function: a payload of one row is stored at once; of others the task's first row carries the payload on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tar, places, rows = io.BytesIO(), {}, []
+        tar, rows, held, types, carried = Tar(), [], 0, None, set()
 
         def close() -> pa.RecordBatch:
-            tar.write(b"\0" * 1024)
-            path = f"{folder}/{uuid.uuid4().hex}.tar"
-            put(path, tar.getbuffer())
-            cols = list(zip(*rows, strict=True))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], types[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2]), pa.array([path] * len(rows)), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
-                names,
-            )
-
-        types = None
+            path = tar.close(folder)
+            ids, sizes, digests, places, payloads = zip(*rows, strict=True)
+            offsets, lengths = ([p and p[i] for p in places] for i in (0, 1))
+            cols = [pa.array(ids, types), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array([p and path for p in places], pa.string())]
+            return pa.RecordBatch.from_arrays([*cols, pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), pa.array(payloads, pa.binary())], names)
+
         for whole in batches:
             for batch in slices(whole, "text", _ROUND):
-                types = [batch.column(0).type]
-                for ident, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                types = batch.column(0).type
+                for ident, text, digest in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                     size, payload = payload_of(text)
-                    digest = hashlib.sha256(payload).hexdigest()
-                    if digest not in places:
-                        media = to_png(payload)
-                        tar.write(_tar_head(digest[:64] + ".png", len(media)))
-                        places[digest] = (tar.tell(), len(media))
-                        tar.write(media)
-                        tar.write(b"\0" * (-len(media) % 512))
-                    rows.append((ident, size, digest, *places[digest]))
-                if tar.tell() > SHARD_BYTES:
+                    if not _may_repeat(bits.value, digest):
+                        rows.append((ident, size, digest, tar.add(digest, payload), None))
+                    elif digest in carried:
+                        rows.append((ident, size, digest, None, None))
+                    else:
+                        carried.add(digest)
+                        held += len(payload)
+                        rows.append((ident, size, digest, None, payload))
+                if tar.full() or held > _ROUND:
                     yield close()
-                    tar, places, rows = io.BytesIO(), {}, []
+                    tar, rows, held = Tar(), [], 0
         if rows:
             yield close()
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = mapped(rows, run, f"doc_id {id_type}, n_bytes long, digest string, shard string, offset long, length long")
-    return written(rows, "media-index")
+    return run
+
+
+def _store_repeated(folder: str):
+    """mapInArrow function over (digest, payload) in order of digest: each digest is stored once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tar, last = Tar(), None
+
+        def close() -> pa.RecordBatch:
+            path, places = tar.close(folder), tar.places
+            cols = [pa.array(list(places), pa.string()), pa.array([path] * len(places), pa.string())]
+            return pa.RecordBatch.from_arrays([*cols, *(pa.array([p[i] for p in places.values()], pa.int64()) for i in (0, 1))], ["digest", *_PLACE])
+
+        for whole in batches:
+            for batch in slices(whole, "payload", _ROUND):
+                for digest, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if digest != last:
+                        last = digest
+                        tar.add(digest, payload.as_py())
+                if tar.full():
+                    yield close()
+                    tar = Tar()
+        if tar.places:
+            yield close()
+
+    return run
+
+
+def stored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Write tar shards, each different payload once in all; gives rows and places.
+
+    Rows are (doc_id, n_bytes, digest, shard, offset, length), without a place where the digest may be of several
+    rows; places are (digest, heavy, shard, offset, length) of those digests, heavy if one row in HEAVY has it.  Which digests
+    repeat is counted over all rows and told by a bit set of fixed size: a chance hit only sends a payload through the
+    shuffle by digest, as all repeated ones go, once a task.  A failed attempt leaves a shard that no row names.
+    """
+    spark = docs.sparkSession
+    folder, id_type = new_path(spark, "media"), docs.schema[id_col].dataType.simpleString()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    size = F.octet_length(text)
+    padded = F.call_function("rpad", text.cast("binary"), (F.greatest(F.lit(1), F.ceil(size / WIDTH)) * WIDTH).cast("int"), F.lit(b"\0"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.sha2(padded, 256).alias("digest"))
+    bits = spark.sparkContext.broadcast(_repeat_bits(rows))
+    names = ["doc_id", "n_bytes", "digest", *_PLACE, "payload"]
+    schema = f"doc_id {id_type}, n_bytes long, digest string, shard string, offset long, length long, payload binary"
+    index = written(mapped(rows, _store_single(folder, bits, names), schema), "media-index")
+    payloads = deal(index.where("payload is not null").select("digest", "payload"), "digest").sortWithinPartitions("digest")
+    places = mapped(payloads, _store_repeated(folder), "digest string, shard string, offset long, length long")
+    times = index.where("shard is null").groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    heavy = F.col("n") * HEAVY > index.count()
+    return index.drop("payload"), written(places.join(times, "digest").select("digest", heavy.alias("heavy"), *_PLACE), "media-places")
+
+
+def resolved(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """Rows without a place take what is known of their digest's; no digest of many rows goes to one task."""
+    single, several = rows.where("shard is not null"), rows.where("shard is null").select("doc_id", "n_bytes", "digest")
+    heavy, light = places.where("heavy").drop("heavy"), places.where("not heavy").drop("heavy")
+    often = several.join(F.broadcast(heavy), "digest")
+    rest = several.join(F.broadcast(heavy.select("digest")), "digest", "left_anti").join(light, "digest")
+    return single.unionByName(often).unionByName(rest)
+
+
+def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`stored`, with the place of every row: (doc_id, n_bytes, digest, shard, offset, length)."""
+    return resolved(*stored(docs, id_col, text_col))
 
 
 def by_place(index: DataFrame) -> DataFrame:
@@ -194,6 +297,13 @@ def with_features(ranges: DataFrame) -> DataFrame:
 
 
 def media_query(docs: DataFrame) -> DataFrame:
-    return with_features(with_metadata(by_place(store(docs)))).select(
-        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "depth"
+    rows, places = stored(docs)
+
+    def measured(ranges: DataFrame) -> DataFrame:
+        return with_features(with_metadata(by_place(ranges)))
+
+    single, known = measured(rows.where("shard is not null")), measured(places)
+    waiting = rows.where("shard is null")
+    return resolved(single.unionByName(waiting, allowMissingColumns=True), known).select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "depth", "digest", *_PLACE
     )
