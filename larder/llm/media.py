@@ -223,18 +223,19 @@ def stored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
     return index.drop("payload"), written(places.join(times, "digest").select("digest", heavy.alias("heavy"), *_PLACE), "media-places")
 
 
-def resolved(rows: DataFrame, places: DataFrame) -> DataFrame:
+def resolved(waiting: DataFrame, places: DataFrame) -> DataFrame:
     """Rows without a place take what is known of their digest's; no digest of many rows goes to one task."""
-    single, several = rows.where("shard is not null"), rows.where("shard is null").select("doc_id", "n_bytes", "digest")
+    several = waiting.select("doc_id", "n_bytes", "digest")
     heavy, light = places.where("heavy").drop("heavy"), places.where("not heavy").drop("heavy")
     often = several.join(F.broadcast(heavy), "digest")
     rest = several.join(F.broadcast(heavy.select("digest")), "digest", "left_anti").join(light, "digest")
-    return single.unionByName(often).unionByName(rest)
+    return often.unionByName(rest)
 
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """:func:`stored`, with the place of every row: (doc_id, n_bytes, digest, shard, offset, length)."""
-    return resolved(*stored(docs, id_col, text_col))
+    rows, places = stored(docs, id_col, text_col)
+    return rows.where("shard is not null").unionByName(resolved(rows.where("shard is null"), places))
 
 
 def by_place(index: DataFrame) -> DataFrame:
@@ -302,8 +303,7 @@ def media_query(docs: DataFrame) -> DataFrame:
     def measured(ranges: DataFrame) -> DataFrame:
         return with_features(with_metadata(by_place(ranges)))
 
-    single, known = measured(rows.where("shard is not null")), measured(places)
-    waiting = rows.where("shard is null")
-    return resolved(single.unionByName(waiting, allowMissingColumns=True), known).select(
+    single, known = measured(rows.where("shard is not null")), written(measured(places), "media-known")
+    return single.unionByName(resolved(rows.where("shard is null"), known)).select(
         "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "depth", "digest", *_PLACE
     )
