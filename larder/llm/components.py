@@ -23,24 +23,33 @@ def _fingerprint(edges: DataFrame) -> tuple:
 
 #: Neighbours of one node that meet its least one in one task; the edges of a larger star are dealt out in parts.
 STAR = 500
+#: Keys of more than one row in SHARE are told to every task (so there are about SHARE of them at most) and dealt out; others may stay together.
+SHARE = 1024
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(pairs: DataFrame, n: int) -> DataFrame:
+    """The n pairs (u, v) with m, the least v of their u; no task gets the whole of a large star."""
+    bar = max(STAR, n // SHARE)
+    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.ceil(F.count(F.lit(1)) / bar).cast("int").alias("parts"))
+    hot = F.broadcast(least.where("parts > 1").select("u", "parts"))  # at most n / bar rows, about SHARE
+    dealt = pairs.join(hot, "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("parts", F.lit(1))).alias("part"))
+    copies = least.select("u", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"))
+    return dealt.join(copies, ["u", "part"])
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Every larger neighbour of a node is tied to the least node next to it."""
     both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"), F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("parts"))
-    hot = least.where("parts > 1").select("u", "parts")  # one in STAR edges at most
-    dealt = both.join(hot, "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("parts", F.lit(1))).alias("part"))
-    copies = least.select("u", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"))
-    tied = dealt.join(copies, ["u", "part"]).where(F.col("v") > F.col("u"))
+    tied = _with_least(both, 2 * n).where(F.col("v") > F.col("u"))
     return tied.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     """Smaller neighbours and the node itself are tied to the least of them (edges have u > v)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    tied = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return tied.union(least.select("u", F.col("m").alias("v"))).distinct()
+    tied = _with_least(edges, n)
+    return tied.select(F.explode(F.array(F.struct(F.col("v").alias("a")), F.struct(F.col("u").alias("a")))).alias("e"), "m").select(
+        F.col("e.a").alias("u"), F.col("m").alias("v")
+    ).where("u > v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -56,7 +65,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     seen = _fingerprint(now)
     while seen[0]:
-        after = written(_small_star(_large_star(now)), "edges")
+        # the large star leaves no more edges than it gets: each pair with v > u gives one
+        after = written(_small_star(_large_star(now, seen[0]), seen[0]), "edges")
         drop_written(now)
         now, before = after, seen
         seen = _fingerprint(now)

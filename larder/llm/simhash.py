@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import deal, drop_written, mapped, whole_rows, written
-from larder.llm.components import components
+from larder.llm.components import SHARE, components
 
 WORDS = 4
 RADIUS = 4
@@ -194,9 +194,17 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     tables = F.array(*[F.struct(F.lit(i).alias("tab"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
     rows = nodes.select("fp", F.inline(tables))
     hot = rows.groupBy("tab", "key").count().where(F.col("count") > TILE)
-    hot = hot.select("tab", "key", F.ceil(F.col("count") / TILE).cast("int").alias("parts"))
+    hot = hot.select("tab", "key", "count", F.ceil(F.col("count") / TILE).cast("int").alias("parts"))
+    # buckets of over one row in SHARE (so fewer than SHARE buckets) are told to every task; rows of theirs don't meet by key
+    bar = n * len(signed) // SHARE
+    known = F.broadcast(hot.where(F.col("count") > bar).select("tab", "key", F.col("parts").alias("told")))
+    rest = hot.where(F.col("count") <= bar).select(F.col("tab").alias("t"), F.col("key").alias("k"), F.col("parts").alias("found"))
+    rows = rows.join(known, ["tab", "key"], "left")
+    t = F.when(F.col("told").isNull(), F.col("tab")).otherwise(-1)
+    k = F.when(F.col("told").isNull(), F.col("key")).otherwise(F.xxhash64("fp"))
+    rows = rows.withColumns({"t": t, "k": k}).join(rest, ["t", "k"], "left").withColumn("parts", F.coalesce("told", "found"))
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    dealt = rows.join(hot, ["tab", "key"], "left").select(
+    dealt = rows.select(
         "tab",
         "key",
         "fp",

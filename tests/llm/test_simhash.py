@@ -98,3 +98,33 @@ def test_components_of_large_stars(spark, monkeypatch):
     got = {x.node: x.root for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {n: 0 for n in [*range(1, 90), 1000, 2000]} | {3000 + i: 3000 for i in range(1, 21)} | {4001: 4000}
     assert got == want
+
+
+def test_buckets_told_to_all_and_joined_by_key(spark, monkeypatch):
+    """Hot buckets over and under the share of rows that is broadcast, with tiny tiles, lose no link; so do a null, an empty and a very long text."""
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    long = [r.choice(words) for _ in range(200_000)]
+    rows = [(0, None), (1, ""), (2, " ".join(long)), (3, " ".join([*long[:-1], "other"]))]
+    for i in range(4, 84):
+        base = words[: 30 + i % 3]
+        base[i % 20] = r.choice(words)
+        rows.append((i, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: c for i, (_, c) in slow_components(rows).items()}
+    for share in (2, 8, 100_000):
+        monkeypatch.setattr(simhash, "TILE", 3)
+        monkeypatch.setattr(simhash, "SHARE", share)
+        assert {x.doc_id: x.component_id for x in simhash.near_duplicates(docs).collect()} == want
+    assert want[3] == 2 and want[1] == 0
+
+
+def test_small_stars_are_dealt_out(spark, monkeypatch):
+    """One node with many smaller neighbours, as the small star meets them; the shares bound what is broadcast."""
+    from larder.llm import components
+
+    monkeypatch.setattr(components, "STAR", 3)
+    monkeypatch.setattr(components, "SHARE", 4)
+    edges = [(1000, i) for i in range(300)] + [(2000 + i, 500) for i in range(300)] + [(7, 7), (1000, 5)]
+    got = {x.node: x.root for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 300)}, 1000: 0, **{2000 + i: 500 for i in range(300)}}
