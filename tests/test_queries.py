@@ -41,3 +41,18 @@ def test_equals_sql(spark, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", ["rule_40", "claim_nutrients"])
+def test_nested_rows_are_not_shuffled(spark, name):
+    """Nested sets and ingredients are grouped and joined where the narrow base rows lie, also if no table is broadcast."""
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    by_key = [line for line in plan.splitlines() if " Exchange hashpartitioning(k#" in line]
+    assert by_key and all("REPARTITION_BY_NUM" in line for line in by_key)
