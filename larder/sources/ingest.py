@@ -9,7 +9,7 @@ import io
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.functions.scalars import as_number, strip
+from larder.functions.scalars import as_number, number_of, strip
 from larder.types import BASE_COLUMNS, COLUMNS, DOCUMENT_ONLY, NUMBER_COLUMNS, NUTRIENTS, TAG_COLUMNS
 
 TEXT_COLUMNS = [c for c in BASE_COLUMNS if c not in (*TAG_COLUMNS, *NUMBER_COLUMNS, "no_nutrition_data")]
@@ -112,13 +112,20 @@ def localized_text(c: Column) -> Column:
     return strip(F.coalesce(F.get(main, F.lit(0))["text"], F.get(F.filter(c, filled), F.lit(0))["text"]))
 
 
-def nutriment_map(c: Column, value: str = "100g") -> Column:
-    """List of {name, 100g, ...} to name -> value: names stripped, nulls skipped, unknown names dropped, the last wins."""
-    kept = F.filter(F.transform(c, lambda x: F.struct(strip(x["name"]).alias("key"), x[value].alias("value"))), lambda x: x["value"].isNotNull())
-    names = F.array(*[F.lit(n) for n in NUTRIENTS])
-    last = F.transform(names, lambda n: F.struct(n.alias("key"), F.get(F.reverse(F.filter(kept, lambda x: x["key"] == n)), F.lit(0))["value"].alias("value")))
-    found = F.filter(last, lambda x: x["value"].isNotNull())
-    return F.map_from_entries(F.transform(found, lambda x: F.struct(x["key"], as_number(x["value"].cast("string")).alias("value"))))
+def nutriment_map(c: Column, value: str = "100g", kind: str = "string") -> Column:
+    """List of {name, 100g, ...} to name -> value: names stripped, nulls skipped, unknown names dropped, the last wins.
+
+    ``kind`` is the type of the values; numbers need no detour by text.
+    """
+    let = lambda x, then: F.get(F.transform(F.array(x), then), F.lit(0))  # noqa: E731  evaluated once
+    named = F.transform(c, lambda x: F.struct(strip(x["name"]).alias("key"), x[value].alias("value")))
+    kept = F.reverse(F.filter(named, lambda x: x["value"].isNotNull() & x["key"].isin(*NUTRIENTS)))
+
+    def last(s: Column) -> Column:
+        found = F.filter(s["kept"], lambda x, i: F.array_position(s["keys"], x["key"]) == i + 1)
+        return F.map_from_entries(F.transform(found, lambda x: F.struct(x["key"], number_of(x["value"], kind).alias("value"))))
+
+    return let(kept, lambda k: let(F.struct(k.alias("kept"), F.transform(k, lambda x: x["key"]).alias("keys")), last))
 
 
 def canonical(rows: DataFrame) -> DataFrame:
@@ -140,7 +147,8 @@ def from_export(rows: DataFrame) -> DataFrame:
     missing = [c for c in EXPORT_COLUMNS if c not in rows.columns]
     if missing:
         raise ValueError(f"export rows lack {', '.join(missing)}")
-    found = rows.withColumn("_n", nutriment_map(F.col("nutriments")))
+    kind = rows.select(F.col("nutriments")[0]["100g"].alias("x")).dtypes[0][1]
+    found = rows.withColumn("_n", nutriment_map(F.col("nutriments"), kind=kind))
     out = found.withColumns({c: localized_text(F.col(c)) for c in ("product_name", "ingredients_text")})
     return out.select(
         *[F.col(c).cast("string").alias(c) if c in (*NUMBER_COLUMNS, "no_nutrition_data") else F.col(c) for c in BASE_COLUMNS],

@@ -195,3 +195,12 @@ def test_stream_equals_batch(spark, tmp_path):
     from larder.operators.context import project_source
 
     assert key(spark.read.parquet(str(tmp_path / "out"))) == key(fi.evaluate(project_source(rows), rules))
+
+
+def test_nutriments_in_one_pass(spark):
+    """Entries are looked through once and not once a known name; doubles take no detour by text."""
+    rows = spark.createDataFrame([([(" fat ", 1.5), ("fat", None), ("salt", 2.0), ("fat", 3.5), ("?", 4.0)],)], "n array<struct<name:string,`100g`:double>>")
+    found = rows.select(ig.nutriment_map(F.col("n"), kind="double").alias("n"))
+    assert found.first()["n"] == {"fat": 3.5, "salt": 2.0}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper() and "[added-sugars," not in plan
