@@ -196,7 +196,8 @@ def dispatched(rows: DataFrame, document: str | None = None) -> DataFrame:
     own = rows.withColumn("_fields", fields_of(rows, document))
     own = own.withColumns({"_cells": cells, "_kinds": F.transform_values(m, lambda _, v: _kind(v))})
     own = own.withColumn("_shape", dispatch(m, F.col("_cells"), F.col("_kinds")))
-    return own.withColumns({"_contract": F.col("_shape.contract"), REASON: F.col("_shape.reason")}).drop("_shape", "_kinds")
+    # from a generator: a filter on a plain column would be pushed down with all of the above in place of each field
+    return own.select(*rows.columns, "_fields", "_cells", F.inline(F.array("_shape")).alias("_contract", REASON))
 
 
 def accepted(found: DataFrame) -> DataFrame:
