@@ -118,11 +118,16 @@ def for_duckdb(sql: str) -> str:
 TASK_ROWS = 50_000
 
 
+def partitions(spark: SparkSession, sf_dir: str) -> int:
+    """How many partitions hold the derived rows."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of BASE, dealt out by k into partitions of bounded row counts; groupings and joins by k need no other shuffle."""
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part")}
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, -(-used["lineitem"].count() // TASK_ROWS))
-    return spark.sql(BASE, **used).repartition(parts, "k")
+    return spark.sql(BASE, **used).repartition(partitions(spark, sf_dir), "k")
 
 
 def table(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -141,13 +141,14 @@ def results_upserted(spark, sf_dir):
 
 @query("findings_streamed", findings_sql(SOURCE_IDS, False))
 def findings_streamed(spark, sf_dir):
-    """Source rows in eight files, read as a stream in several micro-batches; a second start from the checkpoint finds nothing new."""
+    """Source rows in eight files or as many as tasks, read as a stream in three micro-batches; a second start from the checkpoint finds nothing new."""
     folder = _folder(spark, "stream")
     rows = source_rows(spark, sf_dir)
-    rows.repartition(8).write.parquet(f"{folder}/rows")
+    files = max(8, fx.partitions(spark, sf_dir))  # a micro-batch has as many tasks as files at least, so these grow with the rows
+    rows.repartition(files).write.parquet(f"{folder}/rows")
     rules = fi.select_rules(RULES, paths=cx.SOURCE_PATHS)
     for _ in range(2):
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/rows")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-files * 3 // 8)).parquet(f"{folder}/rows")
         write_batches(stream, rules, f"{folder}/findings", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/findings").drop("batch")
 

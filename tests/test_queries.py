@@ -71,3 +71,11 @@ def test_dispatch_is_evaluated_once(spark, name):
     plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter " in line]
     assert filters and max(map(len, filters)) < 1000
+
+
+def test_stream_files_grow_with_the_rows(spark, monkeypatch, tmp_path):
+    """Twenty files for twenty partitions of rows, not eight."""
+    monkeypatch.setattr(run_queries.fx, "partitions", lambda spark, sf_dir: 20)
+    monkeypatch.setattr(run_queries, "_folder", lambda spark, label: f"file://{tmp_path}")
+    found = QUERIES["findings_streamed"](spark, DATA)
+    assert len(list(tmp_path.glob("rows/*.parquet"))) == 20 and found.count() > 0
