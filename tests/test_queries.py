@@ -87,3 +87,15 @@ def test_derived_rows_keep_their_partitions(spark):
     rows = fx.base(spark, DATA).groupBy("k").agg(F.count(F.lit(1)))
     assert fx.partitions(spark, DATA) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert rows.rdd.getNumPartitions() == fx.partitions(spark, DATA)
+
+
+@pytest.mark.parametrize("name", ["reference_match"])
+def test_patterns_are_compiled(spark, name):
+    """Patterns of codes stand in no function that Spark interprets with all its arguments."""
+    kept = spark.conf.get("spark.sql.debug.maxToStringFields")
+    try:
+        spark.conf.set("spark.sql.debug.maxToStringFields", "5000")
+        plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", kept)
+    assert "RLIKE" in plan and not re.search(r"filter\(array\(CASE WHEN [^\n]*RLIKE", plan.split("Relation")[0].split("Aggregate")[0])
