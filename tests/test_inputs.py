@@ -55,6 +55,30 @@ def test_nested_ingredients_of_any_shape(spark):
     assert sorted(x.depth for x in nodes.collect()) == list(range(1, 12))
 
 
+def test_snapshot_of_any_shape(spark):
+    """A document's own shape, another one at every place, texts around numbers; each column of rows is read in one walk."""
+    docs = [
+        {"code": 7, "packagings": [{"number": " 0.3\t", "shape": {"a": 1}}, None, [1], "x", {"number": True}], "labels_tags": ["a", 1.5, None, {"b": 1}, [2]],
+         "nutrition": {"input_sets": [None, {"source": 1, "nutrients": {"fat": {"value": -0.7, "unit": ["g"]}, "no": None, "bad": [1]}}, {"nutrients": None}]}},
+        {"code": "x", "packagings": {"a": 1}, "labels_tags": "a", "nutrition": [1], "nutriscore_score": -3, "created_t": "1e2", "product_name": False},
+        [1, 2], None, "text",
+    ]
+    rows = variants(spark, docs).withColumn("helper", F.parse_json(F.lit('{"is_european_product":"true","minimum_number_of_ingredients":"+.5"}')))
+    found = sn.snapshot(rows)
+    first, second, *rest = (r.asDict(True) for r in found.drop("product").withColumn("t", F.to_json(F.col("nutrition"))).drop("nutrition").collect())
+    assert (first["code"], second["code"], [r["code"] for r in rest]) == ("7", "x", [None] * 3)
+    assert json.loads(first["t"]) == {
+        "input_sets": [{"source": "1", "nutrients": {"fat": {"value": "-0.69999999999999996"}}}, {"nutrients": {}}], "aggregated_set": {"nutrients": {}},
+    }
+    assert all(json.loads(r["t"]) == {"input_sets": [], "aggregated_set": {"nutrients": {}}} for r in (second, *rest))
+    assert first["flags"]["is_european_product"] is True and first["category_props"]["minimum_number_of_ingredients"] == "0.5"
+    kept = found.select("product.packagings", "product.labels_tags", "product.nutriscore_score", "product.created_t", "product.product_name", F.to_json("product.ingredients").alias("i")).collect()
+    assert [tuple(p) for p in kept[0].packagings] == [("0.29999999999999999", None, None), (None, None, None)] and kept[0].labels_tags == ["a", "1.5", None, None, None]
+    assert (kept[1].nutriscore_score, kept[1].created_t, kept[1].product_name) == ("-3", "100", "false")
+    assert all((r.packagings, r.labels_tags, r.i) == ([], [], "[]") for r in kept[1:])
+    assert '$["' not in found._jdf.queryExecution().optimizedPlan().toString()  # no lookup a name
+
+
 def test_ingredient_nodes_is_one_scan(spark, tmp_path):
     spark.range(5).selectExpr("cast(id as string) as code", """'[{"id":"a","ingredients":[{"id":"b"}]}]' as t""").write.parquet(str(tmp_path / "p"))
     rows = spark.read.parquet(str(tmp_path / "p")).select("code", F.parse_json("t").alias("ingredients"))
