@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 from larder.llm import huffman, packing, token_files, tokens
@@ -28,6 +29,39 @@ def test_encoder_equals_the_library():
     assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_are_cut_side_by_side(monkeypatch):
+    """ASCII words, with marks or behind a line break, don't go one by one; tables that are left and chunks change no ids."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abehnorstTHE") for _ in range(r.choice([1, 2, 3, 5, 8, 9, 15, 16, 17, 40])))
+    texts = [" ".join(word() + r.choice(["", "", ",", ".", "...", "!" * 20, "\n" + word(), ".\n" + word() + "?", "\x00", "\n\n" + word(), ",a,", "\na,\nb"]) for _ in range(40)) for _ in range(60)]
+    texts += [t + end for t in texts[:9] for end in (" ", "\n", ".")] + odd_texts(3, 200) + [" " + t for t in texts[:3]]
+    plain = Tokenizer.from_file(PATH)
+    wanted = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for chunk, words in ((1 << 20, 1 << 20), (500, 100), (1, 5)):
+        monkeypatch.setattr(tokens, "_CHUNK", chunk)
+        monkeypatch.setattr(tokens, "REMEMBERED", words)
+        monkeypatch.setattr(tokens, "OTHERS", words)
+        encoder = tokens.Encoder(PATH)
+        for _ in range(2):
+            assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == wanted
+    monkeypatch.undo()
+    encoder = tokens.Encoder(PATH)
+    encoder.encode(["a " + " ".join(f"word{c}, and\nthen." for c in "abcdefgh")])
+    assert not encoder.known and encoder.table.n == 8 + 5
+
+
+def test_ids_of_many_texts_are_counted_at_once(spark, monkeypatch):
+    """A sum takes as many steps as the vocabulary has ids: one for many texts, not one a text."""
+    made, count = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **b: made.append(1) or count(*a, **b))
+    monkeypatch.setattr(token_files, "mapped", lambda rows, run, schema: spark.createDataFrame([tuple(r.values()) for b in run(iter(rows.toArrow().to_batches())) for r in b.to_pylist()], schema))
+    press = zstandard.ZstdCompressor()
+    rows = [np.array([i % 7, 9, i % 3], np.uint16) for i in range(500)]
+    frame = spark.createDataFrame([(bytearray(press.compress(x.tobytes())),) for x in rows], "ids binary")
+    got = token_files.counts(frame, 12, np.dtype(np.uint16))
+    assert got.tolist() == count(np.concatenate(rows), minlength=12).tolist() and len(made) < 20
+
+
 def test_length_limited_codes():
     r = np.random.default_rng(2)
     for n, limit in ((1, 4), (2, 4), (16, 4), (300, 9), (300, 12)):
