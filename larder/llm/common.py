@@ -90,11 +90,23 @@ def release() -> None:
         trim(0)
 
 
-def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` whose tasks leave no freed memory behind."""
+#: Tables that a worker keeps from task to task of one operator.
+KEPT: list[dict] = []
+
+
+def forget() -> None:
+    """Work of another kind begins: the worker, which lives on, leaves what earlier tasks have kept."""
+    for table in KEPT:
+        table.clear()
+
+
+def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` whose tasks leave no freed memory behind, nor find any that other operators keep (``keeps``: they use it)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
+            if not keeps:
+                forget()
             yield from work(batches)
         finally:
             release()

@@ -174,4 +174,4 @@ def packed(
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + F.count(F.lit(1))).first()[0]
     rows = rows.coalesce(max(1, total // TASK_BYTES))  # neighbours are read by one task; more partitions than there are it never makes
     schema = f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
-    return mapped(rows, run, schema)
+    return mapped(rows, run, schema, keeps=True)

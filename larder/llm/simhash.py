@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import deal, drop_written, mapped, whole_rows, written
+from larder.llm.common import deal, drop_written, mapped, slices, whole_rows, written
 from larder.llm.components import SHARE, components
 
 WORDS = 4
@@ -36,6 +36,8 @@ TILE = 2048
 #: Rows of the bucket tables (16 bytes each) that one task is dealt.
 TASK_ROWS = 4_000_000
 _CHUNK = 1 << 16
+#: Bytes of the texts that a task has as Python strings at once.
+_ROUND = 4 << 20
 
 
 def fingerprint_of(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
@@ -65,9 +67,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = np.array([fingerprint_of(t) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], ["doc_id", "th", "fp"])
+        for whole in batches:
+            for batch in slices(whole, whole.column(1), _ROUND):
+                fps = np.array([fingerprint_of(t) for t in batch.column(1).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], ["doc_id", "th", "fp"])
 
     th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     return mapped(docs.select(F.col(id_col), F.col(text_col), th), run, f"doc_id {id_type}, th long, fp long")

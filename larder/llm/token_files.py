@@ -52,7 +52,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
                 )
 
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_MIN_ID)).alias("doc_id"), F.col(text_col).alias("text"))
-    return mapped(rows, run, "doc_id long, n long, ids binary")
+    return mapped(rows, run, "doc_id long, n long, ids binary", keeps=True)
 
 
 def counts(rows: DataFrame, size: int, dtype: np.dtype) -> np.ndarray:

@@ -19,6 +19,8 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
+from larder.llm.common import KEPT
+
 #: Words and marks of ASCII that a worker remembers, and other pieces and words.
 REMEMBERED, OTHERS = 1 << 19, 50_000
 #: Bytes of text that are cut side by side.
@@ -28,6 +30,7 @@ _LONGEST = 16
 _RUN = re.compile(r"\s ")
 _WORDS = re.compile(r"([^\W\d_]+)([^\w\s]*)(?:\n([^\W\d_]+)([^\w\s]*))?")
 _WORKERS: dict[str, Encoder] = {}
+KEPT.append(_WORKERS)
 _LETTER, _MARK, _BREAK, _OTHER, _SPACE = range(5)
 
 

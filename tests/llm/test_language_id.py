@@ -3,6 +3,8 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
+import pytest
 
 from larder.llm import language_id as li
 
@@ -94,3 +96,16 @@ def test_sample_is_bounded_for_null_and_repeated_ids(spark, monkeypatch):
     sample = li.training_rows(df, "doc_id", "text", "lang").collect()
     count = {k: sum(r.lang == k for r in sample) for k in ("en", "de", "fr")}
     assert count == {"en": 15, "de": 17, "fr": 3}
+
+
+def test_texts_are_judged_in_parts():
+    """The bytes of a batch's texts are never held all at once; the verdicts are those of one part."""
+    texts = [None, "", "the and of " * 5, "x" * 50, 7.5, "der und die " * 9]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(li, "_ROUND", 60)
+        parts = list(li._rounds(pd.Series(texts, dtype=object)))
+    assert [t for p in parts for t in p] == [t if isinstance(t, str) else None for t in texts] and [len(p) for p in parts] == [3, 2, 1]
+    assert list(li._rounds(pd.Series([], dtype=object))) == [[]]
+    model = li.train({"en": [b"the and of that which"], "de": [b"der und die nicht ein"]})
+    whole, each = li.verdicts(model, parts[0] + parts[1]), [li.verdicts(model, p) for p in parts[:2]]
+    assert whole[0] == each[0][0] + each[1][0] and whole[1].tolist() == [*each[0][1], *each[1][1]] and whole[2].tolist() == [*each[0][2], *each[1][2]]

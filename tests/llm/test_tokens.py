@@ -3,11 +3,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from larder.llm import huffman, packing, token_files, tokens
+from larder.llm import common, huffman, packing, token_files, tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -62,6 +63,20 @@ def test_ids_of_many_texts_are_counted_at_once(spark, monkeypatch):
     assert got.tolist() == count(np.concatenate(rows), minlength=12).tolist() and len(made) < 20
 
 
+def test_other_operators_find_no_encoder_in_their_worker(spark):
+    """A worker lives on from stage to stage: tables of words don't stay there beside the next operator's own."""
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(40)], "doc_id long, text string").coalesce(1)
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(tokens._WORKERS)])], ["n"])
+
+    for keeps, wanted in ((True, 1), (False, 0)):  # the same worker: one partition, one task at a time
+        packing.packed(docs, PATH, 1).collect()
+        seen = common.mapped(docs, held, "n long", keeps=keeps).collect()
+        assert {r.n for r in seen} == {wanted}
+
+
 def test_length_limited_codes():
     r = np.random.default_rng(2)
     for n, limit in ((1, 4), (2, 4), (16, 4), (300, 9), (300, 12)):
