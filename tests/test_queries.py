@@ -122,3 +122,18 @@ def test_patterns_are_compiled(spark, name):
     finally:
         spark.conf.set("spark.sql.debug.maxToStringFields", kept)
     assert "RLIKE" in plan and not re.search(r"filter\(array\(CASE WHEN [^\n]*RLIKE", plan.split("Relation")[0].split("Aggregate")[0])
+
+
+def test_run_keeps_its_findings_off_the_disk(spark, monkeypatch, tmp_path):
+    """A whole run shuffles its narrow base rows, no finding; its tables take few bytes a row."""
+    monkeypatch.setattr(run_queries, "_folder", lambda spark, label: f"file://{tmp_path}/{label}")
+    plans = []
+    write = run_queries.RunTables.write
+    monkeypatch.setattr(run_queries.RunTables, "write", lambda self, t, i, rows, batch=None: (plans.append((t, rows._jdf.queryExecution().executedPlan().toString())), write(self, t, i, rows, batch))[1])
+    tables, run_id = run_queries.run_full(spark, DATA)
+    plan = dict(plans)["run_differences"]
+    moved = [line for line in plan.splitlines() if " Exchange hashpartitioning(" in line]
+    assert moved and all("REPARTITION_BY_NUM" in line for line in moved)
+    for name in ("run_differences", "run_mismatches"):
+        size = sum(f.stat().st_size for f in tmp_path.glob(f"runs/{name}/**/*.parquet"))
+        assert size < 6 * tables.read(name, run_id).count()

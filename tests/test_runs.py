@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from larder.operators import findings as fi
 from larder.operators import parity as pa
 from larder.operators.rules import ArrowRule, declarative, pack, packaged
-from larder.plans import profiles
+from larder.plans import profiles, run_queries
 from larder.plans import run_tables as rt
 from larder.streaming.incremental import write_batches
 
@@ -186,3 +186,45 @@ def test_reference_side_hashes_its_rows(spark):
     ]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def _claims_and_findings(spark, codes):
+    """Contexts by k whose code is enough for a rule, with expected codes that repeat, differ in severity or are unknown."""
+    rules = [declarative("x:a", "bug", {"field": "code", "op": "eq", "value": "1"}, baseline="legacy"), declarative("x:${n}-b", "bug", {"field": "code", "op": "is_missing"}, baseline="legacy")]
+    rules.append(declarative("x:mine", "error", {"not": {"field": "code", "op": "is_blank"}}, baseline="none"))
+    tags = lambda i: ([["x:a", "x:a"], ["x:a"], ["x:5-b", None, ""], [], None][i % 5], [["x:a"], [], None, ["x:5-b", "x:no"], ["x:6-b"]][i % 5])
+    rows = spark.createDataFrame([(i, c, *tags(i)) for i, c in enumerate(codes)], "k long, code string, info array<string>, bug array<string>")
+    none = F.array().cast("array<string>")
+    told = F.struct("info", none.alias("completeness"), none.alias("warning"), none.alias("error"), "bug").alias("legacy_check_tags")
+    return rows.select("k", "code", told).repartition(3, "k"), rules
+
+
+def _differences(rows):
+    return sorted(tuple(r[n] for n in ("check_id", "product_id", "observed_code", "severity", "n_reference", "n_migrated", "matched", "missing", "extra")) for r in rows.collect())
+
+
+def test_differences_are_counted_where_the_rows_lie(spark):
+    """The same rows as the shuffled difference of both sides; nothing but the rows' own dealing is shuffled."""
+    rows, rules = _claims_and_findings(spark, [str(i + 1) for i in range(60)])
+    want = pa.difference(pa.reference_findings(rows, rules), fi.observed(fi.evaluate(rows, rules)))
+    got = pa.difference_within(rows.withColumn("found", fi.emissions(rules)), "k", rules)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1
+    assert _differences(got) == _differences(want) and all(any(r[n] for r in _differences(want)) for n in (6, 7, 8))  # matched, missing and extra ones
+
+
+def test_codes_of_several_rows_are_compared_together(spark, monkeypatch):
+    rows, rules = _claims_and_findings(spark, ["1", "1", "2", "3", "2", "2", "4", "1"])
+    monkeypatch.setattr(run_queries, "RULES", rules)
+    want = pa.difference(pa.reference_findings(rows, rules), fi.observed(fi.evaluate(rows, rules)))
+    again = spark.createDataFrame([("1",), ("2",), ("4",)], "code string")
+    assert _differences(run_queries.run_differences(rows, again)) == _differences(want)
+
+
+def test_stored_examples_are_the_first_ones(spark):
+    rows = spark.createDataFrame([(f"r{i % 3}", f"{i * 7919 % 5000:04}", "c", "info", "missing", "reference" if i % 2 else "migrated", 1) for i in range(4000)] + [("rare", "9", "c", "info", "extra", "migrated", 1)],
+        "check_id string, product_id string, observed_code string, severity string, kind string, side string, copy int")
+    shown = lambda r: sorted(tuple(x) for x in r.select("check_id", "side", "rank", "product_id").collect())
+    got = pa.stored_examples(rows, 20, share=8)
+    assert shown(got) == shown(pa.examples(rows, 20))
+    assert shown(pa.stored_examples(rows, 20)) == shown(pa.examples(rows, 20))
