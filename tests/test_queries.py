@@ -137,3 +137,7 @@ def test_run_keeps_its_findings_off_the_disk(spark, monkeypatch, tmp_path):
     for name in ("run_differences", "run_mismatches"):
         size = sum(f.stat().st_size for f in tmp_path.glob(f"runs/{name}/**/*.parquet"))
         assert size < 6 * tables.read(name, run_id).count()
+
+
+def test_run_review_equals_sql(spark):
+    test_equals_sql(spark, "run_review")

@@ -228,3 +228,13 @@ def test_stored_examples_are_the_first_ones(spark):
     got = pa.stored_examples(rows, 20, share=8)
     assert shown(got) == shown(pa.examples(rows, 20))
     assert shown(pa.stored_examples(rows, 20)) == shown(pa.examples(rows, 20))
+
+
+def test_review_shuffles_a_product_once(spark):
+    rows = spark.createDataFrame([(p, k, s) for p in ("0000000000012", "12", "x", "0000000000013") for k, s in (("missing", "info"), ("missing", "info"), ("extra", "bug"))] + [("x", "extra", "error")], "product_id string, kind string, severity string")
+    found = run_queries.review_products(rows)
+    got = {(r.kind, r.severity): r.products for r in found.collect() if r.products}
+    assert got == {("missing", "info"): 4, ("extra", "bug"): 4, ("extra", "error"): 1}
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="unknown kind or severity: missing x"):
+        run_queries.review_products(rows.withColumn("severity", F.lit("x"))).collect()
