@@ -6,7 +6,9 @@ they are grouped first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BASE = """
@@ -71,10 +73,8 @@ select s.*,
 from ({SOURCE}) s
 """
 
-#: One row a nutrition set: s = 0, 1, 2 are input sets, 9 is the aggregated set.
-NUTRITION = f"""
-select k, s,
-  case when s = 9 then null when (k + s) % 4 = 0 then 'packaging' when (k + s) % 4 = 1 then 'estimate' when (k + s) % 4 = 2 then null else '' end as source,
+#: Columns of a nutrition set s of a product k, and whether it has the set of number i.
+SET_VALUES = """  case when s = 9 then null when (k + s) % 4 = 0 then 'packaging' when (k + s) % 4 = 1 then 'estimate' when (k + s) % 4 = 2 then null else '' end as source,
   case when s = 9 then null when (k + 2 * s) % 3 = 0 then 'as_sold' when (k + 2 * s) % 3 = 1 then 'prepared' end as preparation,
   case when s = 9 then null when (k + s) % 2 = 0 then '100g' else 'Serving !' end as per,
   case when (k + s) % 9 = 0 then null else (k * 7 + s * 13) % 500 end as kcal,
@@ -91,23 +91,45 @@ select k, s,
   k % 60 as omega100,
   case when (k + s) % 4 = 2 then null else k % 70 end as ala100,
   case when (k + s) % 3 = 2 then null else k % 9 end as epa100,
-  k % 7 as dha100
+  k % 7 as dha100"""
+SET_EXISTS = "(i < 3 and k % 4 > i) or (i = 3 and k % 5 > 0)"
+#: The same of an ingredient by its depth and node.
+NODE_VALUES = """  case when (k + depth + node) % 10 = 3 then 'en:added-sugar' else concat('en:i', cast((k + depth * 7 + node) % 50 as string)) end as id,
+  case when (k + depth + node) % 6 < 4 then 'yes' when (k + depth + node) % 12 = 4 then ' Unknown ' when (k + depth + node) % 12 = 10 then 'maybe'
+       when (k + depth + node) % 12 = 5 then null else '' end as vegan"""
+NODE_EXISTS = "(i < 3 and k % 4 > i) or (i = 3 and k % 4 > 0 and k % 3 = 0) or (i = 4 and k % 4 > 0 and k % 6 = 0)"
+
+#: One row a nutrition set: s = 0, 1, 2 are input sets, 9 is the aggregated set.
+NUTRITION = f"""
+select k, s,
+{SET_VALUES}
 from (select k, cast(case i when 3 then 9 else i end as int) as s
       from (select k, EACH(SERIES(0, 3)) as i from ({BASE}) b) every_set
-      where (i < 3 and k % 4 > i) or (i = 3 and k % 5 > 0)) sets
+      where {SET_EXISTS}) sets
 """
 
 #: One row an ingredient: node 0.. at depth 1, children of node 0 below.
 INGREDIENTS = f"""
 select k, depth, node,
-  case when (k + depth + node) % 10 = 3 then 'en:added-sugar' else concat('en:i', cast((k + depth * 7 + node) % 50 as string)) end as id,
-  case when (k + depth + node) % 6 < 4 then 'yes' when (k + depth + node) % 12 = 4 then ' Unknown ' when (k + depth + node) % 12 = 10 then 'maybe'
-       when (k + depth + node) % 12 = 5 then null else '' end as vegan
+{NODE_VALUES}
 from (select k, cast(case i when 3 then 2 when 4 then 3 else 1 end as int) as depth, cast(case when i < 3 then i else 0 end as int) as node
       from (select k, EACH(SERIES(0, 4)) as i from ({BASE}) b) every_node
-      where (i < 3 and k % 4 > i) or (i = 3 and k % 4 > 0 and k % 3 = 0) or (i = 4 and k % 4 > 0 and k % 6 = 0)) nodes
+      where {NODE_EXISTS}) nodes
 """
 
+
+def placed(text: str, **numbers: int) -> str:
+    """An expression with numbers in place of these names."""
+    for name, value in numbers.items():
+        text = re.sub(rf"\b{name}\b", str(value), text)
+    return text
+
+
+def values_of(text: str, **numbers: int) -> dict[str, Column]:
+    """The columns of a list of expressions, by name."""
+    return {name: F.expr(placed(e, **numbers)) for e, name in re.findall(r"\s*(.+?) as (\w+)(?:,\n|\Z)", text, re.S)}
+
+
 TABLES = ("lineitem", "part", "events", "orders", "customer")
 
 

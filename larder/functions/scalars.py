@@ -22,6 +22,12 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITE_SPACE))
 
 
+def apart(c: Column) -> Column:
+    """The same column by a list function, which keeps the columns selected with it out of the one method that Spark makes of plain
+    steps: with many of them it is larger than the JVM compiles."""
+    return F.get(F.transform(F.array(c), lambda x: x), F.lit(0))
+
+
 def as_number(c: Column) -> Column:
     """Text to double by the grammar of a Python float literal, null where it is none."""
     t = strip(c)

@@ -7,8 +7,9 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from larder.functions.scalars import template_key
+from larder.functions.scalars import apart, template_key
 from larder.operators.rules import EMISSIONS, ArrowRule, Rule, packaged
 
 ORDER = ["check_id", "product_id", "_code", "severity"]
@@ -65,21 +66,25 @@ def repeated_identities(rules: DataFrame) -> DataFrame:
 
 
 def emissions(rules: list[Rule]) -> Column:
-    """All emissions of all rules on one row: array<struct<check_id, raw_code, severity>>."""
+    """All emissions of all rules on one row: array<struct<check_id, raw_code, severity>>.
+
+    Conditions stand in plain arrays, which Spark compiles: what is in a list function is interpreted with all its arguments.
+    """
+    kind = "array<struct<check_id:string,raw_code:string,severity:string>>"
     if not rules:
-        return F.array().cast("array<struct<check_id:string,raw_code:string,severity:string>>")
-    def of(r: Rule) -> Column:
+        return F.array().cast(kind)
+    none = F.array().cast(kind)
+    one = lambda r, hit, code, severity: F.when(hit, F.array(F.struct(F.lit(r.id).alias("check_id"), code.alias("raw_code"), severity.alias("severity")))).otherwise(none)
+
+    def of(r: Rule, listed: Column) -> Column:
         named = lambda e: F.struct(F.lit(r.id).alias("check_id"), e["raw_code"].alias("raw_code"), e["severity"].alias("severity"))
-        return F.transform(r.emit().cast(EMISSIONS), named)
+        return F.transform(listed.cast(EMISSIONS), named)
 
-    single = [
-        F.when(r.test(), F.struct(F.lit(r.id).alias("check_id"), F.lit(None).cast("string").alias("raw_code"), F.lit(r.severity).alias("severity")))
-        for r in rules
-        if r.test is not None
-    ]
-    each = [F.array_compact(F.array(*single))] if single else []
-    each += [of(r) for r in rules if r.test is None]
-    return F.concat(*each)
+    each = [one(r, r.test(), F.lit(None).cast("string"), F.lit(r.severity)) for r in rules if r.test is not None]
+    each += [one(r, *place) for r in rules if r.places is not None for place in r.places()]
+    each += [F.when(some, of(r, listed)).otherwise(none) for r in rules if r.rest is not None for some, listed in r.rest()]
+    each += [of(r, r.emit()) for r in rules if r.test is None and r.places is None]
+    return F.concat(none, *each)
 
 
 def arrow_emissions(contexts: DataFrame, rules: list[ArrowRule]) -> Column:
@@ -106,14 +111,32 @@ def evaluate_mixed(contexts: DataFrame, rules: list[Rule], python: list[ArrowRul
     if not python:
         return evaluate(contexts, rules)
     both = contexts.withColumn("_python", arrow_emissions(contexts, python))
-    found = both.select(F.col("code").alias("product_id"), F.inline(F.concat(emissions(rules), F.col("_python"))))
-    return found.select("product_id", "check_id", "severity", F.nullif("raw_code", "check_id").alias("emitted_code"))
+    return _long(both, F.concat(emissions(rules), F.col("_python")))
+
+
+def fields_apart(contexts: DataFrame) -> DataFrame:
+    """The same contexts with each field of a struct as a column first, so that a field is computed once for all rules that read it."""
+    structs = {f.name: f.dataType.names for f in contexts.schema if isinstance(f.dataType, StructType)}
+    names = [c for c in contexts.columns if c not in structs]
+    flat = contexts.select(*names, *[F.col(c)[n].alias(f"{c}.{n}") for c, fields in structs.items() for n in fields])
+    return flat.select(*names, *[F.struct(*[F.col(f"`{c}.{n}`").alias(n) for n in fields]).alias(c) for c, fields in structs.items()])
+
+
+def with_emissions(contexts: DataFrame, listed: Column, *keep: str) -> DataFrame:
+    """(keep, code, found): lists of emissions as a column, before they are taken apart; a generator would interpret them."""
+    return fields_apart(contexts).select(*keep, apart(F.col("code")).alias("code"), listed.alias("found"))
+
+
+def _long(contexts: DataFrame, listed: Column) -> DataFrame:
+    """Lists of emissions as findings.  Nothing is appended to them: of a bare column Spark would test the size below, and evaluate all rules twice."""
+    found = F.concat("found", F.array().cast("array<struct<check_id:string,raw_code:string,severity:string>>"))
+    each = with_emissions(contexts, listed).select(F.col("code").alias("product_id"), F.explode(found).alias("e"))
+    return each.select("product_id", "e.check_id", "e.severity", F.nullif("e.raw_code", "e.check_id").alias("emitted_code"))
 
 
 def evaluate(contexts: DataFrame, rules: list[Rule]) -> DataFrame:
     """(product_id, check_id, severity, emitted_code); works on batch and streaming contexts, without a shuffle."""
-    found = contexts.select(F.col("code").alias("product_id"), F.inline(emissions(rules)))
-    return found.select("product_id", "check_id", "severity", F.nullif("raw_code", "check_id").alias("emitted_code"))
+    return _long(contexts, emissions(rules))
 
 
 def ordered(findings: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def _product() -> list[Column]:
 
 def run_differences(rows: DataFrame, again: DataFrame | None) -> DataFrame:
     """Differences of contexts with k and legacy_check_tags; ``again`` has the codes that several rows may have, which are compared by a shuffle."""
-    found = lambda some: some.withColumn("found", fi.emissions(RULES))
+    found = lambda some: fi.with_emissions(some, fi.emissions(RULES), "k", "legacy_check_tags")
     if again is None:
         return pa.difference_within(found(rows), "k", RULES)
     several = rows.join(again, "code", "left_semi")

@@ -141,3 +141,11 @@ def test_run_keeps_its_findings_off_the_disk(spark, monkeypatch, tmp_path):
 
 def test_run_review_equals_sql(spark):
     test_equals_sql(spark, "run_review")
+
+
+def test_enriched_findings_are_compiled(spark):
+    """Base rows are dealt out once, no set is joined or grouped again, and no generator interprets the rules."""
+    plan = QUERIES["findings_enriched"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "SortMergeJoin" not in plan and "inline(" not in plan.lower()
+    assert [line for line in plan.splitlines() if "Generate explode(concat(found" in line]
+    assert not [line for line in plan.splitlines() if "Filter" in line and "CASE WHEN" in line]

@@ -132,3 +132,38 @@ def test_unknown_claims_at_any_depth(spark):
     rows = spark.createDataFrame([(k, json.dumps(v)) for k, (v, _) in cases.items()], "code string, t string")
     got = {r.code: r.u for r in rows.select("code", cx.claim_unknown(F.parse_json("t"), "vegan").alias("u")).collect()}
     assert got == {k: want for k, (_, want) in cases.items()}
+
+
+def _sets_of(spark, products):
+    """Contexts of products with lists of (source, sugars, total, kcal, computed) and an aggregated set of the same kind."""
+    from larder.types import INPUT_SET
+
+    def one(x):
+        source, sugars, total, kcal, computed = x
+        values = {"sugars": sugars, "carbohydrates-total": total, "energy-kcal": kcal}
+        return (source, "as_sold", "100g", {n: (v, "g", computed if n == "energy-kcal" else None) for n, v in values.items() if v is not None})
+
+    rows = [(str(i), ([one(x) for x in sets], None, one(last) if last else None)) for i, (sets, last) in enumerate(products)]
+    kind = f"code string, nutrition struct<input_sets:array<{INPUT_SET}>,as_sold:struct<fat:double>,aggregated_set:{INPUT_SET}>"
+    flags = F.struct(F.lit(None).cast("boolean").alias("ignore_energy_calculated_error")).alias("flags")
+    return spark.createDataFrame(rows, kind).select("code", "nutrition", flags)
+
+
+def test_sets_beyond_the_places_and_near_totals(spark):
+    """Rules on sets find the same in any place of the list, and totals that differ by little are compared rounded."""
+    family = [r for r in packaged() if "${set_id}" in r.id]
+    values = [10.1, 10.10000000000001, 10.104, 10.105, 10.106, 10.11, 10.115, 10.12, 10.2, 1e12, 2.0**40 + 0.5, None, float("nan"), float("inf")]
+    each = [(source, a, b, k, 10.0) for source in ("packaging", "estimate") for a in values for b in (10.0, 10.005, 9.999, 1e12, 2.0**40, None) for k in (5.0, 100.0)]
+    alone = fi.evaluate(_sets_of(spark, [([x], None) for x in each]), family).collect()
+    want = sorted((r.check_id, r.emitted_code, r.severity) for r in alone)
+    for n in (3, 7):  # within the places and beyond them
+        listed = fi.evaluate(_sets_of(spark, [(each[i : i + n], None) for i in range(0, len(each), n)]), family).collect()
+        assert sorted((r.check_id, r.emitted_code, r.severity) for r in listed) == want
+    last = fi.evaluate(_sets_of(spark, [([], x) for x in each if x[0] == "packaging"]), family).collect()
+    assert len(last) == len(want) and {(r.severity, r.emitted_code[:13]) for r in last} == {("warning", "en:nutrition-")}
+    from larder.functions.scalars import round2
+
+    totals = spark.createDataFrame([(a, b) for s, a, b, k, _ in each if s == "packaging"], "a double, b double")
+    slack = F.when(F.col("b") >= 10, 0.1).otherwise(0.01)
+    rounded = totals.where(round2(F.coalesce("a", F.lit(0.0)) + 0.0 + 0.0) > round2(F.col("b") + slack)).count()
+    assert sum(r.check_id.endswith("carbohydrates-total") for r in alone) == rounded > 0
